@@ -1,0 +1,9 @@
+"""No streaming operators.
+
+The warehouse is a periodic full refresh (one run every few hours); the source
+system offers no change feed and the model has no windows, watermarks or state.
+A scheduler calls :func:`cashbook.sources.snapshot.snapshot_sources` and
+:func:`cashbook.plans.model.refresh_model` as plain batch jobs, so there is
+nothing for Structured Streaming to do here.  The package exists so that an
+incremental variant has an obvious home if the sources ever expose one.
+"""
