@@ -19,8 +19,14 @@ from cashbook.operators import feed as FD
 from cashbook.operators.broadcast import bounded_broadcast
 from cashbook.operators.rules import (BAR_CODES, EXPENSE_KEYS, GAMING_CODES, LEAVES,
                                       OTHER_REVENUE_KEYS, ROLLUPS, SALES_KEYS, TOP_UP_CODES)
+from cashbook.plans import model as M
 from cashbook.plans import pnl
+from cashbook.session import scratch_dir
+from cashbook.sources import fixture_sources as FS
 from cashbook.sources.fixtures import fixture_table, fixture_tables
+from cashbook.sources.snapshot import copy_table, manifest, snapshot_sources
+from cashbook.sources.testdata import read_table
+from cashbook.sources.warehouse import Warehouse
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 LEAF_KEYS = tuple(m.key for m in LEAVES)
@@ -116,6 +122,85 @@ def q_local_time(spark, sf):
                     local_time("date", "time_zone").alias("payment_time_local"))
 
 
+# ------------------------------------------------- snapshot job and stored model
+# Each writes into a fresh warehouse under the session's checkpoint folder,
+# then returns what it reads back from there.
+
+def _warehouse(spark) -> Warehouse:
+    return Warehouse(spark, scratch_dir(spark, "warehouse"))
+
+
+def q_snapshot_all(spark, sf):
+    wh = _warehouse(spark)
+    rep = snapshot_sources(spark, [FS.main_source(spark, sf)], wh)
+    return manifest(spark, rep, wh)
+
+
+def q_snapshot_coerced(spark, sf):
+    wh = _warehouse(spark)
+    snapshot_sources(spark, [FS.lineitem_source(spark, sf)], wh)
+    return wh.table("public", "lineitem")
+
+
+def q_snapshot_csv(spark, sf):
+    wh = _warehouse(spark)
+    snapshot_sources(spark, [FS.text_source(spark, sf)], wh, staging="csv",
+                     stage_root=scratch_dir(spark, "stage"))
+    return wh.table("public", "documents")
+
+
+def q_snapshot_refresh(spark, sf):
+    """Load an outdated version, then the current one: only the current rows remain."""
+    from cashbook.sources.snapshot import FrameSource, SourceObject
+    wh = _warehouse(spark)
+    old = FrameSource(spark, "main", {("public", "orders"): SourceObject(
+        "r", lambda: read_table(spark, sf, "orders").withColumn(
+            "o_totalprice", F.col("o_totalprice") * 2))})
+    copy_table(old, "public", "orders", wh)
+    copy_table(FS.main_source(spark, sf), "public", "orders", wh)
+    copy_table(FS.main_source(spark, sf), "public", "orders", wh)
+    return wh.table("public", "orders")
+
+
+def q_snapshot_two_sources(spark, sf):
+    wh = _warehouse(spark)
+    rep = snapshot_sources(spark, FS.two_sources(spark, sf), wh)
+    return manifest(spark, rep, wh)
+
+
+def q_snapshot_matview(spark, sf):
+    wh = _warehouse(spark)
+    snapshot_sources(spark, [FS.matview_source(spark, sf)], wh)
+    return wh.table("reports", "orders_mv")
+
+
+def q_view_replay(spark, sf):
+    wh = _warehouse(spark)
+    rep = snapshot_sources(spark, [FS.view_source(spark, sf)], wh)
+    if rep.views is None or len(rep.views.created) != 3:
+        raise RuntimeError(f"view replay incomplete: {rep.views}")
+    return wh.table("reports", "v_club_payments")
+
+
+def _refreshed_model(spark, sf, lang="en"):
+    wh = _warehouse(spark)
+    snapshot_sources(spark, [FS.billing_source(spark, sf)], wh)
+    M.refresh_model(spark, wh, lang)
+    return M.model_table(spark, lang)
+
+
+LOOKUP_CLUBS = [5, 7, 13]
+LOOKUP_FROM, LOOKUP_TO = "1995-01-01 00:00:00", "1997-01-01 00:00:00"
+
+
+def q_model_refresh(spark, sf):
+    return _refreshed_model(spark, sf, "en")
+
+
+def q_model_layout_lookup(spark, sf):
+    return M.lookup(_refreshed_model(spark, sf, "en"), LOOKUP_CLUBS, LOOKUP_FROM, LOOKUP_TO)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "pnl_en": _model("en"),
@@ -143,6 +228,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scalar_cast_double": q_scalar_cast_double,
         "scalar_coalesce": q_scalar_coalesce,
         "local_time": q_local_time,
+        "snapshot_all": q_snapshot_all,
+        "snapshot_coerced": q_snapshot_coerced,
+        "snapshot_csv": q_snapshot_csv,
+        "snapshot_refresh": q_snapshot_refresh,
+        "snapshot_two_sources": q_snapshot_two_sources,
+        "snapshot_matview": q_snapshot_matview,
+        "view_replay": q_view_replay,
+        "model_refresh": q_model_refresh,
+        "model_layout_lookup": q_model_layout_lookup,
     }
 
 
@@ -158,6 +252,19 @@ _PT_JOIN = "FROM payment p JOIN payment_type pt ON p.id_payment_type = pt.id"
 _BU_JOIN = "FROM payment p LEFT JOIN balance_user bu ON p.id_balance_user = bu.id"
 
 
+def _counts(rows: list[tuple[str, str, str, str]]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{s}' AS schema_name, '{n}' AS table_name, '{k}' AS kind, count(*) AS n_rows "
+        f"FROM {src}" for s, n, k, src in rows)
+
+
+_LINEITEM_TEXT = ("SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, "
+                  "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS l_extendedprice, "
+                  "CAST(CAST(l_discount AS DECIMAL(12,2)) AS VARCHAR) AS l_discount, "
+                  "CAST(CAST(l_tax AS DECIMAL(12,2)) AS VARCHAR) AS l_tax, "
+                  "l_returnflag, l_linestatus, l_shipdate FROM lineitem")
+
+
 def oracle_sql() -> dict[str, str]:
     W = O.fixtures_with()
     gaming, bar, top = (", ".join(map(str, c)) for c in (GAMING_CODES, BAR_CODES, TOP_UP_CODES))
@@ -198,4 +305,36 @@ def oracle_sql() -> dict[str, str]:
         "local_time": f"{W}\nSELECT p.id, p.date AS payment_time, c.time_zone, "
                       f"p.date + (c.time_zone * INTERVAL '1 second') AS payment_time_local "
                       f"{_BU_JOIN} LEFT JOIN club c ON c.id = bu.id_club",
+        "snapshot_all": W + "\n" + _counts([
+            ("billing", "balance", "r", "balance"),
+            ("billing", "balance_user", "r", "balance_user"),
+            ("billing", "payment", "r", "payment"),
+            ("billing", "payment_type", "r", "payment_type"),
+            ("cntrl", "club", "r", "club"),
+            ("public", "customer", "r", "customer"),
+            ("public", "lineitem", "r", "lineitem"),
+            ("public", "orders", "r", "orders"),
+            ("reports", "orders_mv", "m", "orders"),
+            ("billing", "v_active_payment", "v",
+             "payment p JOIN payment_type pt ON p.id_payment_type = pt.id WHERE pt.state = 1"),
+        ]),
+        "snapshot_coerced": _LINEITEM_TEXT,
+        "snapshot_csv": "SELECT * FROM documents",
+        "snapshot_refresh": "SELECT * FROM orders",
+        "snapshot_two_sources": _counts([
+            ("billing", "orders", "r", "orders"),
+            ("public", "customer", "r", "customer"),
+            ("public", "part", "r", "part"),
+        ]),
+        "snapshot_matview": "SELECT * FROM orders",
+        "view_replay": f"{W}\nSELECT p.id, p.date, bu.id_club, c.time_zone, "
+                       f"CAST(p.amount AS VARCHAR) AS amount_label FROM payment p "
+                       f"JOIN balance_user bu ON p.id_balance_user = bu.id "
+                       f"JOIN (SELECT id, profit, method FROM payment_type WHERE state = 1) t "
+                       f"ON t.id = p.id_payment_type LEFT JOIN club c ON c.id = bu.id_club",
+        "model_refresh": O.model_sql("en"),
+        "model_layout_lookup": O.model_sql(
+            "en", where=f"id_club IN ({', '.join(map(str, LOOKUP_CLUBS))}) "
+                        f"AND payment_time_local >= TIMESTAMP '{LOOKUP_FROM}' "
+                        f"AND payment_time_local < TIMESTAMP '{LOOKUP_TO}'"),
     }
