@@ -2,7 +2,7 @@
 
 A side is broadcast only after a bounded probe proves it holds at most
 ``max_rows`` rows; ``take(max_rows + 1)`` of a zero-column projection reads
-at most that many rows, so the probe costs the same however large the table
+at most that many rows (of zero columns), so the probe costs the same however large the table
 turns out to be.  A side over the bound is returned unchanged and the join
 shuffles (AQE may still turn it into a broadcast from real shuffle sizes, and
 splits skewed partitions).  Callers project to the join key and the few
@@ -21,7 +21,12 @@ ACCOUNT_MAX_ROWS = 2_000_000
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    return len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    ``take`` scans partitions incrementally and stops after ``max_rows + 1``
+    rows, so the probe reads O(max_rows) rows however large ``df`` is.
+    """
+    return len(df.select().take(max_rows + 1)) <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:

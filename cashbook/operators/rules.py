@@ -190,10 +190,31 @@ RULE_SCHEMA = T.StructType([
 ])
 
 
+def _sql_text(s: str) -> str:
+    if "'" in s or "\\" in s:
+        raise ValueError(f"label needs escaping: {s!r}")
+    return f"'{s}'"
+
+
 def rule_table(spark: SparkSession, lang: str = "en",
                metrics: tuple[str, ...] | list[str] | None = None) -> DataFrame:
-    """The rule table as a (tiny, constant-size) DataFrame."""
-    return spark.createDataFrame(rule_rows(lang, metrics), RULE_SCHEMA)
+    """The rule table as a (tiny, constant-size) local relation.
+
+    Built as an inline ``VALUES`` table, so the optimizer knows its exact size
+    and no Python worker is needed to produce it.
+    """
+    rows = rule_rows(lang, metrics)
+    if not rows:
+        return spark.createDataFrame([], RULE_SCHEMA)
+    values = ",\n".join(
+        f"({t}, {p}, {'NULL' if m is None else m}, {_sql_text(k)}, {_sql_text(label)}, {sign}, "
+        f"{'true' if nz else 'false'}, '{o}')"
+        for t, p, m, k, label, sign, nz, o in rows)
+    return spark.sql(
+        "SELECT CAST(col1 AS INT) AS r_type, CAST(col2 AS INT) AS r_profit, "
+        "CAST(col3 AS INT) AS r_method, col4 AS metric_key, col5 AS metric, "
+        "CAST(col6 AS INT) AS sign, col7 AS nonzero, CAST(col8 AS DECIMAL(5,4)) AS ord "
+        f"FROM VALUES {values}")
 
 
 def rule_codes(metrics: tuple[str, ...] | list[str] | None = None) -> list[int]:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cashbook.functions.scalar import local_time, to_double
-from cashbook.operators.broadcast import DIMENSION_MAX_ROWS, bounded_broadcast
+from cashbook.operators.broadcast import ACCOUNT_MAX_ROWS, DIMENSION_MAX_ROWS, bounded_broadcast
 from cashbook.operators.feed import account_side, active_types, join_accounts, join_types
 from cashbook.operators.rules import COL_METRIC, COL_ORDER, COL_VALUE, rule_codes, rule_table
 from cashbook.sources.fixtures import BillingTables
@@ -38,8 +38,14 @@ def rule_join_condition(x: DataFrame, rules: DataFrame):
 
 
 def pnl_long(t: BillingTables, lang: str = "en",
-             metrics: tuple[str, ...] | list[str] | None = None) -> DataFrame:
-    """The long metric rows of the model (optionally only some metrics)."""
+             metrics: tuple[str, ...] | list[str] | None = None,
+             dim_max_rows: int = DIMENSION_MAX_ROWS,
+             account_max_rows: int = ACCOUNT_MAX_ROWS) -> DataFrame:
+    """The long metric rows of the model (optionally only some metrics).
+
+    ``dim_max_rows`` / ``account_max_rows`` bound what may be broadcast; an
+    account side above its bound is joined by a shuffle on the account id.
+    """
     spark = t.payment.sparkSession
     rules = rule_table(spark, lang, metrics)
     codes = rule_codes(metrics)
@@ -55,9 +61,9 @@ def pnl_long(t: BillingTables, lang: str = "en",
                      F.col("profit").alias("pt_profit")))
     has_rule = ((types["pt_id"] == rules["r_type"]) & (types["pt_profit"] == rules["r_profit"])
                 & (rules["r_method"].isNull() | (types["pt_method"] == rules["r_method"])))
-    types = bounded_broadcast(types.join(rules, has_rule, "left_semi"), DIMENSION_MAX_ROWS)
+    types = bounded_broadcast(types.join(F.broadcast(rules), has_rule, "left_semi"), dim_max_rows)
 
-    x = join_accounts(join_types(payments, types), account_side(t))
+    x = join_accounts(join_types(payments, types), account_side(t, dim_max_rows, account_max_rows))
     # The rule table is built from the fixed catalogue: a few hundred rows,
     # bounded by construction, so it is broadcast without a probe.
     x = x.join(F.broadcast(rules), rule_join_condition(x, rules), "inner")

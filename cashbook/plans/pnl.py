@@ -24,9 +24,9 @@ def _check(lang: str) -> None:
 
 
 def pnl_long(t: BillingTables, lang: str = "en",
-             metrics: tuple[str, ...] | list[str] | None = None) -> DataFrame:
+             metrics: tuple[str, ...] | list[str] | None = None, **bounds) -> DataFrame:
     _check(lang)
-    return _pnl_long(t, lang, metrics)
+    return _pnl_long(t, lang, metrics, **bounds)
 
 
 def pnl_feed(t: BillingTables) -> DataFrame:
