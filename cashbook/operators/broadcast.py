@@ -11,6 +11,8 @@ columns they need first, so rows x width stays small.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,3 +33,15 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
     return F.broadcast(df) if fits(df, max_rows) else df
+
+
+def fits_all(sides: list[tuple[DataFrame, int]]) -> list[bool]:
+    """Probe several sides at once (one small job each, run concurrently)."""
+    if len(sides) <= 1:
+        return [fits(df, n) for df, n in sides]
+    with ThreadPoolExecutor(max_workers=len(sides)) as pool:
+        return list(pool.map(lambda s: fits(*s), sides))
+
+
+def hint(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cashbook.functions.scalar import local_time
 from cashbook.operators.broadcast import (ACCOUNT_MAX_ROWS, DIMENSION_MAX_ROWS,
-                                          bounded_broadcast)
+                                          bounded_broadcast, fits_all, hint)
 from cashbook.sources.fixtures import BillingTables
 
 # column order of the model's source projection
@@ -46,30 +46,49 @@ def main_balance_accounts(bu: DataFrame) -> DataFrame:
     return bu.filter(F.col("id_balance") == 1)
 
 
-def type_side(pt: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
-    """Active payment types, renamed for the join, broadcast when bounded."""
-    side = active_types(pt).select(
+def type_frame(pt: DataFrame) -> DataFrame:
+    """Active payment types, renamed for the join."""
+    return active_types(pt).select(
         F.col("id").alias("pt_id"), F.col("direct").alias("pt_direct"),
         F.col("method").alias("pt_method"), F.col("profit").alias("pt_profit"),
         F.col("id_parent").alias("pt_id_parent"))
-    return bounded_broadcast(side, max_rows)
+
+
+def type_side(pt: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
+    """Active payment types, broadcast when bounded."""
+    return bounded_broadcast(type_frame(pt), max_rows)
+
+
+def account_frames(t: BillingTables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Main-balance accounts, balances and clubs, projected for the joins."""
+    bu = main_balance_accounts(t.balance_user).select(
+        F.col("id").alias("acc_id"), "id_club", "id_balance")
+    b = t.balance.select(F.col("id").alias("b_id"))
+    c = t.club.select(F.col("id").alias("c_id"), "time_zone")
+    return bu, b, c
+
+
+def attach_clubs(bu: DataFrame, b: DataFrame, c: DataFrame) -> DataFrame:
+    """J3 + J4 on the account side: one row per account x balance row x club row.
+
+    A missing club leaves ``time_zone`` NULL and keeps the account.
+    """
+    return (bu.join(b, bu["id_balance"] == b["b_id"], "left")
+              .join(c, bu["id_club"] == c["c_id"], "left")
+              .select("acc_id", "id_club", "id_balance", "time_zone"))
 
 
 def account_side(t: BillingTables, dim_rows: int = DIMENSION_MAX_ROWS,
                  account_rows: int = ACCOUNT_MAX_ROWS) -> DataFrame:
     """Main-balance accounts with balance (J3) and club (J4) attached.
 
-    One row per account x matching balance row x matching club row; a missing
-    club leaves ``time_zone`` NULL and keeps the account.
+    The three size probes run concurrently; each side is broadcast only when
+    its probe proves it within its bound.
     """
-    bu = main_balance_accounts(t.balance_user).select(
-        F.col("id").alias("acc_id"), "id_club", "id_balance")
-    b = bounded_broadcast(t.balance.select(F.col("id").alias("b_id")), dim_rows)
-    c = bounded_broadcast(t.club.select(F.col("id").alias("c_id"), "time_zone"), dim_rows)
-    acc = (bu.join(b, bu["id_balance"] == b["b_id"], "left")
-             .join(c, bu["id_club"] == c["c_id"], "left")
-             .select("acc_id", "id_club", "id_balance", "time_zone"))
-    return bounded_broadcast(acc, account_rows)
+    bu, b, c = account_frames(t)
+    small_b, small_c, small_acc = fits_all(
+        [(b, dim_rows), (c, dim_rows), (attach_clubs(bu, b, c), account_rows)])
+    return hint(attach_clubs(bu, hint(b, small_b), hint(c, small_c)), small_acc)
 
 
 def join_types(p: DataFrame, types: DataFrame) -> DataFrame:

@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cashbook.functions.scalar import local_time, to_double
-from cashbook.operators.broadcast import ACCOUNT_MAX_ROWS, DIMENSION_MAX_ROWS, bounded_broadcast
-from cashbook.operators.feed import account_side, active_types, join_accounts, join_types
+from cashbook.operators.broadcast import ACCOUNT_MAX_ROWS, DIMENSION_MAX_ROWS, fits_all, hint
+from cashbook.operators.feed import (account_frames, active_types, attach_clubs, join_accounts,
+                                     join_types)
 from cashbook.operators.rules import COL_METRIC, COL_ORDER, COL_VALUE, rule_codes, rule_table
 from cashbook.sources.fixtures import BillingTables
 
@@ -61,9 +62,16 @@ def pnl_long(t: BillingTables, lang: str = "en",
                      F.col("profit").alias("pt_profit")))
     has_rule = ((types["pt_id"] == rules["r_type"]) & (types["pt_profit"] == rules["r_profit"])
                 & (rules["r_method"].isNull() | (types["pt_method"] == rules["r_method"])))
-    types = bounded_broadcast(types.join(F.broadcast(rules), has_rule, "left_semi"), dim_max_rows)
+    types = types.join(F.broadcast(rules), has_rule, "left_semi")
 
-    x = join_accounts(join_types(payments, types), account_side(t, dim_max_rows, account_max_rows))
+    # size probes of all four dimension sides, run concurrently
+    bu, b, c = account_frames(t)
+    small_t, small_b, small_c, small_acc = fits_all(
+        [(types, dim_max_rows), (b, dim_max_rows), (c, dim_max_rows),
+         (attach_clubs(bu, b, c), account_max_rows)])
+    accounts = hint(attach_clubs(bu, hint(b, small_b), hint(c, small_c)), small_acc)
+
+    x = join_accounts(join_types(payments, hint(types, small_t)), accounts)
     # The rule table is built from the fixed catalogue: a few hundred rows,
     # bounded by construction, so it is broadcast without a probe.
     x = x.join(F.broadcast(rules), rule_join_condition(x, rules), "inner")

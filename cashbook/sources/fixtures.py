@@ -69,9 +69,17 @@ class BillingTables(NamedTuple):
     club: DataFrame
 
 
+_FIXTURES: dict = {}
+
+
 def fixture_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    frames = {t: read_table(spark, sf_dir, t) for t in _INPUTS[name]}
-    return spark.sql(FIXTURE_SQL[name], **frames)
+    """One derived table (a lazy plan, built once per session and input folder)."""
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    df = _FIXTURES.get(key)
+    if df is None or df.sparkSession is not spark:
+        frames = {t: read_table(spark, sf_dir, t) for t in _INPUTS[name]}
+        df = _FIXTURES[key] = spark.sql(FIXTURE_SQL[name], **frames)
+    return df
 
 
 def fixture_tables(spark: SparkSession, sf_dir: str) -> BillingTables:

@@ -8,7 +8,20 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+_READS: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The parquet table; one DataFrame per (session, file).
+
+    The files are read-only inputs, so the lazily evaluated DataFrame (its
+    schema and file listing) is resolved once per session and reused.
+    """
     if name not in TABLES:
         raise KeyError(name)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _READS[key] = spark.read.parquet(path)
+    return df

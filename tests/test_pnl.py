@@ -128,3 +128,11 @@ def test_totals_consistent_on_fixture(spark, sf_small):
     assert sums["Total expenses"] == pytest.approx(sum(sums[k] for k in expense_leaves), rel=1e-9)
     assert sums["Profit"] == pytest.approx(sums["Total revenue"] - sums["Total expenses"], rel=1e-9)
     assert len(sums) == 34
+
+
+def test_wide_lookup_equals_inline_case(t):
+    from cashbook.operators.rules import LEAVES
+    from cashbook.operators.wide import leaf_column
+    feed = pnl.pnl_feed(t)
+    inline = feed.select(*feed.columns, *[leaf_column(m).alias(m.en) for m in LEAVES])
+    assert bag(inline) == bag(pnl.pnl_wide(t, "en"))
