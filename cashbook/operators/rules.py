@@ -196,13 +196,26 @@ def _sql_text(s: str) -> str:
     return f"'{s}'"
 
 
+_RULE_TABLES: dict = {}
+
+
 def rule_table(spark: SparkSession, lang: str = "en",
                metrics: tuple[str, ...] | list[str] | None = None) -> DataFrame:
     """The rule table as a (tiny, constant-size) local relation.
 
     Built as an inline ``VALUES`` table, so the optimizer knows its exact size
-    and no Python worker is needed to produce it.
+    and no Python worker is needed to produce it.  The table is a constant, so
+    one DataFrame per session, language and metric set is reused.
     """
+    key = (id(spark), lang, None if metrics is None else tuple(metrics))
+    df = _RULE_TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _RULE_TABLES[key] = _build_rule_table(spark, lang, metrics)
+    return df
+
+
+def _build_rule_table(spark: SparkSession, lang: str,
+                      metrics: tuple[str, ...] | list[str] | None) -> DataFrame:
     rows = rule_rows(lang, metrics)
     if not rows:
         return spark.createDataFrame([], RULE_SCHEMA)

@@ -101,6 +101,16 @@ def model_sql(lang: str = "en", metrics: list[str] | tuple[str, ...] | None = No
     return fixtures_with([source_cte(lang)]) + "\n" + body
 
 
+def model_sql_over_tables(lang: str = "en") -> str:
+    """The model over existing tables named payment, payment_type, balance_user,
+    balance and club (no fixture CTEs)."""
+    keys = [m.key for m in LEAVES] + [r.key for r in ROLLUPS]
+    body = "\nUNION ALL\n".join(
+        leaf_branch(LEAF_BY_KEY[k], lang) if k in LEAF_BY_KEY else rollup_branch(ROLLUP_BY_KEY[k], lang)
+        for k in keys)
+    return "WITH " + source_cte(lang) + "\n" + body
+
+
 def source_sql(lang: str = "en", columns: list[str] | None = None,
                leaf_keys: list[str] | tuple[str, ...] | None = None) -> str:
     """Rows of the ``source`` CTE: chosen columns plus chosen leaf columns."""
