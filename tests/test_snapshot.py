@@ -118,3 +118,16 @@ def test_jdbc_options():
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", query="select 1", partition_column="id", lower=1, upper=2,
                      num_partitions=2)
+
+
+def test_full_run_two_sources_then_model(spark, sf_small):
+    from cashbook.plans.model import model_table
+    from cashbook.plans.pipeline import refresh_warehouse
+    from cashbook.sources.fixture_sources import billing_source, main_source
+    wh = Warehouse(spark, scratch_dir(spark, "t-run"))
+    rep = refresh_warehouse(spark, [main_source(spark, sf_small), billing_source(spark, sf_small)],
+                            wh, "ru", staging="csv")
+    assert model_table(spark, "ru").count() == 4007
+    # the billing tables exist in both sources; the later one (index 1) wins
+    assert {(s, n): src for s, n, _, src in rep.snapshot.copied}[("billing", "payment")] == 1
+    assert rep.snapshot.views.created == [("billing", "v_active_payment")]
