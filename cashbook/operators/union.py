@@ -3,8 +3,9 @@
 This is the shape the model is written in -- every branch re-reads the wide
 ``source`` -- and it is kept only as an independent cross-check of the
 single-pass form in :mod:`cashbook.operators.unpivot`.  The wide source is
-written once to the shared checkpoint folder (``checkpoint()``), so the 34
-branches scan that stored result instead of re-running the joins 34 times.
+written once as a Parquet table in the shared checkpoint folder, so the 34
+branches scan that stored result (each reading only its key columns and one
+leaf column) instead of re-running the joins 34 times.
 
 Bag semantics: ``union`` keeps duplicates and matches columns by position;
 the names come from the first branch, as in SQL.
@@ -56,11 +57,12 @@ def branches(wide: DataFrame, lang: str = "en") -> list[DataFrame]:
 def pnl_union_form(wide: DataFrame, lang: str = "en", stage: bool = True) -> DataFrame:
     """The model as the union of its 34 branches.
 
-    ``stage=True`` cuts the wide source's lineage with a reliable checkpoint
-    in the session's shared checkpoint folder first.
+    ``stage=True`` first writes the wide source to a fresh folder under the
+    session's shared checkpoint folder and reads it back, cutting its lineage.
     """
     if stage:
-        from cashbook.session import checkpoint_root
-        checkpoint_root(wide.sparkSession)
-        wide = wide.checkpoint(eager=True)
+        from cashbook.session import scratch_dir
+        path = scratch_dir(wide.sparkSession, "wide")
+        wide.write.mode("errorifexists").parquet(path)
+        wide = wide.sparkSession.read.parquet(path)
     return union_all(branches(wide, lang))

@@ -77,7 +77,8 @@ def fixture_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (id(spark), sf_dir.rstrip("/"), name)
     df = _FIXTURES.get(key)
     if df is None or df.sparkSession is not spark:
-        frames = {t: read_table(spark, sf_dir, t) for t in _INPUTS[name]}
+        # the fact input is spread over the cores; dimension inputs are broadcast
+        frames = {t: read_table(spark, sf_dir, t, spread=(t == "lineitem")) for t in _INPUTS[name]}
         df = _FIXTURES[key] = spark.sql(FIXTURE_SQL[name], **frames)
     return df
 

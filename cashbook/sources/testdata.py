@@ -7,21 +7,40 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+# Inputs below this size are spread over the cores after the scan (see read_table).
+SPREAD_MAX_BYTES = 256 * 1024 * 1024
 
 _READS: dict = {}
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet table; one DataFrame per (session, file).
+def _total_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
 
-    The files are read-only inputs, so the lazily evaluated DataFrame (its
-    schema and file listing) is resolved once per session and reused.
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """The parquet table; one DataFrame per (session, file, spread).
+
+    The files are read-only inputs, so the lazily evaluated DataFrame (schema
+    and file listing) is resolved once per session and reused.
+
+    ``spread=True``: each testdata table is one file with a single row group,
+    and a row group is the unit of scan parallelism, so the scan -- and all
+    work fused after it -- runs as one task.  A small input is therefore
+    round-robin repartitioned over the cores.  Inputs of ``SPREAD_MAX_BYTES``
+    or more keep their scan parallelism (many row groups / files); shuffling
+    them would only add work.
     """
     if name not in TABLES:
         raise KeyError(name)
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (id(spark), path, spread)
     df = _READS.get(key)
     if df is None or df.sparkSession is not spark:
-        df = _READS[key] = spark.read.parquet(path)
+        df = spark.read.parquet(path)
+        if spread and _total_bytes(spark, path) < SPREAD_MAX_BYTES:
+            df = df.repartition(spark.sparkContext.defaultParallelism)
+        _READS[key] = df
     return df
