@@ -12,7 +12,7 @@ Config (JSON)::
          "properties": {"user": "etl", "driver": "org.postgresql.Driver"},
          "password_env": "MAIN_DB_PASSWORD",     # optional: name of an environment variable
          "partition_columns": {"billing.payment": "id"},
-         "num_partitions": 64}
+         "num_partitions": null}                 # default: one split per 2M key values
       ]
     }
 
@@ -35,8 +35,9 @@ def build_sources(spark, cfg: dict):
         if s.get("password_env"):
             props["password"] = os.environ[s["password_env"]]
         parts = {tuple(k.split(".", 1)): v for k, v in s.get("partition_columns", {}).items()}
+        n = s.get("num_partitions")
         out.append(JdbcSource(spark, s["name"], s["jdbc_url"], props, parts,
-                              int(s.get("num_partitions", 64))))
+                              int(n) if n else None))
     return out
 
 

@@ -29,6 +29,32 @@ MODEL_SCHEMA = "models"
 LOOKUP_KEYS = ("id_club", "payment_time_local")
 
 
+# one output range per this many bytes of payment input
+TARGET_INPUT_BYTES_PER_RANGE = 256 * 1024 * 1024
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Total size of the files ``df`` reads (driver-side file metadata only)."""
+    files = df.inputFiles()
+    if not files:
+        return 0
+    sc = df.sparkSession.sparkContext
+    jvm = sc._jvm
+    conf = sc._jsc.hadoopConfiguration()
+    total = 0
+    for f in files:
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += int(p.getFileSystem(conf).getFileStatus(p).getLen())
+    return total
+
+
+def range_count(spark: SparkSession, payments: DataFrame) -> int:
+    """Number of output ranges: one per ``TARGET_INPUT_BYTES_PER_RANGE`` of
+    payment input, never fewer than ``spark.sql.shuffle.partitions``."""
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(floor, -(-input_bytes(payments) // TARGET_INPUT_BYTES_PER_RANGE))
+
+
 def clustered(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Range-partition and sort for club / local-time lookups.
 
@@ -45,9 +71,15 @@ def clustered(df: DataFrame, partitions: int | None = None) -> DataFrame:
 def refresh_model(spark: SparkSession, warehouse: Warehouse, lang: str = "en",
                   tables: BillingTables | None = None, partitions: int | None = None,
                   max_records_per_file: int | None = 5_000_000) -> str:
-    """S15 + S16: rebuild ``models.<model>`` from the billing tables."""
+    """S15 + S16: rebuild ``models.<model>`` from the billing tables.
+
+    ``partitions`` (number of club / local-time ranges) defaults to one per
+    256 MB of payment input, at least ``spark.sql.shuffle.partitions``, so the
+    layout shuffle keeps its partitions bounded at any input size.
+    """
     t = tables if tables is not None else catalog_tables(spark)
-    df = clustered(pnl_long(t, lang), partitions)
+    n = partitions if partitions is not None else range_count(spark, t.payment)
+    df = clustered(pnl_long(t, lang), n)
     return warehouse.replace(MODEL_SCHEMA, MODEL_TABLES[lang], df, max_records_per_file)
 
 

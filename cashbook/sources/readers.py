@@ -79,12 +79,22 @@ def jdbc_options(url: str, table: str | None = None, query: str | None = None,
     return opts
 
 
+def split_count(lo: int, hi: int, rows_per_split: int, max_splits: int) -> int:
+    """Range splits for keys in [lo, hi]: one per ``rows_per_split`` keys, capped."""
+    return max(1, min(max_splits, -(-(hi - lo + 1) // max(1, rows_per_split))))
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
-              partition_column: str | None = None, num_partitions: int = 64,
-              fetchsize: int = 10_000) -> DataFrame:
+              partition_column: str | None = None, num_partitions: int | None = None,
+              fetchsize: int = 10_000, rows_per_split: int = 2_000_000,
+              max_splits: int = 10_000) -> DataFrame:
     """Full-table JDBC read, range-split on ``partition_column`` when given.
 
-    The bounds come from one ``min/max`` query pushed to the source.
+    The bounds come from one ``min/max`` query pushed to the source; without
+    an explicit ``num_partitions`` there is one split per ``rows_per_split``
+    key values (dense integer keys assumed), so each task stays bounded
+    whatever the table size.  Each running task holds one source connection,
+    so concurrent connections are bounded by the splits and the task slots.
     """
     if partition_column is None:
         return spark.read.format("jdbc").options(
@@ -95,7 +105,8 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None
         properties=properties)).load().first()
     if b is None or b["lo"] is None:
         return read_jdbc(spark, url, table, properties, None, fetchsize=fetchsize)
+    lo, hi = int(b["lo"]), int(b["hi"])
+    n = num_partitions or split_count(lo, hi, rows_per_split, max_splits)
     return spark.read.format("jdbc").options(**jdbc_options(
         url, table=table, properties=properties, partition_column=partition_column,
-        lower=int(b["lo"]), upper=int(b["hi"]) + 1, num_partitions=num_partitions,
-        fetchsize=fetchsize)).load()
+        lower=lo, upper=hi + 1, num_partitions=n, fetchsize=fetchsize)).load()

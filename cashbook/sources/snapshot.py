@@ -86,7 +86,7 @@ class JdbcSource:
 
     def __init__(self, spark: SparkSession, name: str, url: str, properties: dict | None = None,
                  partition_columns: dict[tuple[str, str], str] | None = None,
-                 num_partitions: int = 64):
+                 num_partitions: int | None = None):
         self.spark, self.name, self.url = spark, name, url
         self.properties = dict(properties or {})
         self.partition_columns = dict(partition_columns or {})

@@ -131,3 +131,17 @@ def test_full_run_two_sources_then_model(spark, sf_small):
     # the billing tables exist in both sources; the later one (index 1) wins
     assert {(s, n): src for s, n, _, src in rep.snapshot.copied}[("billing", "payment")] == 1
     assert rep.snapshot.views.created == [("billing", "v_active_payment")]
+
+
+def test_jdbc_split_count_scales_with_key_range():
+    from cashbook.sources.readers import split_count
+    assert split_count(1, 10, 2_000_000, 10_000) == 1
+    assert split_count(1, 10_000_000, 2_000_000, 10_000) == 5
+    assert split_count(0, 10**12, 2_000_000, 10_000) == 10_000
+
+
+def test_model_range_count(spark, sf_small):
+    from cashbook.plans.model import range_count
+    from cashbook.sources.testdata import read_table
+    li = read_table(spark, sf_small, "lineitem")
+    assert range_count(spark, li) == int(spark.conf.get("spark.sql.shuffle.partitions"))
