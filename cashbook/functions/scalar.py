@@ -30,3 +30,14 @@ def local_time(ts: Column | str, offset_seconds: Column | str) -> Column:
     ts = F.col(ts) if isinstance(ts, str) else ts
     off = F.col(offset_seconds) if isinstance(offset_seconds, str) else offset_seconds
     return ts + off * F.expr("INTERVAL '1' SECOND")
+
+
+def numeric_offset(c: Column, dtype) -> Column:
+    """An offset column usable in :func:`local_time`.
+
+    A numeric column is used as is; an offset stored as text (a modified
+    numeric type lands as text in the warehouse) is read as a decimal with
+    microsecond precision -- malformed text fails under ANSI mode.
+    """
+    from pyspark.sql import types as T
+    return c.cast(T.DecimalType(38, 6)) if isinstance(dtype, T.StringType) else c

@@ -86,10 +86,10 @@ def pg_type_of(dt: T.DataType) -> str:
 def _as_text(c: Column, src: T.DataType, pg_type: str) -> Column:
     """Render a value as the text the source would print for ``pg_type``."""
     m = _NUMERIC_MOD.match(pg_type)
-    if m and isinstance(src, (T.NumericType,)) and not isinstance(src, T.DecimalType):
-        # a fixed-scale number printed with its scale: 12.5 -> '12.50'
-        c = c.cast(T.DecimalType(int(m.group(1)), int(m.group(2) or 0)))
-        return c.cast("string")
+    if m and isinstance(src, T.NumericType):
+        # a fixed-scale number printed with its declared scale: 12.5 -> '12.50'
+        target = T.DecimalType(int(m.group(1)), int(m.group(2) or 0))
+        return (c if src == target else c.cast(target)).cast("string")
     m = _CHAR_MOD.match(pg_type)
     if m and isinstance(src, T.StringType):
         n = int(m.group(1))
@@ -116,7 +116,7 @@ def coerce(df: DataFrame, columns: list[tuple[str, str]], strict: bool = False)
     out = []
     for name, pg in columns:
         target = spark_type(pg, strict)
-        c = F.col(f"`{name}`")
+        c = F.col("`" + name.replace("`", "``") + "`")
         if isinstance(target, T.StringType) and not isinstance(src_types[name], T.StringType):
             c = _as_text(c, src_types[name], pg)
         elif isinstance(target, T.StringType):

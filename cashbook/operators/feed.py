@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cashbook.functions.scalar import local_time
+from cashbook.functions.scalar import local_time, numeric_offset
 from cashbook.operators.broadcast import (ACCOUNT_MAX_ROWS, DIMENSION_MAX_ROWS,
                                           bounded_broadcast, fits_all, hint)
 from cashbook.sources.fixtures import BillingTables
@@ -64,7 +64,8 @@ def account_frames(t: BillingTables) -> tuple[DataFrame, DataFrame, DataFrame]:
     bu = main_balance_accounts(t.balance_user).select(
         F.col("id").alias("acc_id"), "id_club", "id_balance")
     b = t.balance.select(F.col("id").alias("b_id"))
-    c = t.club.select(F.col("id").alias("c_id"), "time_zone")
+    c = t.club.select(F.col("id").alias("c_id"), numeric_offset(
+        F.col("time_zone"), t.club.schema["time_zone"].dataType).alias("time_zone"))
     return bu, b, c
 
 

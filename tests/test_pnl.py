@@ -136,3 +136,11 @@ def test_wide_lookup_equals_inline_case(t):
     feed = pnl.pnl_feed(t)
     inline = feed.select(*feed.columns, *[leaf_column(m).alias(m.en) for m in LEAVES])
     assert bag(inline) == bag(pnl.pnl_wide(t, "en"))
+
+
+def test_text_time_zone_offsets(spark):
+    base = tables(spark, PAYMENTS, TYPES, ACCOUNTS)
+    text_club = spark.createDataFrame([(1, "3600.5"), (2, "-1800")], "id int, time_zone string")
+    t2 = base._replace(club=text_club)
+    r = pnl.pnl_long(t2).filter(F.col(COL_METRIC) == "Cash").first()
+    assert r["payment_time_local"] == T0 + dt.timedelta(minutes=1, hours=1, milliseconds=500)

@@ -55,3 +55,10 @@ def test_coerce_values(spark):
     assert r["ts"] == dt.datetime(2020, 1, 2, 3, 4, 5, 6)
     strict = coerce(df, cols, strict=True)
     assert strict.schema["price"].dataType == T.DecimalType(12, 2)
+
+
+def test_declared_scale_wins_over_source_scale(spark):
+    df = spark.createDataFrame([(Decimal("3.100000"),)], "d decimal(20,6)")
+    assert coerce(df, [("d", "numeric(10,2)")]).first()["d"] == "3.10"
+    odd = spark.createDataFrame([(1,)], "`we``ird` int")
+    assert coerce(odd, [("we`ird", "bigint")]).schema[0].dataType == T.LongType()
