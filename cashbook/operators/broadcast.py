@@ -3,9 +3,9 @@
 A side is broadcast only after a bounded probe proves it holds at most
 ``max_rows`` rows; ``take(max_rows + 1)`` of a zero-column projection reads
 at most that many rows (of zero columns), so the probe costs the same however large the table
-turns out to be.  A side over the bound is returned unchanged and the join
-shuffles (AQE may still turn it into a broadcast from real shuffle sizes, and
-splits skewed partitions).  Callers project to the join key and the few
+turns out to be.  A side over the bound gets a ``merge`` hint and the join
+shuffles (AQE may still turn it into a broadcast from measured shuffle sizes,
+and splits skewed partitions).  Callers project to the join key and the few
 columns they need first, so rows x width stays small.
 """
 
@@ -32,7 +32,7 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if fits(df, max_rows) else df
+    return hint(df, fits(df, max_rows))
 
 
 def fits_all(sides: list[tuple[DataFrame, int]]) -> list[bool]:
@@ -44,4 +44,10 @@ def fits_all(sides: list[tuple[DataFrame, int]]) -> list[bool]:
 
 
 def hint(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
+    """Broadcast a side proven small; pin any other side to a shuffle join.
+
+    The ``merge`` hint keeps the planner from broadcasting an unproven side
+    on file-size estimates alone; AQE may still switch to a broadcast at run
+    time, but only from measured shuffle sizes.
+    """
+    return F.broadcast(df) if small else df.hint("merge")
