@@ -26,7 +26,7 @@ from cashbook.functions.types import coerce, pg_type_of
 from cashbook.sources import catalog as C
 from cashbook.sources.readers import read_csv_snapshot, read_jdbc, write_csv_snapshot
 from cashbook.sources.views import ViewReport, replay_views
-from cashbook.sources.warehouse import Warehouse
+from cashbook.sources.warehouse import Warehouse, delete_path
 
 log = logging.getLogger(__name__)
 
@@ -125,17 +125,23 @@ class SnapshotReport:
 def copy_table(source: Source, schema: str, name: str, warehouse: Warehouse, *,
                staging: str = "direct", stage_root: str | None = None,
                strict_types: bool = False, max_records_per_file: int | None = None) -> str:
-    """Copy one table: read -> coerce -> [CSV stage] -> write-then-swap."""
+    """Copy one table: read -> coerce -> [CSV stage] -> write-then-swap.
+
+    A CSV stage is removed once the warehouse copy is committed.
+    """
     df = coerce(source.read(schema, name), source.columns(schema, name), strict_types)
-    if staging == "csv":
-        if not stage_root:
-            raise ValueError("CSV staging needs stage_root")
-        stage = f"{stage_root.rstrip('/')}/{schema}/{name}/{uuid.uuid4().hex}"
-        write_csv_snapshot(df, stage)
-        df = read_csv_snapshot(df.sparkSession, stage, df.schema)
-    elif staging != "direct":
+    if staging == "direct":
+        return warehouse.replace(schema, name, df, max_records_per_file)
+    if staging != "csv":
         raise ValueError(f"unknown staging {staging!r}")
-    return warehouse.replace(schema, name, df, max_records_per_file)
+    if not stage_root:
+        raise ValueError("CSV staging needs stage_root")
+    stage = f"{stage_root.rstrip('/')}/{schema}/{name}/{uuid.uuid4().hex}"
+    write_csv_snapshot(df, stage)
+    loc = warehouse.replace(schema, name, read_csv_snapshot(df.sparkSession, stage, df.schema),
+                            max_records_per_file)
+    delete_path(df.sparkSession, stage)
+    return loc
 
 
 def _with_retries(fn, attempts: int, what: str):

@@ -79,9 +79,7 @@ class Warehouse:
 
     # -- housekeeping ---------------------------------------------------
     def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+        return hadoop_path(self.spark, path)
 
     def versions(self, schema: str, name: str) -> list[str]:
         fs, p = self._fs(self.table_dir(schema, name))
@@ -92,5 +90,18 @@ class Warehouse:
 
     def _prune(self, schema: str, name: str) -> None:
         for v in self.versions(schema, name)[:-self.keep_versions]:
-            fs, p = self._fs(f"{self.table_dir(schema, name)}/{v}")
-            fs.delete(p, True)
+            delete_path(self.spark, f"{self.table_dir(schema, name)}/{v}")
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(FileSystem, Path) for ``path`` on whatever storage the cluster uses."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder this package wrote (superseded versions, finished stages)."""
+    fs, p = hadoop_path(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)

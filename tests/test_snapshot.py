@@ -145,3 +145,15 @@ def test_model_range_count(spark, sf_small):
     from cashbook.sources.testdata import read_table
     li = read_table(spark, sf_small, "lineitem")
     assert range_count(spark, li) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_csv_stage_removed_after_copy(spark, sf_small):
+    from cashbook.sources.warehouse import hadoop_path
+    stage = scratch_dir(spark, "t-stage")
+    wh = Warehouse(spark, scratch_dir(spark, "t-wh5"))
+    nation = read_table(spark, sf_small, "nation")
+    src = FrameSource(spark, "a", {("s5", "n"): SourceObject("r", lambda: nation)})
+    copy_table(src, "s5", "n", wh, staging="csv", stage_root=stage)
+    assert bag(wh.table("s5", "n")) == bag(nation)
+    fs, p = hadoop_path(spark, f"{stage}/s5/n")
+    assert not fs.exists(p) or len(fs.listStatus(p)) == 0
