@@ -159,18 +159,19 @@ def snapshot_sources(spark: SparkSession, sources: list[Source], warehouse: Ware
                      strict_types: bool = False, parallelism: int = 4, retries: int = 3,
                      exclude_schemas: tuple[str, ...] = C.EXCLUDE_SCHEMAS,
                      exclude_tables: tuple[tuple[str, str], ...] = C.EXCLUDE_TABLES,
-                     replay: bool = True, max_records_per_file: int | None = None) -> SnapshotReport:
+                     replay: bool = True, max_records_per_file: int | None = None,
+                     data_kinds: tuple[str, ...] = C.DATA_KINDS) -> SnapshotReport:
     """S2 + S13: copy all selected objects of ``sources`` into ``warehouse``.
 
     Tables and materialized views first (S17: a matview is copied as data),
     then the views.  Where several sources hold the same (schema, name), the
     last listed source wins.
     """
-    listings = [C.select_objects(s.objects(), C.DATA_KINDS + C.VIEW_KINDS,
+    listings = [C.select_objects(s.objects(), tuple(data_kinds) + C.VIEW_KINDS,
                                  exclude_schemas, exclude_tables) for s in sources]
     chosen = C.with_precedence(listings).orderBy("schema", "name").collect()
     tables = [(r["schema"], r["name"], r["kind"], r["source"]) for r in chosen
-              if r["kind"] in C.DATA_KINDS]
+              if r["kind"] in data_kinds]
     views = [(r["schema"], r["name"], r["source"]) for r in chosen if r["kind"] in C.VIEW_KINDS]
 
     for schema in sorted({t[0] for t in tables} | {v[0] for v in views}):

@@ -157,3 +157,13 @@ def test_csv_stage_removed_after_copy(spark, sf_small):
     assert bag(wh.table("s5", "n")) == bag(nation)
     fs, p = hadoop_path(spark, f"{stage}/s5/n")
     assert not fs.exists(p) or len(fs.listStatus(p)) == 0
+
+
+def test_partitioned_parent_copied_only_on_request(spark, sf_small):
+    from cashbook.sources.fixture_sources import matview_source
+    wh = Warehouse(spark, scratch_dir(spark, "t-kinds"))
+    rep = snapshot_sources(spark, [matview_source(spark, sf_small)], wh)
+    assert [(s, n, k) for s, n, k, _ in rep.copied] == [("reports", "orders_mv", "m")]
+    wh2 = Warehouse(spark, scratch_dir(spark, "t-kinds2"))
+    rep2 = snapshot_sources(spark, [matview_source(spark, sf_small)], wh2, data_kinds=("r", "m", "p"))
+    assert sorted(k for _, _, k, _ in rep2.copied) == ["m", "p"]
