@@ -29,9 +29,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False
     ``spread=True``: each testdata table is one file with a single row group,
     and a row group is the unit of scan parallelism, so the scan -- and all
     work fused after it -- runs as one task.  A small input is therefore
-    round-robin repartitioned over the cores.  Inputs of ``SPREAD_MAX_BYTES``
-    or more keep their scan parallelism (many row groups / files); shuffling
-    them would only add work.
+    hash-repartitioned over the cores on its leading id column: deterministic
+    on retry without the sort a round-robin repartition needs, and the other
+    columns can still be pruned below the shuffle.  Inputs of
+    ``SPREAD_MAX_BYTES`` or more keep their scan parallelism (many row groups
+    / files); shuffling them would only add work.
     """
     if name not in TABLES:
         raise KeyError(name)
@@ -41,6 +43,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False
     if df is None or df.sparkSession is not spark:
         df = spark.read.parquet(path)
         if spread and _total_bytes(spark, path) < SPREAD_MAX_BYTES:
-            df = df.repartition(spark.sparkContext.defaultParallelism)
+            df = df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
         _READS[key] = df
     return df
