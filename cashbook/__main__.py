@@ -8,6 +8,8 @@ Config (JSON)::
       "staging": "direct",                       # or "csv" (staged in spark.checkpoint.dir)
       "model_partitions": 2000,                  # optional; default: shuffle partitions + AQE
       "sources": [                               # later-listed source wins on equal names
+        {"name": "dump", "files": "hdfs:///dumps/main", "format": "csv",
+         "columns": {"billing.payment": [["id", "bigint"], ["amount", "numeric(12,2)"]]}},
         {"name": "main", "jdbc_url": "jdbc:postgresql://host:5432/main",
          "properties": {"user": "etl", "driver": "org.postgresql.Driver"},
          "password_env": "MAIN_DB_PASSWORD",     # optional: name of an environment variable
@@ -28,9 +30,16 @@ import sys
 
 
 def build_sources(spark, cfg: dict):
-    from cashbook.sources.snapshot import JdbcSource
+    from cashbook.sources.snapshot import FileSource, JdbcSource
     out = []
     for s in cfg["sources"]:
+        if "files" in s:
+            cols = {tuple(k.split(".", 1)): [tuple(c) for c in v]
+                    for k, v in s.get("columns", {}).items()}
+            views = {tuple(k.split(".", 1)): v for k, v in s.get("views", {}).items()}
+            out.append(FileSource(spark, s["name"], s["files"], s.get("format", "parquet"),
+                                  cols, views))
+            continue
         props = dict(s.get("properties", {}))
         if s.get("password_env"):
             props["password"] = os.environ[s["password_env"]]

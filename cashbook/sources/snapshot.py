@@ -21,8 +21,9 @@ from typing import Callable, Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cashbook.functions.types import coerce, pg_type_of
+from cashbook.functions.types import coerce, pg_type_of, spark_type
 from cashbook.sources import catalog as C
 from cashbook.sources.readers import read_csv_snapshot, read_jdbc, write_csv_snapshot
 from cashbook.sources.views import ViewReport, replay_views
@@ -115,6 +116,67 @@ class JdbcSource:
         return None if row is None else row["sql"].rstrip().rstrip(";")
 
 
+class FileSource:
+    """A source given as files: ``<root>/<schema>/<table>/`` folders.
+
+    ``fmt="csv"``: headerless, database-style CSV snapshots (the layout of
+    :mod:`cashbook.sources.readers`); their columns must be declared in order
+    as ``(name, source type)``, the way the source catalogue lists them, and
+    are read with the source types (``numeric(12,2)`` as ``decimal(12,2)``)
+    before the warehouse type rule applies.  ``fmt="parquet"``: the schema
+    comes from the files; declared types are optional overrides.  Listing the
+    folders is a metadata call on the driver; the data is read by the
+    executors.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, root: str, fmt: str = "parquet",
+                 columns: dict[tuple[str, str], list[tuple[str, str]]] | None = None,
+                 views: dict[tuple[str, str], str] | None = None):
+        if fmt not in ("parquet", "csv"):
+            raise ValueError(f"unknown format {fmt!r}")
+        self.spark, self.name, self.root, self.fmt = spark, name, root.rstrip("/"), fmt
+        self._columns = dict(columns or {})
+        self._views = dict(views or {})
+
+    def _dirs(self) -> list[tuple[str, str]]:
+        from cashbook.sources.warehouse import hadoop_path
+        fs, p = hadoop_path(self.spark, self.root)
+        out = []
+        for sd in fs.listStatus(p):
+            if not sd.isDirectory() or sd.getPath().getName().startswith(("_", ".")):
+                continue
+            for td in fs.listStatus(sd.getPath()):
+                if td.isDirectory() and not td.getPath().getName().startswith(("_", ".")):
+                    out.append((sd.getPath().getName(), td.getPath().getName()))
+        return sorted(out)
+
+    def objects(self) -> DataFrame:
+        rows = [(s, n, "r") for s, n in self._dirs()] + [(s, n, "v") for s, n in self._views]
+        return self.spark.createDataFrame(rows, C.OBJECT_SCHEMA)
+
+    def read(self, schema: str, name: str) -> DataFrame:
+        path = f"{self.root}/{schema}/{name}"
+        if self.fmt == "parquet":
+            return self.spark.read.parquet(path)
+        cols = self._columns.get((schema, name))
+        if not cols:
+            raise KeyError(f"CSV table {schema}.{name} needs its declared columns")
+        read_schema = T.StructType([T.StructField(c, spark_type(t, strict=True), True)
+                                    for c, t in cols])
+        return read_csv_snapshot(self.spark, path, read_schema)
+
+    def columns(self, schema: str, name: str) -> list[tuple[str, str]]:
+        declared = self._columns.get((schema, name)) or []
+        if self.fmt == "csv":
+            return list(declared)
+        over = dict(declared)
+        return [(f.name, over.get(f.name, pg_type_of(f.dataType)))
+                for f in self.read(schema, name).schema.fields]
+
+    def view_sql(self, schema: str, name: str) -> str | None:
+        return self._views.get((schema, name))
+
+
 @dataclass
 class SnapshotReport:
     copied: list[tuple[str, str, str, int]] = field(default_factory=list)  # schema, name, kind, source

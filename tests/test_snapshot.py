@@ -167,3 +167,51 @@ def test_partitioned_parent_copied_only_on_request(spark, sf_small):
     wh2 = Warehouse(spark, scratch_dir(spark, "t-kinds2"))
     rep2 = snapshot_sources(spark, [matview_source(spark, sf_small)], wh2, data_kinds=("r", "m", "p"))
     assert sorted(k for _, _, k, _ in rep2.copied) == ["m", "p"]
+
+
+def test_file_source_csv_dumps_and_parquet(spark, sf_small):
+    import json
+    import subprocess
+    import sys
+    from cashbook.functions.types import coerce
+    from cashbook.sources.fixture_sources import LINEITEM_TYPES
+    from cashbook.sources.snapshot import FileSource
+    root = scratch_dir(spark, "t-files")
+    li = read_table(spark, sf_small, "lineitem")
+    write_csv_snapshot(li, f"{root}/public/lineitem")
+    read_table(spark, sf_small, "orders").write.parquet(f"{root}/public/orders")
+    declared = [(c, LINEITEM_TYPES[c]) for c in li.columns]
+    src = FileSource(spark, "dump", root, "csv", {("public", "lineitem"): declared})
+    assert sorted(r["name"] for r in src.objects().collect()) == ["lineitem", "orders"]
+    wh = Warehouse(spark, scratch_dir(spark, "t-files-wh"))
+    copy_table(src, "public", "lineitem", wh)
+    got = wh.table("public", "lineitem")
+    assert got.schema["l_extendedprice"].dataType.simpleString() == "string"
+    assert bag(got) == bag(coerce(li, declared))
+    psrc = FileSource(spark, "p", root, "parquet")
+    copy_table(psrc, "public", "orders", wh)
+    assert bag(wh.table("public", "orders")) == bag(read_table(spark, sf_small, "orders"))
+
+
+def test_command_line_run_over_file_source(spark, sf_small, tmp_path):
+    import json
+    import subprocess
+    import sys
+    from pathlib import Path
+    from cashbook.sources.fixtures import fixture_table, QUALIFIED
+    root = scratch_dir(spark, "t-cli-src")
+    for name, (schema, table) in QUALIFIED.items():
+        fixture_table(spark, sf_small, name).write.parquet(f"{root}/{schema}/{table}")
+    cfg = {"warehouse": scratch_dir(spark, "t-cli-wh"), "lang": "en",
+           "sources": [{"name": "files", "files": root, "format": "parquet",
+                        "columns": {"billing.payment": [["amount", "numeric(12,2)"]]}}]}
+    cfg_path = tmp_path / "run.json"
+    cfg_path.write_text(json.dumps(cfg))
+    out = subprocess.run([sys.executable, "-m", "cashbook", "run", str(cfg_path)],
+                         cwd=Path(__file__).resolve().parents[1], capture_output=True,
+                         text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    rep = json.loads(out.stdout.strip().splitlines()[-1])
+    assert sorted(rep["copied"]) == ["billing.balance", "billing.balance_user", "billing.payment",
+                                     "billing.payment_type", "cntrl.club"]
+    assert spark.read.parquet(rep["model"]).count() == 4007
