@@ -1,16 +1,21 @@
 """The stored model: refresh (S15) and read layout for club/time lookups.
 
 The model table is rebuilt in full on each refresh (write-then-swap, see
-:class:`cashbook.sources.warehouse.Warehouse`).  Rows are range-partitioned
-and sorted by ``(id_club, payment_time_local)`` so every file and row group
-covers a narrow club/time band; a lookup by club and local-time window then
-prunes files and row groups from Parquet min/max statistics (the filters show
-up under ``PushedFilters``).
-
-Hot groups: a single club (or the NULL club of payments whose club row is
-missing) may hold a large share of all rows.  A row hash is the last range
-key, so the range boundaries can cut through any (club, local time) group
-and no task receives a whole hot group.
+:class:`cashbook.sources.warehouse.Warehouse`).  Its rows are clustered by club
+and sorted by ``(id_club, payment_time_local)``, so every file holds few clubs
+and every row group a narrow club / time band; a lookup by club and local-time
+window then skips row groups (and files) by Parquet min/max statistics, with
+the filters under ``PushedFilters``.
+
+Default layout ``rebalance``: ``REBALANCE(id_club)`` then a sort within
+partitions.  One pass over the payments; AQE sizes the output partitions to
+the advisory size and splits the partition of a hot club -- one club, or the
+NULL club of payments whose club row is missing, may hold a third of all rows
+-- into several tasks.  Layout ``range`` (``repartitionByRange`` with a row
+hash as last key) gives tighter per-file club ranges but its boundary
+sampling re-runs the whole upstream plan once more; it is used on request and
+when AQE is disabled (a rebalance without AQE would be a plain hash shuffle
+with no skew split).
 """
 
 from __future__ import annotations
@@ -56,10 +61,10 @@ def range_count(spark: SparkSession, payments: DataFrame) -> int:
 
 
 def clustered(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Range-partition and sort for club / local-time lookups.
+    """Range-partition and sort for club / local-time lookups (layout ``range``).
 
-    Without ``partitions`` the count follows ``spark.sql.shuffle.partitions``
-    and AQE coalesces small ranges to the advisory size.
+    The row hash as last range key lets boundaries cut through a hot group.
+    Without ``partitions`` the count follows ``spark.sql.shuffle.partitions``.
     """
     tb = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("_tb")
     keys = [F.col(k) for k in LOOKUP_KEYS] + [F.col("_tb")]
@@ -68,18 +73,32 @@ def clustered(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return x.sortWithinPartitions(*LOOKUP_KEYS).drop("_tb")
 
 
+def rebalanced(df: DataFrame) -> DataFrame:
+    """Cluster by club with AQE-sized, skew-split partitions (layout ``rebalance``)."""
+    return df.hint("rebalance", "id_club").sortWithinPartitions(*LOOKUP_KEYS)
+
+
+def aqe_enabled(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+
+
 def refresh_model(spark: SparkSession, warehouse: Warehouse, lang: str = "en",
                   tables: BillingTables | None = None, partitions: int | None = None,
-                  max_records_per_file: int | None = 5_000_000) -> str:
+                  max_records_per_file: int | None = 5_000_000, layout: str = "rebalance") -> str:
     """S15 + S16: rebuild ``models.<model>`` from the billing tables.
 
-    ``partitions`` (number of club / local-time ranges) defaults to one per
-    256 MB of payment input, at least ``spark.sql.shuffle.partitions``, so the
-    layout shuffle keeps its partitions bounded at any input size.
+    ``layout="range"`` (or AQE off): ``partitions`` club / local-time ranges,
+    by default one per 256 MB of payment input and at least
+    ``spark.sql.shuffle.partitions``, so ranges stay bounded at any size.
     """
+    if layout not in ("rebalance", "range"):
+        raise ValueError(f"unknown layout {layout!r}")
     t = tables if tables is not None else catalog_tables(spark)
-    n = partitions if partitions is not None else range_count(spark, t.payment)
-    df = clustered(pnl_long(t, lang), n)
+    if layout == "rebalance" and partitions is None and aqe_enabled(spark):
+        df = rebalanced(pnl_long(t, lang))
+    else:
+        n = partitions if partitions is not None else range_count(spark, t.payment)
+        df = clustered(pnl_long(t, lang), n)
     return warehouse.replace(MODEL_SCHEMA, MODEL_TABLES[lang], df, max_records_per_file)
 
 

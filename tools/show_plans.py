@@ -49,7 +49,9 @@ def main() -> None:
          "AQE splits skewed partitions at run time)", pnl.pnl_long(stored, "en", account_max_rows=0)),
         ("`pnl_wide`: leaf found by one broadcast lookup, 30 trivial CASE columns",
          pnl.pnl_wide(stored, "en")),
-        ("Model refresh write: range partitioning on (club, local time, row hash) + sort",
+        ("Model refresh write (default layout): REBALANCE(id_club) + sort within partitions",
+         M.rebalanced(pnl.pnl_long(stored, "en"))),
+        ("Model refresh write (layout='range'): range partitioning on (club, local time, row hash)",
          M.clustered(pnl.pnl_long(stored, "en"), M.range_count(spark, stored.payment))),
         ("Lookup on the stored model: club and local-time filters pushed into the Parquet scan",
          M.lookup(M.model_table(spark, "en"), [5, 7], "1995-01-01", "1997-01-01")),
