@@ -54,11 +54,6 @@ def type_frame(pt: DataFrame) -> DataFrame:
         F.col("id_parent").alias("pt_id_parent"))
 
 
-def type_side(pt: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
-    """Active payment types, broadcast when bounded."""
-    return bounded_broadcast(type_frame(pt), max_rows)
-
-
 def account_frames(t: BillingTables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Main-balance accounts, balances and clubs, projected for the joins."""
     bu = main_balance_accounts(t.balance_user).select(
@@ -79,19 +74,6 @@ def attach_clubs(bu: DataFrame, b: DataFrame, c: DataFrame) -> DataFrame:
               .select("acc_id", "id_club", "id_balance", "time_zone"))
 
 
-def account_side(t: BillingTables, dim_rows: int = DIMENSION_MAX_ROWS,
-                 account_rows: int = ACCOUNT_MAX_ROWS) -> DataFrame:
-    """Main-balance accounts with balance (J3) and club (J4) attached.
-
-    The three size probes run concurrently; each side is broadcast only when
-    its probe proves it within its bound.
-    """
-    bu, b, c = account_frames(t)
-    small_b, small_c, small_acc = fits_all(
-        [(b, dim_rows), (c, dim_rows), (attach_clubs(bu, b, c), account_rows)])
-    return hint(attach_clubs(bu, hint(b, small_b), hint(c, small_c)), small_acc)
-
-
 def join_types(p: DataFrame, types: DataFrame) -> DataFrame:
     """J1 (+F1): inner join to the active payment types."""
     return p.join(types, p["id_payment_type"] == types["pt_id"], "inner")
@@ -102,12 +84,15 @@ def join_accounts(p: DataFrame, accounts: DataFrame) -> DataFrame:
     return p.join(accounts, p["id_balance_user"] == accounts["acc_id"], "inner")
 
 
-def payment_feed(t: BillingTables, payments: DataFrame | None = None,
-                 types: DataFrame | None = None, accounts: DataFrame | None = None) -> DataFrame:
+def payment_feed(t: BillingTables, dim_rows: int = DIMENSION_MAX_ROWS,
+                 account_rows: int = ACCOUNT_MAX_ROWS) -> DataFrame:
     """The model's ``source`` rows: 16 projected columns, one row per match."""
-    p = t.payment if payments is None else payments
-    x = join_accounts(join_types(p, type_side(t.payment_type) if types is None else types),
-                      account_side(t) if accounts is None else accounts)
+    types = type_frame(t.payment_type)
+    bu, b, c = account_frames(t)
+    small_t, small_b, small_c, small_acc = fits_all(
+        [(types, dim_rows), (b, dim_rows), (c, dim_rows), (attach_clubs(bu, b, c), account_rows)])
+    accounts = hint(attach_clubs(bu, hint(b, small_b), hint(c, small_c)), small_acc)
+    x = join_accounts(join_types(t.payment, hint(types, small_t)), accounts)
     cols: dict[str, Column] = {
         "id_club": F.col("id_club"),
         "id_balance_user": F.col("id_balance_user"),
