@@ -48,6 +48,18 @@ def ensure_placeholder_function(spark: SparkSession, schema: str = "public") ->
                   "RETURNS STRING DETERMINISTIC RETURN x")
 
 
+def _drop_table_of_same_name(spark: SparkSession, schema: str, name: str) -> None:
+    """An object that was a table in an earlier run and is a view now.
+
+    Warehouse tables are external (their files live in versioned folders), so
+    dropping the catalogue entry removes no data.
+    """
+    qn = qualified(schema, name)
+    if spark.catalog.tableExists(qn) and spark.catalog.getTable(qn).tableType not in (
+            "VIEW", "TEMPORARY"):
+        spark.sql(f"DROP TABLE {qn}")
+
+
 def _condition(e: AnalysisException) -> str | None:
     try:
         return e.getCondition()
@@ -73,6 +85,7 @@ def replay_views(spark: SparkSession, views: list[tuple[str, str, str | None]],
         for schema, name, sql in pending:
             try:
                 spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quote_ident(schema)}")
+                _drop_table_of_same_name(spark, schema, name)
                 spark.sql(f"CREATE OR REPLACE VIEW {qualified(schema, name)} AS {sql}")
                 rep.created.append((schema, name))
                 rep.failed.pop((schema, name), None)

@@ -46,9 +46,15 @@ class Warehouse:
     def exists(self, schema: str, name: str) -> bool:
         return self.spark.catalog.tableExists(qualified(schema, name))
 
+    def is_view(self, schema: str, name: str) -> bool:
+        return self.spark.catalog.getTable(qualified(schema, name)).tableType in ("VIEW", "TEMPORARY")
+
     def _point(self, schema: str, name: str, location: str) -> None:
         qn = qualified(schema, name)
         loc = location.replace("'", "\\'")
+        if self.exists(schema, name) and self.is_view(schema, name):
+            # the object was a view in an earlier run and is a table now
+            self.spark.sql(f"DROP VIEW {qn}")
         if self.exists(schema, name):
             old = self.spark.table(qn).schema
             new = self.spark.read.parquet(location).schema

@@ -215,3 +215,14 @@ def test_command_line_run_over_file_source(spark, sf_small, tmp_path):
     assert sorted(rep["copied"]) == ["billing.balance", "billing.balance_user", "billing.payment",
                                      "billing.payment_type", "cntrl.club"]
     assert spark.read.parquet(rep["model"]).count() == 4007
+
+
+def test_object_changing_kind_between_runs(spark, sf_small):
+    nation = read_table(spark, sf_small, "nation")
+    wh = Warehouse(spark, scratch_dir(spark, "t-kind-change"))
+    wh.replace("s6", "base", nation)
+    wh.replace("s6", "x", nation)
+    rep = replay_views(spark, [("s6", "x", "SELECT n_name FROM s6.base")])   # table -> view
+    assert rep.created == [("s6", "x")] and spark.table("s6.x").columns == ["n_name"]
+    wh.replace("s6", "x", nation)                                              # view -> table
+    assert spark.table("s6.x").count() == 25 and not wh.is_view("s6", "x")
