@@ -226,3 +226,44 @@ def test_object_changing_kind_between_runs(spark, sf_small):
     assert rep.created == [("s6", "x")] and spark.table("s6.x").columns == ["n_name"]
     wh.replace("s6", "x", nation)                                              # view -> table
     assert spark.table("s6.x").count() == 25 and not wh.is_view("s6", "x")
+
+
+def test_jdbc_source_orchestration_without_a_database(spark, sf_small):
+    """JdbcSource logic over canned catalogue answers (no database is started)."""
+    from cashbook.sources.snapshot import JdbcSource
+
+    orders = read_table(spark, sf_small, "orders")
+
+    class CannedJdbc(JdbcSource):
+        def _query(self, sql):
+            if "relkind IN" in sql:
+                return spark.createDataFrame(
+                    [("sales", "orders", "r"), ("sales", "v_open", "v"), ("tiger", "x", "r"),
+                     ("sales", "parent", "p")], C.OBJECT_SCHEMA)
+            if "format_type" in sql:
+                # catalogue rows arrive in any order; attnum decides
+                return spark.createDataFrame(
+                    [(f.name, t, pos) for pos, (f, t) in reversed(list(enumerate(zip(
+                        orders.schema.fields, ["bigint", "bigint", "character(1)",
+                                               "numeric(12,2)", "timestamp without time zone",
+                                               "character varying(15)"]), start=1)))],
+                    "name string, type string, pos int")
+            if "pg_get_viewdef" in sql:
+                return spark.createDataFrame(
+                    [(" SELECT o_orderkey FROM sales.orders WHERE o_orderstatus = 'O';",)], "sql string")
+            raise AssertionError(sql)
+
+        def read(self, schema, name):
+            assert (schema, name) == ("sales", "orders")
+            return orders
+
+    src = CannedJdbc(spark, "pg", "jdbc:postgresql://unused/db")
+    assert [c for c, _ in src.columns("sales", "orders")] == orders.columns
+    wh = Warehouse(spark, scratch_dir(spark, "t-jdbc"))
+    rep = snapshot_sources(spark, [src], wh)
+    assert [(s, n) for s, n, _, _ in rep.copied] == [("sales", "orders")]
+    got = wh.table("sales", "orders")
+    assert got.schema["o_totalprice"].dataType.simpleString() == "string"   # numeric(12,2) -> text
+    assert got.schema["o_orderdate"].dataType.simpleString() == "timestamp_ntz"
+    assert rep.views.created == [("sales", "v_open")]
+    assert spark.table("sales.v_open").count() == orders.filter("o_orderstatus = 'O'").count()
