@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from cashbook.functions.scalar import local_time, numeric_offset
 from cashbook.operators.broadcast import (ACCOUNT_MAX_ROWS, DIMENSION_MAX_ROWS,
                                           bounded_broadcast, fits_all, hint)
+from cashbook.operators.skew import DEFAULT_ROWS_PER_TASK, salted_join
 from cashbook.sources.fixtures import BillingTables
 
 # column order of the model's source projection
@@ -84,15 +85,37 @@ def join_accounts(p: DataFrame, accounts: DataFrame) -> DataFrame:
     return p.join(accounts, p["id_balance_user"] == accounts["acc_id"], "inner")
 
 
+def aqe_skew_join_on(spark) -> bool:
+    conf = spark.conf
+    return (conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+            and conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true")
+
+
+def join_accounts_split(p: DataFrame, accounts: DataFrame, accounts_small: bool,
+                        skew: str = "auto", rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
+    """J2-J4 with a hot-account strategy for the shuffle case.
+
+    A broadcast account side needs none.  Otherwise ``skew="aqe"`` leaves hot
+    accounts to AQE's skew-join split, ``skew="salt"`` splits them explicitly
+    (:mod:`cashbook.operators.skew`); ``"auto"`` salts only when AQE skew
+    handling is off.
+    """
+    if skew not in ("auto", "aqe", "salt"):
+        raise ValueError(f"unknown skew strategy {skew!r}")
+    if accounts_small or skew == "aqe" or (skew == "auto" and aqe_skew_join_on(p.sparkSession)):
+        return join_accounts(p, accounts)
+    return salted_join(p, accounts, "id_balance_user", "acc_id", "inner", rows_per_task)
+
+
 def payment_feed(t: BillingTables, dim_rows: int = DIMENSION_MAX_ROWS,
-                 account_rows: int = ACCOUNT_MAX_ROWS) -> DataFrame:
+                 account_rows: int = ACCOUNT_MAX_ROWS, skew: str = "auto") -> DataFrame:
     """The model's ``source`` rows: 16 projected columns, one row per match."""
     types = type_frame(t.payment_type)
     bu, b, c = account_frames(t)
     small_t, small_b, small_c, small_acc = fits_all(
         [(types, dim_rows), (b, dim_rows), (c, dim_rows), (attach_clubs(bu, b, c), account_rows)])
     accounts = hint(attach_clubs(bu, hint(b, small_b), hint(c, small_c)), small_acc)
-    x = join_accounts(join_types(t.payment, hint(types, small_t)), accounts)
+    x = join_accounts_split(join_types(t.payment, hint(types, small_t)), accounts, small_acc, skew)
     cols: dict[str, Column] = {
         "id_club": F.col("id_club"),
         "id_balance_user": F.col("id_balance_user"),

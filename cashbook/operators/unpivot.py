@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from cashbook.functions.scalar import local_time, to_double
 from cashbook.operators.broadcast import ACCOUNT_MAX_ROWS, DIMENSION_MAX_ROWS, fits_all, hint
-from cashbook.operators.feed import (account_frames, active_types, attach_clubs, join_accounts,
-                                     join_types)
+from cashbook.operators.feed import (account_frames, active_types, attach_clubs,
+                                     join_accounts_split, join_types)
+from cashbook.operators.skew import DEFAULT_ROWS_PER_TASK
 from cashbook.operators.rules import COL_METRIC, COL_ORDER, COL_VALUE, rule_codes, rule_table
 from cashbook.sources.fixtures import BillingTables
 
@@ -41,11 +42,14 @@ def rule_join_condition(x: DataFrame, rules: DataFrame):
 def pnl_long(t: BillingTables, lang: str = "en",
              metrics: tuple[str, ...] | list[str] | None = None,
              dim_max_rows: int = DIMENSION_MAX_ROWS,
-             account_max_rows: int = ACCOUNT_MAX_ROWS) -> DataFrame:
+             account_max_rows: int = ACCOUNT_MAX_ROWS, skew: str = "auto",
+             hot_rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
     """The long metric rows of the model (optionally only some metrics).
 
     ``dim_max_rows`` / ``account_max_rows`` bound what may be broadcast; an
-    account side above its bound is joined by a shuffle on the account id.
+    account side above its bound is joined by a shuffle on the account id,
+    hot accounts split by AQE or by explicit salting (``skew``, see
+    :func:`cashbook.operators.feed.join_accounts_split`).
     """
     spark = t.payment.sparkSession
     rules = rule_table(spark, lang, metrics)
@@ -71,7 +75,8 @@ def pnl_long(t: BillingTables, lang: str = "en",
          (attach_clubs(bu, b, c), account_max_rows)])
     accounts = hint(attach_clubs(bu, hint(b, small_b), hint(c, small_c)), small_acc)
 
-    x = join_accounts(join_types(payments, hint(types, small_t)), accounts)
+    x = join_accounts_split(join_types(payments, hint(types, small_t)), accounts, small_acc, skew,
+                            hot_rows_per_task)
     # The rule table is built from the fixed catalogue: a few hundred rows,
     # bounded by construction, so it is broadcast without a probe.
     x = x.join(F.broadcast(rules), rule_join_condition(x, rules), "inner")

@@ -131,3 +131,45 @@ def test_rebalance_splits_hot_club(spark, skew_conf):
     assert df.count() == 3 * 30000
     hot_files = df.filter("id_club = 7").select("f").distinct().count()
     assert hot_files > 1                          # the hot club was split over several tasks
+
+
+def test_explicit_salting_splits_hot_account(spark):
+    from pyspark.sql import functions as F
+    from cashbook.operators.skew import salted_join
+    types = [(5, 1, 1, 1, 0, None), (103, 0, None, 1, 0, None)]
+    accounts = [(i, i % 7, 1) for i in range(1, 200)]
+    pays = [(i, 5 if i % 2 else 103, 1 if i % 3 == 0 else (i % 198) + 1, f"{i}.25")
+            for i in range(1, 30001)]
+    t = tables(spark, pays, types, accounts)
+    salted = pnl.pnl_long(t, "en", account_max_rows=10, skew="salt")
+    assert bag(salted) == bag(pnl.pnl_long(t, "en"))
+    # placement: account 1 (10,000 payments) over a 1,000-row budget lands in several
+    # shuffle partitions of the join
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        p = t.payment.select("id", "id_balance_user")
+        a = t.balance_user.select(F.col("id").alias("acc_id"), "id_club")
+        j = salted_join(p, a, "id_balance_user", "acc_id", rows_per_task=1000)
+        assert j.count() == 30000
+        parts = (j.filter("id_balance_user = 1").select(F.spark_partition_id().alias("pid"))
+                  .distinct().count())
+        assert parts >= 4
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_salting_left_join_keeps_unmatched(spark):
+    from pyspark.sql import functions as F
+    from cashbook.operators.skew import salted_join
+    big = spark.range(0, 5000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    small = spark.createDataFrame([(0, "a"), (1, "b")], "k2 long, s string")
+    out = salted_join(big, small, "k", "k2", "left", rows_per_task=100)
+    assert out.count() == 5000
+    assert out.filter("k = 2 AND s IS NULL").count() == big.filter("k = 2").count()
+    assert out.filter("k = 0 AND s = 'a'").count() == big.filter("k = 0").count()

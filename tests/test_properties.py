@@ -65,5 +65,8 @@ def test_model_matches_union_and_duckdb(spark, types, bus, pays, bals, clubs, la
     single = spark_bag(pnl.pnl_long(t, lang))
     assert single == spark_bag(pnl.pnl_union(t, lang, stage=False))
     assert single == duck_model(pays, types, bus, bals, clubs, lang)
-    # the shuffle path (accounts over the broadcast bound) gives the same rows
+    # the shuffle path (accounts over the broadcast bound) gives the same rows,
+    # with hot accounts left to AQE or split by explicit salting
     assert single == spark_bag(pnl.pnl_long(t, lang, account_max_rows=0))
+    assert single == spark_bag(pnl.pnl_long(t, lang, account_max_rows=0, skew="salt",
+                                            hot_rows_per_task=2))
