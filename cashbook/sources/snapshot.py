@@ -87,9 +87,10 @@ class JdbcSource:
 
     def __init__(self, spark: SparkSession, name: str, url: str, properties: dict | None = None,
                  partition_columns: dict[tuple[str, str], str] | None = None,
-                 num_partitions: int | None = None):
+                 num_partitions: int | None = None, query_timeout_s: int = 1800):
         self.spark, self.name, self.url = spark, name, url
-        self.properties = dict(properties or {})
+        # every statement sent to the source (one per split) is capped, 30 min by default
+        self.properties = {"queryTimeout": str(query_timeout_s), **dict(properties or {})}
         self.partition_columns = dict(partition_columns or {})
         self.num_partitions = num_partitions
 
@@ -243,6 +244,11 @@ def snapshot_sources(spark: SparkSession, sources: list[Source], warehouse: Ware
 
     def one(item):
         schema, name, kind, src = item
+        sc = spark.sparkContext
+        # per-thread job properties: a readable description, and a pool that a
+        # cluster running the FAIR scheduler shares evenly among the copies
+        sc.setLocalProperty("spark.scheduler.pool", "cashbook-copy")
+        sc.setJobDescription(f"copy {schema}.{name} from {sources[src].name}")
         loc = _with_retries(lambda: copy_table(
             sources[src], schema, name, warehouse, staging=staging, stage_root=stage_root,
             strict_types=strict_types, max_records_per_file=max_records_per_file),
