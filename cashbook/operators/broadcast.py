@@ -35,6 +35,18 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> Data
     return hint(df, fits(df, max_rows))
 
 
+def bounded_rows(df: DataFrame, max_rows: int, cols: tuple[str, ...] = ()) -> list | None:
+    """The rows of ``cols`` when ``df`` has at most ``max_rows`` rows, else None."""
+    rows = df.select(*cols).take(max_rows + 1)
+    return rows if len(rows) <= max_rows else None
+
+
+def bounded_rows_all(probes: list[tuple[DataFrame, int, tuple[str, ...]]]) -> list[list | None]:
+    """Several :func:`bounded_rows` probes, run concurrently."""
+    with ThreadPoolExecutor(max_workers=max(1, len(probes))) as pool:
+        return list(pool.map(lambda p: bounded_rows(*p), probes))
+
+
 def fits_all(sides: list[tuple[DataFrame, int]]) -> list[bool]:
     """Probe several sides at once (one small job each, run concurrently)."""
     if len(sides) <= 1:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cashbook.functions.scalar import local_time, numeric_offset
 from cashbook.operators.broadcast import (ACCOUNT_MAX_ROWS, DIMENSION_MAX_ROWS,
-                                          bounded_broadcast, fits_all, hint)
+                                          bounded_broadcast, bounded_rows_all, hint)
 from cashbook.operators.skew import DEFAULT_ROWS_PER_TASK, salted_join
 from cashbook.sources.fixtures import BillingTables
 
@@ -75,6 +75,39 @@ def attach_clubs(bu: DataFrame, b: DataFrame, c: DataFrame) -> DataFrame:
               .select("acc_id", "id_club", "id_balance", "time_zone"))
 
 
+def dimension_sides(t: BillingTables, types: DataFrame, dim_rows: int = DIMENSION_MAX_ROWS,
+                    account_rows: int = ACCOUNT_MAX_ROWS,
+                    types_probe: DataFrame | None = None) -> tuple[DataFrame, DataFrame, bool]:
+    """Size-check the dimension sides; return (types, accounts, accounts_small).
+
+    One round of four concurrent probes, each a plain scan: the types, the
+    balance keys, the club keys (both at most ``dim_rows`` rows, so their keys
+    may come to the driver) and the number of main-balance accounts.  The
+    account side's size is then bounded without running its joins:
+
+        |accounts x balance x club| <= |accounts| * (balance rows with id 1)
+                                                  * (most rows of one club id)
+
+    (left joins keep an unmatched account once, hence the max(1, ...)).
+    ``types_probe`` may be a cheaper superset of ``types`` to count.
+    """
+    from collections import Counter
+
+    bu, b, c = account_frames(t)
+    t_rows, b_keys, c_keys, bu_rows = bounded_rows_all(
+        [(types if types_probe is None else types_probe, dim_rows, ()),
+         (b, dim_rows, ("b_id",)), (c, dim_rows, ("c_id",)),
+         (bu, account_rows, ())])
+    small_t, small_b, small_c = t_rows is not None, b_keys is not None, c_keys is not None
+    small_acc = False
+    if small_b and small_c and bu_rows is not None:
+        fan_b = max(1, sum(1 for r in b_keys if r[0] == 1))
+        fan_c = max([1, *Counter(r[0] for r in c_keys).values()])
+        small_acc = len(bu_rows) * fan_b * fan_c <= account_rows
+    accounts = hint(attach_clubs(bu, hint(b, small_b), hint(c, small_c)), small_acc)
+    return hint(types, small_t), accounts, small_acc
+
+
 def join_types(p: DataFrame, types: DataFrame) -> DataFrame:
     """J1 (+F1): inner join to the active payment types."""
     return p.join(types, p["id_payment_type"] == types["pt_id"], "inner")
@@ -110,12 +143,9 @@ def join_accounts_split(p: DataFrame, accounts: DataFrame, accounts_small: bool,
 def payment_feed(t: BillingTables, dim_rows: int = DIMENSION_MAX_ROWS,
                  account_rows: int = ACCOUNT_MAX_ROWS, skew: str = "auto") -> DataFrame:
     """The model's ``source`` rows: 16 projected columns, one row per match."""
-    types = type_frame(t.payment_type)
-    bu, b, c = account_frames(t)
-    small_t, small_b, small_c, small_acc = fits_all(
-        [(types, dim_rows), (b, dim_rows), (c, dim_rows), (attach_clubs(bu, b, c), account_rows)])
-    accounts = hint(attach_clubs(bu, hint(b, small_b), hint(c, small_c)), small_acc)
-    x = join_accounts_split(join_types(t.payment, hint(types, small_t)), accounts, small_acc, skew)
+    types, accounts, small_acc = dimension_sides(t, type_frame(t.payment_type), dim_rows,
+                                                 account_rows)
+    x = join_accounts_split(join_types(t.payment, types), accounts, small_acc, skew)
     cols: dict[str, Column] = {
         "id_club": F.col("id_club"),
         "id_balance_user": F.col("id_balance_user"),

@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cashbook.functions.scalar import local_time, to_double
-from cashbook.operators.broadcast import ACCOUNT_MAX_ROWS, DIMENSION_MAX_ROWS, fits_all, hint
-from cashbook.operators.feed import (account_frames, active_types, attach_clubs,
-                                     join_accounts_split, join_types)
+from cashbook.operators.broadcast import ACCOUNT_MAX_ROWS, DIMENSION_MAX_ROWS
+from cashbook.operators.feed import (active_types, dimension_sides, join_accounts_split,
+                                     join_types)
 from cashbook.operators.skew import DEFAULT_ROWS_PER_TASK
 from cashbook.operators.rules import COL_METRIC, COL_ORDER, COL_VALUE, rule_codes, rule_table
 from cashbook.sources.fixtures import BillingTables
@@ -61,21 +61,18 @@ def pnl_long(t: BillingTables, lang: str = "en",
 
     # Active types that can match some rule at all; the semi join runs on two
     # tiny tables while the broadcast side is built.
-    types = (active_types(t.payment_type)
-             .select(F.col("id").alias("pt_id"), F.col("method").alias("pt_method"),
-                     F.col("profit").alias("pt_profit")))
-    has_rule = ((types["pt_id"] == rules["r_type"]) & (types["pt_profit"] == rules["r_profit"])
-                & (rules["r_method"].isNull() | (types["pt_method"] == rules["r_method"])))
-    types = types.join(F.broadcast(rules), has_rule, "left_semi")
+    active = (active_types(t.payment_type)
+              .select(F.col("id").alias("pt_id"), F.col("method").alias("pt_method"),
+                      F.col("profit").alias("pt_profit")))
+    has_rule = ((active["pt_id"] == rules["r_type"]) & (active["pt_profit"] == rules["r_profit"])
+                & (rules["r_method"].isNull() | (active["pt_method"] == rules["r_method"])))
+    types = active.join(F.broadcast(rules), has_rule, "left_semi")
 
-    # size probes of all four dimension sides, run concurrently
-    bu, b, c = account_frames(t)
-    small_t, small_b, small_c, small_acc = fits_all(
-        [(types, dim_max_rows), (b, dim_max_rows), (c, dim_max_rows),
-         (attach_clubs(bu, b, c), account_max_rows)])
-    accounts = hint(attach_clubs(bu, hint(b, small_b), hint(c, small_c)), small_acc)
-
-    x = join_accounts_split(join_types(payments, hint(types, small_t)), accounts, small_acc, skew,
+    # size probes of all four dimension sides, run concurrently (the active
+    # types bound the semi-joined ones)
+    types, accounts, small_acc = dimension_sides(t, types, dim_max_rows, account_max_rows,
+                                                 types_probe=active)
+    x = join_accounts_split(join_types(payments, types), accounts, small_acc, skew,
                             hot_rows_per_task)
     # The rule table is built from the fixed catalogue: a few hundred rows,
     # bounded by construction, so it is broadcast without a probe.

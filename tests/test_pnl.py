@@ -144,3 +144,16 @@ def test_text_time_zone_offsets(spark):
     t2 = base._replace(club=text_club)
     r = pnl.pnl_long(t2).filter(F.col(COL_METRIC) == "Cash").first()
     assert r["payment_time_local"] == T0 + dt.timedelta(minutes=1, hours=1, milliseconds=500)
+
+
+def test_account_bound_counts_fan_out(spark):
+    from cashbook.operators.feed import dimension_sides, type_frame
+    # 3 main-balance accounts, balance id 1 twice, club 1 twice -> at most 3 * 2 * 2 = 12 rows
+    t2 = tables(spark, PAYMENTS, TYPES, ACCOUNTS, balance_ids=(1, 1, 2),
+                club_rows=((1, 3600), (1, 7200), (2, -1800)))
+    types = type_frame(t2.payment_type)
+    assert dimension_sides(t2, types, account_rows=12)[2] is True
+    assert dimension_sides(t2, types, account_rows=11)[2] is False
+    # the real account side is within the bound
+    from cashbook.operators.feed import account_frames, attach_clubs
+    assert attach_clubs(*account_frames(t2)).count() <= 12
