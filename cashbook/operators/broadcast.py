@@ -47,14 +47,6 @@ def bounded_rows_all(probes: list[tuple[DataFrame, int, tuple[str, ...]]]) -> li
         return list(pool.map(lambda p: bounded_rows(*p), probes))
 
 
-def fits_all(sides: list[tuple[DataFrame, int]]) -> list[bool]:
-    """Probe several sides at once (one small job each, run concurrently)."""
-    if len(sides) <= 1:
-        return [fits(df, n) for df, n in sides]
-    with ThreadPoolExecutor(max_workers=len(sides)) as pool:
-        return list(pool.map(lambda s: fits(*s), sides))
-
-
 def hint(df: DataFrame, small: bool) -> DataFrame:
     """Broadcast a side proven small; pin any other side to a shuffle join.
 
