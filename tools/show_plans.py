@@ -5,15 +5,20 @@
 
 from __future__ import annotations
 
+import io
 import re
 import sys
+from contextlib import redirect_stdout
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 def formatted(df) -> str:
-    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        df.explain("formatted")
+    text = buf.getvalue()
     tree, _, details = text.partition("\n\n\n")
     scans = []
     for block in details.split("\n\n"):
