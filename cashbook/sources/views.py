@@ -1,11 +1,14 @@
 """View replay (S14) and the ``_`` placeholder function (U-1).
 
 Source views are recreated in the warehouse after all tables are in place.
-Views may depend on each other in any listing order, so creation loops to a
-fixpoint: a view whose dependency (table, view or function) is still
-missing is retried in the next round; the loop ends when a round creates
-nothing new.  Views are created with ``CREATE OR REPLACE`` -- never a
-cascading drop, which would silently delete views made earlier in the loop.
+Views may depend on each other in any listing order.  When a view cannot be
+created because a relation is missing, the analyzer names that relation; if
+it is another view still to be replayed, the view waits for it and is retried
+right after that view exists, so each view is attempted once per missing
+dependency (not once per round).  A miss on anything that is not being
+replayed fails at once; views left waiting in a cycle fail at the end.
+Views are created with ``CREATE OR REPLACE`` -- never a cascading drop, which
+would silently delete views made earlier in the run.
 
 Source views call ``_(text)``, an identity stub for translated labels; it is
 created as a persistent SQL function (persistent views may only call
@@ -34,7 +37,7 @@ class ViewReport:
     created: list[tuple[str, str]] = field(default_factory=list)
     missing_sql: list[tuple[str, str]] = field(default_factory=list)
     failed: dict[tuple[str, str], str] = field(default_factory=dict)
-    rounds: int = 0
+    attempts: int = 0
 
 
 def ensure_placeholder_function(spark: SparkSession, schema: str = "public") -> None:
@@ -81,34 +84,57 @@ def _condition(e: AnalysisException) -> str | None:
         return None
 
 
+def _missing_relation(e: AnalysisException) -> str | None:
+    """``schema.name`` of the relation the analyzer could not find, if named."""
+    try:
+        name = (e.getMessageParameters() or {}).get("relationName")
+    except Exception:  # noqa: BLE001
+        return None
+    if not name:
+        return None
+    parts = [x.strip("`").lower() for x in name.split("`.`")]
+    return ".".join(parts[-2:]) if len(parts) >= 2 else parts[0]
+
+
 def replay_views(spark: SparkSession, views: list[tuple[str, str, str | None]],
                  placeholder_schema: str = "public") -> ViewReport:
     """Create ``views`` = [(schema, name, spark_sql_text)] in dependency order."""
+    from collections import deque
+
     ensure_placeholder_function(spark, placeholder_schema)
     rep = ViewReport()
-    pending = []
+    queue: deque = deque()
     for schema, name, sql in views:
         if not sql:
             log.warning("no definition for view %s.%s; skipped", schema, name)
             rep.missing_sql.append((schema, name))
         else:
-            pending.append((schema, name, sql))
-    while pending:
-        rep.rounds += 1
-        retry = []
-        for schema, name, sql in pending:
-            try:
-                spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quote_ident(schema)}")
-                _drop_table_of_same_name(spark, schema, name)
-                with _quiet_analysis_errors():
-                    spark.sql(f"CREATE OR REPLACE VIEW {qualified(schema, name)} AS {sql}")
-                rep.created.append((schema, name))
-                rep.failed.pop((schema, name), None)
-            except AnalysisException as e:
-                rep.failed[(schema, name)] = str(e).split("\n")[0]
-                if _condition(e) in RETRYABLE:
-                    retry.append((schema, name, sql))
-        if len(retry) == len(pending):
-            break
-        pending = retry
+            queue.append((schema, name, sql))
+    pending = {f"{s_}.{n}".lower() for s_, n, _ in queue}
+    by_name: dict[str, list[str]] = {}
+    for key in pending:
+        by_name.setdefault(key.split(".", 1)[1], []).append(key)
+    waiting: dict[str, list[tuple[str, str, str]]] = {}
+
+    while queue:
+        schema, name, sql = queue.popleft()
+        key = f"{schema}.{name}".lower()
+        rep.attempts += 1
+        try:
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quote_ident(schema)}")
+            _drop_table_of_same_name(spark, schema, name)
+            with _quiet_analysis_errors():
+                spark.sql(f"CREATE OR REPLACE VIEW {qualified(schema, name)} AS {sql}")
+        except AnalysisException as e:
+            rep.failed[(schema, name)] = str(e).split("\n")[0]
+            dep = _missing_relation(e) if _condition(e) in RETRYABLE else None
+            if dep is not None and "." not in dep and len(by_name.get(dep, [])) == 1:
+                dep = by_name[dep][0]                  # unqualified reference to a pending view
+            if dep in pending and dep != key:
+                waiting.setdefault(dep, []).append((schema, name, sql))
+            continue
+        rep.created.append((schema, name))
+        rep.failed.pop((schema, name), None)
+        pending.discard(key)
+        queue.extend(waiting.pop(key, []))
     return rep

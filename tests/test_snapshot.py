@@ -267,3 +267,18 @@ def test_jdbc_source_orchestration_without_a_database(spark, sf_small):
     assert got.schema["o_orderdate"].dataType.simpleString() == "timestamp_ntz"
     assert rep.views.created == [("sales", "v_open")]
     assert spark.table("sales.v_open").count() == orders.filter("o_orderstatus = 'O'").count()
+
+
+def test_view_chain_attempts_are_linear_and_cycles_fail(spark, sf_small):
+    wh = Warehouse(spark, scratch_dir(spark, "t-chain"))
+    wh.replace("s7", "base", read_table(spark, sf_small, "nation"))
+    n = 30
+    chain = [("s7", f"v{i}", f"SELECT * FROM s7.v{i - 1}" if i else "SELECT * FROM s7.base")
+             for i in range(n)]
+    rep = replay_views(spark, list(reversed(chain)) + [
+        ("s7", "c1", "SELECT * FROM s7.c2"), ("s7", "c2", "SELECT * FROM s7.c1"),
+        ("s7", "gone", "SELECT * FROM s7.never_copied")])
+    assert len(rep.created) == n
+    assert spark.table(f"s7.v{n - 1}").count() == 25
+    assert rep.attempts <= 2 * n + 3 + 2          # each chain view at most twice
+    assert {("s7", "c1"), ("s7", "c2"), ("s7", "gone")} <= set(rep.failed)
