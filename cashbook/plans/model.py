@@ -39,7 +39,11 @@ TARGET_INPUT_BYTES_PER_RANGE = 256 * 1024 * 1024
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Total size of the files ``df`` reads (driver-side file metadata only)."""
+    """Total size of the files ``df`` reads (driver-side file metadata only).
+
+    One content summary per folder holding input files -- one call per
+    table version folder, not one per file.
+    """
     files = df.inputFiles()
     if not files:
         return 0
@@ -47,9 +51,9 @@ def input_bytes(df: DataFrame) -> int:
     jvm = sc._jvm
     conf = sc._jsc.hadoopConfiguration()
     total = 0
-    for f in files:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += int(p.getFileSystem(conf).getFileStatus(p).getLen())
+    for folder in sorted({f.rsplit("/", 1)[0] for f in files}):
+        p = jvm.org.apache.hadoop.fs.Path(folder)
+        total += int(p.getFileSystem(conf).getContentSummary(p).getLength())
     return total
 
 
