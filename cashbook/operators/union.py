@@ -63,6 +63,7 @@ def pnl_union_form(wide: DataFrame, lang: str = "en", stage: bool = True) -> Dat
     if stage:
         from cashbook.session import scratch_dir
         path = scratch_dir(wide.sparkSession, "wide")
-        wide.write.mode("errorifexists").parquet(path)
+        needed = list(KEY_COLUMNS) + [leaf.label(lang) for leaf in LEAVES]
+        wide.select(*[F.col(f"`{c}`") for c in needed]).write.mode("errorifexists").parquet(path)
         wide = wide.sparkSession.read.parquet(path)
     return union_all(branches(wide, lang))
