@@ -157,3 +157,11 @@ def test_account_bound_counts_fan_out(spark):
     # the real account side is within the bound
     from cashbook.operators.feed import account_frames, attach_clubs
     assert attach_clubs(*account_frames(t2)).count() <= 12
+
+
+def test_decimal_amounts_same_as_text(spark):
+    from pyspark.sql import types as T
+    base = tables(spark, PAYMENTS, TYPES, ACCOUNTS)
+    dec = base._replace(payment=base.payment.withColumn(
+        "amount", F.col("amount").cast(T.DecimalType(38, 18))))
+    assert bag(pnl.pnl_long(dec, "en")) == bag(pnl.pnl_long(base, "en"))
