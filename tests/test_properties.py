@@ -1,6 +1,5 @@
 """Randomised tables: single pass == literal union form == DuckDB oracle."""
 
-import datetime as dt
 from collections import Counter
 
 import duckdb
@@ -9,7 +8,7 @@ from hypothesis import strategies as st
 
 from cashbook.oracle import model_sql_over_tables
 from cashbook.plans import pnl
-from helpers import BU_SCHEMA, PAYMENT_SCHEMA, TYPE_SCHEMA, T0, payments, tables
+from helpers import payments, tables
 from oracle_compare import norm
 
 CODES = [5, 8, 11, 17, 166, 169, 170, 172, 173, 103, 104, 160, 185, 200, 999]

@@ -170,9 +170,6 @@ def test_partitioned_parent_copied_only_on_request(spark, sf_small):
 
 
 def test_file_source_csv_dumps_and_parquet(spark, sf_small):
-    import json
-    import subprocess
-    import sys
     from cashbook.functions.types import coerce
     from cashbook.sources.fixture_sources import LINEITEM_TYPES
     from cashbook.sources.snapshot import FileSource
