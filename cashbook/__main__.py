@@ -38,7 +38,7 @@ def build_sources(spark, cfg: dict):
                     for k, v in s.get("columns", {}).items()}
             views = {tuple(k.split(".", 1)): v for k, v in s.get("views", {}).items()}
             out.append(FileSource(spark, s["name"], s["files"], s.get("format", "parquet"),
-                                  cols, views))
+                                  cols, views, bool(s.get("multi_line", True))))
             continue
         props = dict(s.get("properties", {}))
         if s.get("password_env"):

@@ -45,9 +45,16 @@ def write_csv_snapshot(df: DataFrame, path: str, max_records_per_file: int | Non
     w.csv(path)
 
 
-def read_csv_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a CSV snapshot into a typed table (columns in file order)."""
-    return spark.read.schema(schema).options(**CSV_READ_OPTIONS).csv(path)
+def read_csv_snapshot(spark: SparkSession, path: str, schema: T.StructType,
+                      multi_line: bool = True) -> DataFrame:
+    """Read a CSV snapshot into a typed table (columns in file order).
+
+    ``multi_line=True`` (default) accepts quoted values containing line
+    breaks but reads each file in one task; for dumps known to hold no line
+    breaks inside values, ``multi_line=False`` lets Spark split large files.
+    """
+    opts = dict(CSV_READ_OPTIONS, multiLine="true" if multi_line else "false")
+    return spark.read.schema(schema).options(**opts).csv(path)
 
 
 # ---------------------------------------------------------------- JDBC

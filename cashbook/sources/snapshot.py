@@ -124,7 +124,9 @@ class FileSource:
     :mod:`cashbook.sources.readers`); their columns must be declared in order
     as ``(name, source type)``, the way the source catalogue lists them, and
     are read with the source types (``numeric(12,2)`` as ``decimal(12,2)``)
-    before the warehouse type rule applies.  ``fmt="parquet"``: the schema
+    before the warehouse type rule applies.  A single large dump file is read
+    by one task unless ``multi_line=False`` (only valid when no value holds a
+    line break) lets Spark split it.  ``fmt="parquet"``: the schema
     comes from the files; declared types are optional overrides.  Listing the
     folders is a metadata call on the driver; the data is read by the
     executors.
@@ -132,10 +134,11 @@ class FileSource:
 
     def __init__(self, spark: SparkSession, name: str, root: str, fmt: str = "parquet",
                  columns: dict[tuple[str, str], list[tuple[str, str]]] | None = None,
-                 views: dict[tuple[str, str], str] | None = None):
+                 views: dict[tuple[str, str], str] | None = None, multi_line: bool = True):
         if fmt not in ("parquet", "csv"):
             raise ValueError(f"unknown format {fmt!r}")
         self.spark, self.name, self.root, self.fmt = spark, name, root.rstrip("/"), fmt
+        self.multi_line = multi_line
         self._columns = dict(columns or {})
         self._views = dict(views or {})
 
@@ -164,7 +167,7 @@ class FileSource:
             raise KeyError(f"CSV table {schema}.{name} needs its declared columns")
         read_schema = T.StructType([T.StructField(c, spark_type(t, strict=True), True)
                                     for c, t in cols])
-        return read_csv_snapshot(self.spark, path, read_schema)
+        return read_csv_snapshot(self.spark, path, read_schema, self.multi_line)
 
     def columns(self, schema: str, name: str) -> list[tuple[str, str]]:
         declared = self._columns.get((schema, name)) or []

@@ -279,3 +279,17 @@ def test_view_chain_attempts_are_linear_and_cycles_fail(spark, sf_small):
     assert spark.table(f"s7.v{n - 1}").count() == 25
     assert rep.attempts <= 2 * n + 3 + 2          # each chain view at most twice
     assert {("s7", "c1"), ("s7", "c2"), ("s7", "gone")} <= set(rep.failed)
+
+
+def test_single_line_csv_is_split(spark, sf_small):
+    li = read_table(spark, sf_small, "lineitem")
+    path = scratch_dir(spark, "t-split")
+    write_csv_snapshot(li.coalesce(1), path)                       # one file, no embedded newlines
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        whole = read_csv_snapshot(spark, path, li.schema, multi_line=True)
+        split = read_csv_snapshot(spark, path, li.schema, multi_line=False)
+        assert whole.rdd.getNumPartitions() == 1 < split.rdd.getNumPartitions()
+        assert bag(split) == bag(whole)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
