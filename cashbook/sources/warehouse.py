@@ -94,6 +94,31 @@ class Warehouse:
         names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
         return sorted(n for n in names if n.startswith("v"))
 
+    def attach(self) -> list[tuple[str, str]]:
+        """Register every table of this warehouse at its newest committed version.
+
+        For a new session on a catalogue that does not persist (Spark's
+        in-memory catalogue); with a persistent metastore the registrations
+        are already there.  Only versions with a ``_SUCCESS`` marker count.
+        """
+        fs, root = self._fs(self.root)
+        if not fs.exists(root):
+            return []
+        attached = []
+        for sd in fs.listStatus(root):
+            if not sd.isDirectory():
+                continue
+            schema = sd.getPath().getName()
+            for td in fs.listStatus(sd.getPath()):
+                name = td.getPath().getName()
+                done = [v for v in reversed(self.versions(schema, name))
+                        if fs.exists(self._fs(f"{self.table_dir(schema, name)}/{v}/_SUCCESS")[1])]
+                if done:
+                    self.ensure_schema(schema)
+                    self._point(schema, name, f"{self.table_dir(schema, name)}/{done[0]}")
+                    attached.append((schema, name))
+        return sorted(attached)
+
     def _prune(self, schema: str, name: str) -> None:
         for v in self.versions(schema, name)[:-self.keep_versions]:
             delete_path(self.spark, f"{self.table_dir(schema, name)}/{v}")

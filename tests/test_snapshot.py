@@ -293,3 +293,15 @@ def test_single_line_csv_is_split(spark, sf_small):
         assert bag(split) == bag(whole)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_attach_registers_newest_versions(spark, sf_small):
+    root = scratch_dir(spark, "t-attach")
+    wh = Warehouse(spark, root)
+    nation = read_table(spark, sf_small, "nation")
+    wh.replace("s8", "n", nation.limit(3))
+    wh.replace("s8", "n", nation)
+    spark.sql("DROP TABLE s8.n")                     # as if a new session had no registration
+    assert not wh.exists("s8", "n")
+    assert Warehouse(spark, root).attach() == [("s8", "n")]
+    assert spark.table("s8.n").count() == 25
