@@ -11,8 +11,9 @@
 F2 rejects NULL, so J2 is an inner join; it is written as one here.  The
 account side (bu with its balance and club) is built once -- it is far
 smaller than the payments -- and joined to the payments with a single
-equi join: broadcast when a bounded probe proves it small, otherwise a
-shuffle join whose skewed partitions AQE splits.  ``balance`` is read by no
+equi join: broadcast when the probes of :func:`dimension_sides` bound it,
+otherwise a shuffle join whose hot accounts are split (AQE skew join, or
+explicit salting from :mod:`cashbook.operators.skew`).  ``balance`` is read by no
 output column but stays joined: without declared keys a duplicate ``b.id``
 multiplies rows, exactly as in the source model.
 """
