@@ -173,3 +173,15 @@ def test_salting_left_join_keeps_unmatched(spark):
     assert out.count() == 5000
     assert out.filter("k = 2 AND s IS NULL").count() == big.filter("k = 2").count()
     assert out.filter("k = 0 AND s = 'a'").count() == big.filter("k = 0").count()
+
+
+def test_both_layouts_store_the_model_rows(spark, sf_small):
+    from cashbook.sources.fixture_sources import billing_source
+    from cashbook.sources.fixtures import fixture_tables
+    from cashbook.sources.snapshot import snapshot_sources
+    wh = Warehouse(spark, scratch_dir(spark, "t-layouts"))
+    snapshot_sources(spark, [billing_source(spark, sf_small)], wh)
+    expected = bag(pnl.pnl_long(fixture_tables(spark, sf_small), "ru"))
+    for layout in ("rebalance", "range"):
+        loc = M.refresh_model(spark, wh, "ru", layout=layout)
+        assert bag(spark.read.parquet(loc)) == expected, layout
