@@ -185,3 +185,37 @@ def test_both_layouts_store_the_model_rows(spark, sf_small):
     for layout in ("rebalance", "range"):
         loc = M.refresh_model(spark, wh, "ru", layout=layout)
         assert bag(spark.read.parquet(loc)) == expected, layout
+
+
+def test_clustered_layout_lets_lookups_skip_row_groups(spark):
+    """Counted from the Parquet footers: the min/max statistics Spark's row-group filter uses."""
+    import datetime as dt
+    import glob
+
+    import pyarrow.parquet as pq
+
+    def kept_row_groups(path, clubs, lo, hi):
+        total = kept = 0
+        for f in glob.glob(path.replace("file:", "") + "/*.parquet"):
+            md = pq.ParquetFile(f).metadata
+            names = [md.schema.column(i).name for i in range(md.num_columns)]
+            ci, ti = names.index("id_club"), names.index("payment_time_local")
+            for g in range(md.num_row_groups):
+                c = md.row_group(g).column(ci).statistics
+                t = md.row_group(g).column(ti).statistics
+                total += 1
+                kept += ((c is None or not c.has_min_max or any(c.min <= k <= c.max for k in clubs))
+                         and (t is None or not t.has_min_max or (t.max >= lo and t.min < hi)))
+        return total, kept
+
+    from cashbook.sources.fixtures import fixture_tables
+    df = pnl.pnl_long(fixture_tables(spark, "/root/testdata/sf0.01"), "en")
+    lo, hi = dt.datetime(1995, 1, 1), dt.datetime(1997, 1, 1)
+    result = {}
+    for label, frame in (("clustered", M.rebalanced(df)), ("unclustered", df)):
+        path = scratch_dir(spark, "t-rowgroups")
+        frame.write.option("parquet.block.size", 16384).parquet(path)
+        result[label] = kept_row_groups(path, [5, 7, 13], lo, hi)
+    total, kept = result["clustered"]
+    assert total > 50 and kept <= total // 4          # most row groups skipped
+    assert result["unclustered"][1] == result["unclustered"][0]   # nothing skippable
