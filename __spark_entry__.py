@@ -201,7 +201,26 @@ def q_model_layout_lookup(spark, sf):
     return M.lookup(_refreshed_model(spark, sf, "en"), LOOKUP_CLUBS, LOOKUP_FROM, LOOKUP_TO)
 
 
+def _llm():
+    """The training-data queries and their SQL; nothing where that subpackage is not installed."""
+    try:
+        import corpus_pipeline
+        from cashbook.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if e.name in ("corpus_pipeline", "cashbook.llm"):
+            return {}, {}
+        raise
+    sql = dict(llm.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**_llm()[0], **_billing_queries()}
+
+
+def _billing_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "pnl_en": _model("en"),
         "pnl_ru": _model("ru"),
@@ -266,6 +285,10 @@ _LINEITEM_TEXT = ("SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quan
 
 
 def oracle_sql() -> dict[str, str]:
+    return {**_llm()[1], **_billing_sql()}
+
+
+def _billing_sql() -> dict[str, str]:
     W = O.fixtures_with()
     gaming, bar, top = (", ".join(map(str, c)) for c in (GAMING_CODES, BAR_CODES, TOP_UP_CODES))
     return {
