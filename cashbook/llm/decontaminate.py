@@ -1,2 +1,282 @@
-def clean_documents(*args, **kw):
-    raise NotImplementedError
+"""Benchmark decontamination with a generalised suffix automaton over item words.
+
+The items are the bounded side: they are cut into blocks of at most
+``BLOCK_BYTES`` text bytes, one automaton each, sent to the tasks.  Documents
+stream through: a word that is unknown to the items, or a pair of neighbours
+that no item has, ends a match, so only runs of known pairs enter the
+automaton.  There the longest matching length is tracked word by word; where
+it reaches the window, the words back to the window's start are hit.
+"""
+
+from __future__ import annotations
+
+import pickle
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cashbook.llm.common import ALNUM, LOWER, text_slices, word_hashes, word_spans
+
+#: Item text bytes per automaton (some hundred MB of states at most).
+BLOCK_BYTES = 1 << 20
+
+
+class SuffixAutomaton:
+    """Automaton of all word runs of a set of items, with the windows each state completes."""
+
+    def __init__(self, items: list[tuple[str, list[int]]], window: int):
+        self.next: list[dict[int, int]] = [{}]
+        self.link, self.length = [-1], [0]
+        for _, words in items:
+            last = 0
+            for w in words:
+                last = self._extend(last, w)
+        self.window = window
+        self.marks: dict[int, list[tuple[int, set[str]]]] = {}
+        for name, words in items:
+            if words:
+                self._mark(name, words)
+        # nearest state on the suffix path that completes a window; links go to shorter runs
+        self.out = [-1] * len(self.next)
+        for s in sorted(range(len(self.next)), key=self.length.__getitem__):
+            self.out[s] = s if s in self.marks else (self.out[self.link[s]] if s else -1)
+
+    def _new(self, length: int, link: int, edges: dict[int, int]) -> int:
+        self.next.append(edges)
+        self.length.append(length)
+        self.link.append(link)
+        return len(self.next) - 1
+
+    def _split(self, p: int, w: int) -> int:
+        """The state of exactly length[p] + 1 reached from p by w; cloned off a longer one if need be."""
+        q = self.next[p][w]
+        if self.length[q] == self.length[p] + 1:
+            return q
+        copy = self._new(self.length[p] + 1, self.link[q], dict(self.next[q]))
+        self.link[q] = copy
+        while p >= 0 and self.next[p].get(w) == q:
+            self.next[p][w] = copy
+            p = self.link[p]
+        return copy
+
+    def _extend(self, last: int, w: int) -> int:
+        if w in self.next[last]:                    # an earlier item has this run already
+            return self._split(last, w)
+        state = self._new(self.length[last] + 1, 0, {})
+        p = last
+        while p >= 0 and w not in self.next[p]:
+            self.next[p][w] = state
+            p = self.link[p]
+        if p >= 0:
+            self.link[state] = self._split(p, w)
+        return state
+
+    def _mark(self, name: str, words: list[int]) -> None:
+        size = min(self.window, len(words))
+        s = n = 0
+        for w in words:
+            s, n = self.next[s][w], n + 1
+            if n >= size:
+                while self.length[self.link[s]] >= size:
+                    s = self.link[s]
+                n = size
+                for length, names in self.marks.setdefault(s, []):
+                    if length == size:
+                        names.add(name)
+                        break
+                else:
+                    self.marks[s].append((size, {name}))
+
+    def stream(self, words: list[int], found: set[str]) -> tuple[list[int], list[int]]:
+        """Per word: the longest matching length and how many words back are hit; items go to ``found``."""
+        nxt, link, length, out, marks = self.next, self.link, self.length, self.out, self.marks
+        s = n = 0
+        longest, back = [], []
+        for w in words:
+            while s and w not in nxt[s]:
+                s = link[s]
+                n = length[s]
+            t = nxt[s].get(w)
+            if t is None:
+                n = 0
+            else:
+                s, n = t, n + 1
+            longest.append(n)
+            reach, o = 0, out[s]
+            while o > 0:
+                for size, names in marks[o]:
+                    if size <= n:
+                        found |= names
+                        reach = max(reach, size)
+                o = out[link[o]]
+            back.append(reach)
+        return longest, back
+
+
+def _block(items: list[tuple[str, str]], window: int) -> dict:
+    """One automaton with its sorted word hashes and known neighbour pairs."""
+    data = np.frombuffer("".join(t for _, t in items).encode(), dtype=np.uint8)
+    ends = np.cumsum([0] + [len(t.encode()) for _, t in items])
+    low = LOWER[data]
+    starts, stops, first = word_spans(low, ends, ALNUM)
+    hashes = word_hashes(low, starts, stops)
+    vocab, ids = np.unique(hashes, return_inverse=True)
+    words = [(name, ids[first[i]:first[i + 1]].tolist()) for i, (name, _) in enumerate(items)]
+    inner = np.ones(max(len(ids) - 1, 0), dtype=bool)
+    cut = first[1:-1]
+    inner[cut[(cut > 0) & (cut < len(ids))] - 1] = False
+    pairs = np.unique(ids[:-1][inner] * len(vocab) + ids[1:][inner]) if len(ids) > 1 else np.zeros(0, np.int64)
+    sizes = [min(window, len(w)) for _, w in words if w]
+    return {"vocab": vocab, "pairs": pairs, "least": min(sizes, default=0),
+            "automaton": SuffixAutomaton(words, window)}
+
+
+def _member(sorted_values: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(sorted_values):
+        return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
+    at = np.minimum(np.searchsorted(sorted_values, x), len(sorted_values) - 1)
+    return at, sorted_values[at] == x
+
+
+def _scan(blocks: list[dict], data: np.ndarray, offsets: np.ndarray):
+    """Words and hits of a slice: (starts, ends, first word per text, hit mask, longest, items per text)."""
+    low = LOWER[data]
+    starts, ends, first = word_spans(low, offsets, ALNUM)
+    hashes = word_hashes(low, starts, ends)
+    hit = np.zeros(len(hashes), dtype=bool)
+    longest = np.zeros(len(hashes), dtype=np.int64)
+    found: dict[int, set[str]] = {}
+    for b in blocks:
+        if not b["least"]:
+            continue
+        ids, known = _member(b["vocab"], hashes)
+        joined = known[:-1] & known[1:]
+        if len(joined):
+            joined &= _member(b["pairs"], ids[:-1] * len(b["vocab"]) + ids[1:])[1]
+            cut = first[1:-1]
+            joined[cut[(cut > 0) & (cut < len(hashes))] - 1] = False
+        edge = np.flatnonzero(~joined) + 1
+        begin = np.concatenate(([0], edge)).astype(np.int64)
+        end = np.concatenate((edge, [len(hashes)])).astype(np.int64)
+        runs = (end - begin >= b["least"]) & known[np.minimum(begin, max(len(known) - 1, 0))] if len(known) else []
+        for r in np.flatnonzero(runs):
+            lo, hi = int(begin[r]), int(end[r])
+            names: set[str] = set()
+            lengths, back = b["automaton"].stream(ids[lo:hi].tolist(), names)
+            longest[lo:hi] = np.maximum(longest[lo:hi], lengths)
+            if names:
+                found.setdefault(int(np.searchsorted(first, lo, side="right")) - 1, set()).update(names)
+                for k in range(hi - lo):
+                    if back[k]:
+                        hit[lo + k + 1 - back[k]:lo + k + 1] = True
+    return starts, ends, first, hit, longest, found
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                  item_text_col: str = "text", window: int = 10) -> DataFrame:
+    """Every row with its contamination: ``row`` (all columns), n_words, n_hit, longest, items, cleaned.
+
+    Words are runs of ASCII letters, digits and non-ASCII characters, A-Z
+    lower-cased.  A window is ``window`` consecutive words of an item; an
+    item of fewer words, but not none, is one window.  A word inside any
+    occurrence of a window is hit; ``longest`` is the longest matching run of
+    words with any item; ``items`` are the ids with an occurring window, as
+    strings in order; ``cleaned`` is the text without the hit runs, from the
+    first letter of a run to its last.
+
+    Null texts have no words (cleaned: null).  Items that are null, empty or
+    repeated are allowed; a null item id is the string ``null``.  With no
+    items nothing is hit.  The items are collected in blocks of ``BLOCK_BYTES``;
+    documents pass all blocks in one scan.
+    """
+    rows = (benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("name"),
+                             F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("words"))
+            .distinct())
+    sc = docs.sparkSession.sparkContext
+    blocks, block, size = [], [], 0
+    for r in rows.toLocalIterator():
+        block.append((r.name, r.words))
+        size += len(r.words.encode())
+        if size >= BLOCK_BYTES:
+            blocks.append(sc.broadcast(pickle.dumps(_block(block, window))))
+            block, size = [], 0
+    if block or not blocks:
+        blocks.append(sc.broadcast(pickle.dumps(_block(block, window))))
+
+    def scan(batches):
+        one = [pickle.loads(blocks[0].value)] if len(blocks) == 1 else None
+        for batch in batches:
+            cols: dict[str, list] = {k: [] for k in ("n_words", "n_hit", "longest", "items", "cleaned")}
+            for lo, hi, data, off in text_slices(batch, "scan_text_"):
+                parts = [_scan(one, data, off)] if one else [
+                    _scan([pickle.loads(b.value)], data, off) for b in blocks]
+                starts, ends, first = parts[0][:3]
+                hit = np.logical_or.reduce([p[3] for p in parts])
+                longest = np.maximum.reduce([p[4] for p in parts])
+                for i in range(hi - lo):
+                    a, z = int(first[i]), int(first[i + 1])
+                    h = hit[a:z]
+                    n_hit = int(h.sum())
+                    names = sorted(set().union(*[p[5].get(i, ()) for p in parts])) if n_hit else []
+                    cols["n_words"].append(z - a)
+                    cols["n_hit"].append(n_hit)
+                    cols["longest"].append(int(longest[a:z].max()) if z > a else 0)
+                    cols["items"].append(names)
+                    if not n_hit:
+                        cols["cleaned"].append(None)
+                        continue
+                    edges = np.flatnonzero(np.diff(np.concatenate(([0], h.view(np.int8), [0]))))
+                    kept, at = [], int(off[i])
+                    for b, e in zip(edges[::2], edges[1::2]):
+                        kept.append(data[at:int(starts[a + b])].tobytes())
+                        at = int(ends[a + e - 1])
+                    kept.append(data[at:off[i + 1]].tobytes())
+                    cols["cleaned"].append(b"".join(kept))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(cols["n_words"], pa.int64()), pa.array(cols["n_hit"], pa.int64()),
+                 pa.array(cols["longest"], pa.int64()), pa.array(cols["items"], pa.list_(pa.string())),
+                 pa.array(cols["cleaned"], pa.binary()).cast(pa.string())],
+                names=["row", "n_words", "n_hit", "longest", "items", "cleaned"])
+
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                      F.col(text_col).cast("string").alias("scan_text_"))
+    schema = T.StructType([own.schema["row"], T.StructField("n_words", T.LongType()),
+                           T.StructField("n_hit", T.LongType()), T.StructField("longest", T.LongType()),
+                           T.StructField("items", T.ArrayType(T.StringType())),
+                           T.StructField("cleaned", T.StringType())])
+    return own.mapInArrow(scan, schema).withColumn(
+        "cleaned", F.coalesce("cleaned", F.col(f"row.`{text_col}`").cast("string")))
+
+
+def items_digest(items) -> Column:
+    """sha256 of the item ids, comma-joined."""
+    return F.sha2(F.concat_ws(",", items).cast("binary"), 256)
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", max_coverage: float = 0.5,
+                    max_run: int | None = None, **kw) -> DataFrame:
+    """The documents without benchmark passages; same columns.
+
+    Hit runs are cut out.  A document goes when more than ``max_coverage`` of
+    its words are hit, or, where ``max_run`` is given, when a matching run is
+    longer than that.  Documents without hits stay as they are.  ``n_chars``,
+    where there is such a column, follows the text.
+    """
+    scanned = contamination(docs, benchmark, text_col, **kw)
+    keep = F.col("n_hit") <= max_coverage * F.col("n_words")
+    if max_run is not None:
+        keep = keep & (F.col("longest") <= max_run)
+    hit = F.col("n_hit") > 0
+    cols = []
+    for c in docs.columns:
+        old = F.col(f"row.`{c}`")
+        if c == text_col:
+            old = F.when(hit, F.col("cleaned")).otherwise(old)
+        elif c == "n_chars":
+            kind = docs.schema[c].dataType
+            old = F.when(hit, F.char_length("cleaned").cast(kind)).otherwise(old)
+        cols.append(old.alias(c))
+    return scanned.filter((F.col("n_words") == 0) | keep).select(*cols)

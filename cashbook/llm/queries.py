@@ -12,6 +12,14 @@ def op3_exact_dedup(spark, sf):
     return exact_dedup(table(spark, sf, "documents")).drop("bucket")
 
 
+def op5_decontamination(spark, sf):
+    from cashbook.llm.decontaminate import contamination, items_digest
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return contamination(docs, table(spark, sf, "benchmark")).select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        items_digest(F.col("items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op7_mixing(spark, sf):
     from cashbook.llm.mixing import mix
     return mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -28,6 +36,7 @@ def op9_sharding(spark, sf):
 
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_decontamination": op5_decontamination,
     "op7_mixing": op7_mixing,
     "op9_sharding": op9_sharding,
 }
