@@ -20,6 +20,11 @@ def op5_decontamination(spark, sf):
         items_digest(F.col("items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op6_jaccard_join(spark, sf):
+    from cashbook.llm.jaccard_join import similar_documents
+    return similar_documents(table(spark, sf, "documents"))
+
+
 def op7_mixing(spark, sf):
     from cashbook.llm.mixing import mix
     return mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -37,6 +42,7 @@ def op9_sharding(spark, sf):
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op5_decontamination": op5_decontamination,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_mixing": op7_mixing,
     "op9_sharding": op9_sharding,
 }
