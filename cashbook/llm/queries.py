@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cashbook.llm.common import table
+from cashbook.llm.common import held_out, table
 
 
 def op3_exact_dedup(spark, sf):
@@ -12,6 +12,11 @@ def op3_exact_dedup(spark, sf):
     return exact_dedup(table(spark, sf, "documents")).drop("bucket")
 
 
+def op4_lm_scoring(spark, sf):
+    from cashbook.llm.lm import score_documents
+    return score_documents(table(spark, sf, "documents"))
+
+
 def op5_decontamination(spark, sf):
     from cashbook.llm.decontaminate import contamination, items_digest
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -30,6 +35,23 @@ def op7_mixing(spark, sf):
     return mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_quality(spark, sf):
+    from cashbook.llm.quality import quality_scores
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return quality_scores(docs, table(spark, sf, "labels")).select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op10_toxicity(spark, sf):
+    from cashbook.llm.toxicity import fit, score
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = fit(docs, table(spark, sf, "labels"))
+    return score(docs, model).select(
+        F.col("row.doc_id").alias("doc_id"), held_out("row.doc_id", 3, 1).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_sharding(spark, sf):
     from cashbook.llm.sharding import byte_size, shard
     docs = table(spark, sf, "documents")
@@ -41,10 +63,13 @@ def op9_sharding(spark, sf):
 
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_decontamination": op5_decontamination,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_mixing": op7_mixing,
+    "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
+    "op10_toxicity": op10_toxicity,
 }
 
 _SIZES = r"""SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents"""
