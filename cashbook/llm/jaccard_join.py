@@ -38,8 +38,8 @@ CHUNK, LEAST_SCORE, MOST_COMMON = 1 << 20, 16, 1 << 18
 LIST_ROWS = 1024
 #: Parity bits per set, as 64-bit words.
 PARITY_WORDS = 8
-#: Candidate texts up to this many are sent to all tasks (8 bytes each).
-BROADCAST_TEXTS = 200_000
+#: Candidate pairs or texts up to this many are sent to all tasks (a few longs each); more are joined by shuffle.
+BROADCAST_ROWS = 200_000
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
@@ -101,26 +101,42 @@ def _in_order(s: np.ndarray, common: np.ndarray, score: np.ndarray) -> tuple[np.
     return s[order], rank[order] > 0
 
 
-def _parity(s: np.ndarray) -> np.ndarray:
-    bits = np.bincount((s >> np.uint64(20)).astype(np.int64) % (64 * PARITY_WORDS),
-                       minlength=64 * PARITY_WORDS) & 1
-    return np.packbits(bits.astype(np.uint8))
+def _parity(s: np.ndarray, bits: int) -> bytes:
+    """Bit i: whether an odd number of shingles fall to i.  Sets differ in at least as many shingles as bits."""
+    odd = np.bincount((s >> np.uint64(20)).astype(np.int64) % bits, minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _wide_bits(n: int) -> int:
+    """Parity bits that tell a set of n shingles well: the power of two from 4 n up, 512 at least."""
+    return 1 << max(9, (4 * n - 1).bit_length())
+
+
+def _gap(x: bytes, y: bytes) -> int:
+    """Differing parity bits; the wider one is folded to the other's width."""
+    x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(x) > len(y):
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def document_sets(texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Per row: id, th (text hash), n (set size), member (set hash), grp, prefix, rare (prefix part), parity."""
+    """Per row: id, th (text hash), n (set size), member (set hash), grp, prefix, rare (prefix part), parity, wide."""
     sc = texts.sparkSession.sparkContext
     sent = sc.broadcast(common_shingles(texts, width))
 
     def describe(batches):
         common, score = sent.value
         for batch in batches:
-            n, member, grp, prefix, rare, parity = [], [], [], [], [], []
+            n, member, grp, prefix, rare, parity, wide = [], [], [], [], [], [], []
             for _, _, data, off in text_slices(batch, "text"):
                 for s in _sets(data, off, width):
                     n.append(len(s))
                     if not len(s):
                         member.append(0), grp.append(0), prefix.append(b""), rare.append(0), parity.append(b"")
+                        wide.append(b"")
                         continue
                     size = np.uint64(len(s))
                     member.append(int(mix64(np.array([np.add.reduce(mix64(s)) + size])).view(np.int64)[0]))
@@ -130,16 +146,18 @@ def document_sets(texts: DataFrame, width: int, percent: int) -> DataFrame:
                     grp.append(int(mix64(np.array([np.add.reduce(place) + size])).view(np.int64)[0]))
                     prefix.append(p.tobytes())
                     rare.append(int(len(p) - is_common[:len(p)].sum()))
-                    parity.append(_parity(s).tobytes())
+                    parity.append(_parity(s, 64 * PARITY_WORDS))
+                    wide.append(_parity(s, _wide_bits(len(s))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(member, pa.int64()),
                  pa.array(grp, pa.int64()), pa.array(prefix, pa.binary()), pa.array(rare, pa.int32()),
-                 pa.array(parity, pa.binary())],
-                names=["id", "th", "n", "member", "grp", "prefix", "rare", "parity"])
+                 pa.array(parity, pa.binary()), pa.array(wide, pa.binary())],
+                names=["id", "th", "n", "member", "grp", "prefix", "rare", "parity", "wide"])
 
     kind = texts.schema["id"].dataType.simpleString()
     return texts.select("id", "th", "text").mapInArrow(
-        describe, f"id {kind}, th long, n int, member long, grp long, prefix binary, rare int, parity binary")
+        describe, f"id {kind}, th long, n int, member long, grp long, prefix binary, rare int, parity binary, "
+                  "wide binary")
 
 
 def _postings(sets: DataFrame) -> DataFrame:
@@ -281,6 +299,29 @@ def _pairs(lists: DataFrame, percent: int, forest: bool) -> DataFrame:
     return _dealt(lists).mapInArrow(run, "grp_a long, comp_a long, grp_b long, comp_b long").distinct()
 
 
+def _sent_if_few(table: DataFrame) -> DataFrame:
+    """The stored table, marked for broadcast where its counted size is within the bound."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
+def _screened(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Those pairs whose wide parity bits do not rule a link out."""
+    def run(batches):
+        for batch in batches:
+            n = batch.column(4).to_numpy().astype(np.int64) + batch.column(5).to_numpy()
+            gap = np.array([_gap(x, y) for x, y in zip(batch.column(6).to_pylist(), batch.column(7).to_pylist())],
+                           dtype=np.int64)
+            keep = gap * (100 + percent) <= (100 - percent) * n
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(4)],
+                                             names=["a", "ta", "b", "tb"]).filter(pa.array(keep, pa.bool_()))
+
+    pairs = _sent_if_few(stored(pairs, "join-near"))
+    side = members.select("member", "n", "wide")
+    both = (side.toDF("a", "na", "wa").join(pairs, "a").join(side.toDF("b", "nb", "wb"), "b")
+            .select("a", "ta", "b", "tb", "na", "nb", "wa", "wb"))
+    return both.mapInArrow(run, "a long, ta long, b long, tb long")
+
+
 def _whole_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(th, shingles) of the wanted text hashes; one row each."""
     def shingles(batches):
@@ -291,7 +332,7 @@ def _whole_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["th", "shingles"])
 
     wanted = stored(wanted.distinct(), "join-wanted")
-    few = wanted.count() <= BROADCAST_TEXTS
+    few = wanted.count() <= BROADCAST_ROWS
     rows = texts.select("th", "text").join(F.broadcast(wanted) if few else wanted, "th", "left_semi")
     one = rows.groupBy("th").agg(F.first("text").alias("text")) if not few else rows
     sets = one.mapInArrow(shingles, "th long, shingles binary")
@@ -312,7 +353,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     sets = _whole_sets(texts, pairs.select(F.col("ta").alias("th")).union(pairs.select("tb")), width)
-    one = pairs.join(sets.select(F.col("th").alias("ta"), F.col("shingles").alias("sa")), "ta")
+    one = sets.select(F.col("th").alias("ta"), F.col("shingles").alias("sa")).join(_sent_if_few(pairs), "ta")
     two = one.join(sets.select(F.col("th").alias("tb"), F.col("shingles").alias("sb")), "tb")
     return stored(two.select("a", "b", "sa", "sb").mapInArrow(linked, "a long, b long"), "join-links")
 
@@ -333,8 +374,8 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     sets = stored(document_sets(texts, width, percent), "join-docs")
     rows = sets.filter("n > 0")
     members = stored(rows.groupBy("member").agg(F.first("grp").alias("grp"), F.first("n").alias("n"),
-                                                F.min("th").alias("t"), F.first("parity").alias("parity")),
-                     "join-members")
+                                                F.min("th").alias("t"), F.first("parity").alias("parity"),
+                                                F.first("wide").alias("wide")), "join-members")
     groups = stored(members.groupBy("grp").agg(
         F.first("n").alias("n"), F.min(F.struct("member", "t", "parity")).alias("head"),
         F.count(F.lit(1)).alias("members")), "join-groups")
@@ -350,10 +391,10 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     inside = (members.join(groups.filter("members > 1").select("grp", "head"), "grp").filter("member <> head.member")
               .select(F.col("head.member").alias("a"), F.col("head.t").alias("ta"),
                       F.col("member").alias("b"), F.col("t").alias("tb")))
-    tried = stored(near.unionByName(inside), "join-tried")
+    tried = stored(_screened(near.unionByName(inside), members, percent), "join-tried")
     links = _verify(tried, texts, width, percent)
     label = components(links)
-    placed = stored(members.join(label.withColumnRenamed("node", "member"), "member", "left")
+    placed = stored(members.drop("wide").join(label.withColumnRenamed("node", "member"), "member", "left")
                     .withColumn("comp", F.coalesce("label", "member")).drop("label"), "join-placed")
 
     # second pass: units are the members of a group in one component
@@ -369,7 +410,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
             .join(side.toDF("grp_b", "comp_b", "b", "tb", "pb"), ["grp_b", "comp_b"])
             .select("a", "ta", "b", "tb"))
     known = tried.select("a", "b").union(tried.select("b", "a"))
-    todo = stored(full.join(known, ["a", "b"], "left_anti"), "join-rest")
+    todo = stored(_screened(full.join(known, ["a", "b"], "left_anti"), members, percent), "join-rest")
     comp_of = placed.select("member", "comp")
     more = (_verify(todo, texts, width, percent)
             .join(comp_of.toDF("a", "ca"), "a").join(comp_of.toDF("b", "cb"), "b")

@@ -29,7 +29,7 @@ TRAIN_TOXIC, TRAIN_CLEAN = 1500, 2500
 WINDOW, STRIDE = 48, 32
 LEAST_TEXTS, CHAR_ROWS, GRAMS = 3, 1 << 15, (3, 5)
 WORD_DIM, CHAR_DIM, HIDDEN, ATT = 4, 8, 8, 8
-EPOCHS, BATCH, RATE, DECAY = 6, 96, 0.05, 1e-4
+EPOCHS, STEPS, BATCH, RATE, DECAY = 6, 500, 96, 0.05, 1e-4
 #: Windows scored at once.
 BLOCK = 1024
 
@@ -210,8 +210,13 @@ def window_logits(m, vectors, ids, begin, size) -> np.ndarray:
     return out
 
 
-def train(texts: list[str], labels: np.ndarray, seed: int = 5) -> dict:
-    """Fit on whole texts: each epoch takes the worst windows of every document and some at random."""
+def train(texts: list[str], labels: np.ndarray, rate: float | None = None, seed: int = 5) -> dict:
+    """Fit on whole texts: each epoch takes the worst windows of every document and some at random.
+
+    One text in five is not trained on: after each epoch these calibrate the
+    score (a logistic fit to the worst window, shifted from the sample's to
+    the ``rate`` of label 1), and the epoch that fits them best is kept.
+    """
     raw = [(t or "").encode() for t in texts]
     data = np.frombuffer(b"".join(raw), np.uint8)
     offsets = np.concatenate(([0], np.cumsum([len(x) for x in raw]))).astype(np.int64)
@@ -222,53 +227,73 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 5) -> dict:
     m = new_model(values[texts_with >= LEAST_TEXTS], seed)
     rows = word_rows(m, values)
     text, begin, size = windows(first)
-    if len(text) == 0 or len(set(labels.tolist())) < 2:
-        return {"model": m, "platt": (0.0, float(np.log((labels.sum() + 1) / (len(labels) - labels.sum() + 1)))
-                                      if len(labels) else -5.0)}
+    tuned = np.zeros(len(labels), bool)                # every fifth of either class
+    for c in (0, 1):
+        tuned[np.flatnonzero(labels == c)[::5]] = True
+    if len(text) == 0 or len(set(labels[~tuned].tolist())) < 2 or len(set(labels[tuned].tolist())) < 2:
+        ones = float(labels.sum())
+        return {"model": m, "platt": (0.0, float(np.log((ones + 0.5) / (len(labels) - ones + 0.5))))}
+    share = labels.mean()
+    shift = 0.0 if rate is None else float(np.log(rate / (1 - rate) * (1 - share) / share))
     ends = np.append(cuts, len(grams))
     y = labels.astype(np.float32)[text]
+    usable = ~tuned[text]
     memory = {k: np.full(v.shape, 1e-4, np.float32) for k, v in m.items() if k != "known"}
-    for epoch in range(EPOCHS):
+    seen = np.diff(first) > 0
+    best = None
+    epoch = steps = 0
+    while True:
         noise = rng.random(len(text)).astype(np.float32)
-        score = noise if epoch == 0 else window_logits(m, word_vectors(m, rows, grams, cuts), ids, begin, size)
+        score = noise
+        if epoch:
+            score = window_logits(m, word_vectors(m, rows, grams, cuts), ids, begin, size)
+            top = np.full(len(labels), -np.inf)
+            np.maximum.at(top, text, score)
+            fold = tuned & seen
+            loss, a, b = _platt(top[fold], labels[fold].astype(float))
+            if best is None or loss < best[0]:
+                best = (loss, {k: v.copy() for k, v in m.items()}, (a, b + shift))
+            if epoch >= EPOCHS and steps >= STEPS:     # a small sample is passed more often
+                return {"model": best[1], "platt": best[2]}
         order = np.lexsort((-score, text))
         start = np.searchsorted(text[order], np.unique(text))
         rank = np.arange(len(order)) - np.repeat(start, np.diff(np.append(start, len(order))))
-        worst = order[rank < (3 if epoch == 0 else 2)]
-        chosen = np.concatenate([worst, np.flatnonzero((y == 0) & (noise < min(1.0, len(worst) / 2 / len(text))))])
+        worst = order[rank < (2 if epoch else 3)]
+        others = np.flatnonzero((y == 0) & (noise < min(1.0, len(worst) / 2 / len(text))))
+        chosen = np.concatenate([worst, others])
+        chosen = chosen[usable[chosen]]
         rng.shuffle(chosen)
+        epoch, steps = epoch + 1, steps + -(-len(chosen) // BATCH)
         for lo in range(0, len(chosen), BATCH):
-            part = chosen[lo:lo + BATCH]
-            word, mask = _steps(begin[part], size[part])
-            used, at = np.unique(ids[word], return_inverse=True)
-            pieces = [grams[ends[k]:ends[k + 1]] for k in used]
-            own_cuts = np.cumsum([0] + [len(p) for p in pieces])[:-1]
-            own = np.concatenate(pieces)
-            vec = word_vectors(m, rows[used], own, own_cuts)
-            g, dx = gradients(m, vec[at.reshape(word.shape)], mask, y[part])
-            dv = np.zeros_like(vec)
-            np.add.at(dv, at.ravel(), (dx * mask[:, :, None]).reshape(-1, dx.shape[2]))
-            for k, v in g.items():
-                memory[k] += v * v
-                m[k] -= RATE * v / np.sqrt(memory[k])
-            length = np.diff(np.append(own_cuts, len(own)))
-            for k, row, grad in (("word", rows[used], dv[:, :WORD_DIM]),
-                                 ("char", own, np.repeat(dv[:, WORD_DIM:] / length[:, None], length, axis=0))):
-                uniq, back = np.unique(row, return_inverse=True)
-                total = np.zeros((len(uniq), grad.shape[1]), np.float32)
-                np.add.at(total, back, grad)
-                memory[k][uniq] += total * total
-                m[k][uniq] -= RATE * (total / np.sqrt(memory[k][uniq]) + DECAY * m[k][uniq])
-            m["word"][-1] = 0
-    score = window_logits(m, word_vectors(m, rows, grams, cuts), ids, begin, size)
-    top = np.full(len(labels), -np.inf)
-    np.maximum.at(top, text, score)
-    seen = np.isfinite(top)
-    return {"model": m, "platt": _platt(top[seen], labels[seen].astype(float))}
-
-
-def _platt(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope (not below 0.1) and offset of a logistic fit by Newton steps, with a light ridge."""
+            _update(m, memory, chosen[lo:lo + BATCH], ids, begin, size, rows, grams, cuts, ends, y)
+
+
+def _update(m, memory, part, ids, begin, size, rows, grams, cuts, ends, y) -> None:
+    """One step of adaptive gradient descent on the windows of ``part``."""
+    word, mask = _steps(begin[part], size[part])
+    used, at = np.unique(ids[word], return_inverse=True)
+    pieces = [grams[ends[k]:ends[k + 1]] for k in used]
+    length = np.array([len(p) for p in pieces])
+    own_cuts, own = np.cumsum(length) - length, np.concatenate(pieces)
+    vec = word_vectors(m, rows[used], own, own_cuts)
+    g, dx = gradients(m, vec[at.reshape(word.shape)], mask, y[part])
+    dv = np.zeros_like(vec)
+    np.add.at(dv, at.ravel(), (dx * mask[:, :, None]).reshape(-1, dx.shape[2]))
+    for k, v in g.items():
+        memory[k] += v * v
+        m[k] -= RATE * v / np.sqrt(memory[k])
+    for k, row, grad in (("word", rows[used], dv[:, :WORD_DIM]),
+                         ("char", own, np.repeat(dv[:, WORD_DIM:] / length[:, None], length, axis=0))):
+        uniq, back = np.unique(row, return_inverse=True)
+        total = np.zeros((len(uniq), grad.shape[1]), np.float32)
+        np.add.at(total, back, grad)
+        memory[k][uniq] += total * total
+        m[k][uniq] -= RATE * (total / np.sqrt(memory[k][uniq]) + DECAY * m[k][uniq])
+    m["word"][-1] = 0
+
+
+def _platt(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
+    """Loss, slope (not below 0.1) and offset of a logistic fit by Newton steps, with a light ridge."""
     a, b = 1.0, 0.0
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
@@ -278,7 +303,8 @@ def _platt(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
         det = haa * hbb - hab * hab
         a, b = a - np.clip((hbb * ga - hab * gb) / det, -1, 1), b - np.clip((haa * gb - hab * ga) / det, -1, 1)
         a = max(a, 0.1)
-    return float(a), float(b)
+    p = np.clip(1 / (1 + np.exp(-np.clip(a * x + b, -30, 30))), 1e-9, 1 - 1e-9)
+    return float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).sum()), float(a), float(b)
 
 
 # ---------------------------------------------------------------- operators
@@ -293,6 +319,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     y = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
          .filter(~held_out(id_col, modulus, remainder))
          .groupBy(F.col(id_col).alias("fit_id_")).agg(F.max(F.col(label_col).cast("int")).alias("y")))
+    rate = y.agg(F.avg("y")).first()[0]
     hashed = F.xxhash64("fit_id_")
     chosen = (y.filter("y = 1").orderBy(hashed, "fit_id_").limit(TRAIN_TOXIC)
               .unionByName(y.filter("y = 0").orderBy(hashed, "fit_id_").limit(TRAIN_CLEAN)))
@@ -304,7 +331,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         import pandas as pd
         got = [f for f in frames]
         t = pd.concat(got).sort_values("fit_id_") if got else pd.DataFrame({"text": [], "y": []})
-        yield pd.DataFrame({"model": [pickle.dumps(train(t["text"].tolist(), t["y"].to_numpy(np.int64)))]})
+        yield pd.DataFrame({"model": [pickle.dumps(train(t["text"].tolist(), t["y"].to_numpy(np.int64), rate))]})
 
     return rows.coalesce(1).mapInPandas(run, "model binary").first()[0]
 
