@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 from cashbook.llm.common import held_out, table
 
 
+def op2_suffix_dedup(spark, sf):
+    from cashbook.llm.suffix_dedup import remove_repeats
+    return remove_repeats(table(spark, sf, "documents")).drop("kept")
+
+
 def op3_exact_dedup(spark, sf):
     from cashbook.llm.exact_dedup import exact_dedup
     return exact_dedup(table(spark, sf, "documents")).drop("bucket")
@@ -62,6 +67,7 @@ def op9_sharding(spark, sf):
 
 
 QUERIES = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_decontamination": op5_decontamination,
