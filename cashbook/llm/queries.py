@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 from cashbook.llm.common import held_out, table
 
 
+def op1_quotation_linking(spark, sf):
+    from cashbook.llm.quotation import link_quotations
+    return link_quotations(table(spark, sf, "conversations"))
+
+
 def op2_suffix_dedup(spark, sf):
     from cashbook.llm.suffix_dedup import remove_repeats
     return remove_repeats(table(spark, sf, "documents")).drop("kept")
@@ -67,6 +72,7 @@ def op9_sharding(spark, sf):
 
 
 QUERIES = {
+    "op1_quotation_linking": op1_quotation_linking,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_lm_scoring": op4_lm_scoring,
