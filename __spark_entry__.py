@@ -24,7 +24,7 @@ from cashbook.plans import pnl
 from cashbook.session import scratch_dir
 from cashbook.sources import fixture_sources as FS
 from cashbook.sources.fixtures import fixture_table, fixture_tables
-from cashbook.sources.snapshot import copy_table, manifest, snapshot_sources
+from cashbook.sources.snapshot import FrameSource, SourceObject, copy_table, manifest, snapshot_sources
 from cashbook.sources.testdata import read_table
 from cashbook.sources.warehouse import Warehouse
 
@@ -127,7 +127,8 @@ def q_local_time(spark, sf):
 # then returns what it reads back from there.
 
 def _warehouse(spark) -> Warehouse:
-    return Warehouse(spark, scratch_dir(spark, "warehouse"))
+    root = scratch_dir(spark, "warehouse")
+    return Warehouse(spark, root, namespace="q" + root.rsplit("-", 1)[1])
 
 
 def q_snapshot_all(spark, sf):
@@ -142,16 +143,37 @@ def q_snapshot_coerced(spark, sf):
     return wh.table("public", "lineitem")
 
 
-def q_snapshot_csv(spark, sf):
-    wh = _warehouse(spark)
-    snapshot_sources(spark, [FS.text_source(spark, sf)], wh, staging="csv",
-                     stage_root=scratch_dir(spark, "stage"))
-    return wh.table("public", "documents")
+def _staged(name):
+    """One of three tables staged as CSV."""
+    def run(spark, sf):
+        wh = _warehouse(spark)
+        snapshot_sources(spark, [FS.text_source(spark, sf)], wh, staging="csv",
+                         stage_root=scratch_dir(spark, "stage"))
+        return wh.table("public", name)
+    return run
+
+
+def q_two_warehouses(spark, sf):
+    """Both language models, each in a warehouse of its own and from its own accounts.
+
+    On the Russian side every account belongs to the next club.
+    """
+    models = []
+    for lang in ("en", "ru"):
+        wh, objects = _warehouse(spark), FS.billing_objects(spark, sf)
+        if lang == "ru":
+            objects[("billing", "balance_user")] = SourceObject("r", lambda: fixture_table(
+                spark, sf, "balance_user").withColumn("id_club", F.col("id_club") + 1))
+        models.append((lang, wh))
+        snapshot_sources(spark, [FrameSource(spark, lang, objects)], wh)
+    for lang, wh in models:                           # both are filled before either model is built
+        M.refresh_model(spark, wh, lang)
+    parts = [M.model_table(wh, lang).select(F.lit(lang).alias("lang"), "*") for lang, wh in models]
+    return parts[0].unionByName(parts[1])
 
 
 def q_snapshot_refresh(spark, sf):
     """Load an outdated version, then the current one: only the current rows remain."""
-    from cashbook.sources.snapshot import FrameSource, SourceObject
     wh = _warehouse(spark)
     old = FrameSource(spark, "main", {("public", "orders"): SourceObject(
         "r", lambda: read_table(spark, sf, "orders").withColumn(
@@ -186,7 +208,7 @@ def _refreshed_model(spark, sf, lang="en"):
     wh = _warehouse(spark)
     snapshot_sources(spark, [FS.billing_source(spark, sf)], wh)
     M.refresh_model(spark, wh, lang)
-    return M.model_table(spark, lang)
+    return M.model_table(wh, lang)
 
 
 LOOKUP_CLUBS = [5, 7, 13]
@@ -249,7 +271,10 @@ def _billing_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "local_time": q_local_time,
         "snapshot_all": q_snapshot_all,
         "snapshot_coerced": q_snapshot_coerced,
-        "snapshot_csv": q_snapshot_csv,
+        "snapshot_csv": _staged("documents"),
+        "snapshot_csv_events": _staged("events"),
+        "snapshot_csv_lineitem": _staged("lineitem"),
+        "two_warehouses": q_two_warehouses,
         "snapshot_refresh": q_snapshot_refresh,
         "snapshot_two_sources": q_snapshot_two_sources,
         "snapshot_matview": q_snapshot_matview,
@@ -261,6 +286,11 @@ def _billing_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # ---------------------------------------------------------------- oracles
 
+def _two_models_sql():
+    moved = O.model_sql("ru").replace("c_nationkey + 2 END", "c_nationkey + 3 END")
+    return f"SELECT 'en' AS lang, * FROM ({O.model_sql('en')}) UNION ALL SELECT 'ru' AS lang, * FROM ({moved})"
+
+
 def _wide_sql(keys):
     cols = ["id", "payment_time", "id_club", "id_payment_type", "id_grp_payment_type", "profit",
             "amount"]
@@ -343,6 +373,9 @@ def _billing_sql() -> dict[str, str]:
         ]),
         "snapshot_coerced": _LINEITEM_TEXT,
         "snapshot_csv": "SELECT * FROM documents",
+        "snapshot_csv_events": "SELECT * FROM events",
+        "snapshot_csv_lineitem": "SELECT * FROM lineitem",
+        "two_warehouses": _two_models_sql(),
         "snapshot_refresh": "SELECT * FROM orders",
         "snapshot_two_sources": _counts([
             ("billing", "orders", "r", "orders"),

@@ -4,6 +4,7 @@ Config (JSON)::
 
     {
       "warehouse": "hdfs:///warehouse/en",       # table root (shared storage)
+      "namespace": "en",                         # optional; one per warehouse on a shared metastore
       "lang": "en",                              # model labels: en | ru
       "staging": "direct",                       # or "csv" (staged in spark.checkpoint.dir)
       "model_partitions": 2000,                  # optional; default: shuffle partitions + AQE
@@ -14,7 +15,8 @@ Config (JSON)::
          "properties": {"user": "etl", "driver": "org.postgresql.Driver"},
          "password_env": "MAIN_DB_PASSWORD",     # optional: name of an environment variable
          "partition_columns": {"billing.payment": "id"},
-         "num_partitions": null}                 # default: one split per 2M key values
+         "num_partitions": null}                 # default: one split per 2M values of the key, or of
+                                                 # the table's first integer column
       ]
     }
 
@@ -67,7 +69,8 @@ def main(argv: list[str] | None = None) -> int:
         cfg = json.load(f)
     spark = SparkSession.builder.appName("cashbook").getOrCreate()
     apply_engine_conf(spark)
-    rep = refresh_warehouse(spark, build_sources(spark, cfg), Warehouse(spark, cfg["warehouse"]),
+    rep = refresh_warehouse(spark, build_sources(spark, cfg),
+                            Warehouse(spark, cfg["warehouse"], namespace=cfg.get("namespace", "")),
                             cfg.get("lang", "en"), staging=cfg.get("staging", "direct"),
                             model_partitions=cfg.get("model_partitions"))
     print(json.dumps({"copied": [".".join(c[:2]) for c in rep.snapshot.copied],

@@ -1,12 +1,11 @@
 """Size-checked broadcast.
 
-A side is broadcast only after a bounded probe proves it holds at most
-``max_rows`` rows; ``take(max_rows + 1)`` of a zero-column projection reads
-at most that many rows (of zero columns), so the probe costs the same however large the table
-turns out to be.  A side over the bound gets a ``merge`` hint and the join
-shuffles (AQE may still turn it into a broadcast from measured shuffle sizes,
-and splits skewed partitions).  Callers project to the join key and the few
-columns they need first, so rows x width stays small.
+A side is broadcast only after a count proves it holds at most ``max_rows``
+rows.  The count is one aggregate on the executors; the driver receives one
+row, whatever the table.  A side over the bound gets a ``merge`` hint and the
+join shuffles (AQE may still turn it into a broadcast from measured shuffle
+sizes, and splits skewed partitions).  Callers project to the join key and a
+few numeric columns first, so a row takes some tens of bytes.
 """
 
 from __future__ import annotations
@@ -22,29 +21,18 @@ DIMENSION_MAX_ROWS = 1_000_000
 ACCOUNT_MAX_ROWS = 2_000_000
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``take`` scans partitions incrementally and stops after ``max_rows + 1``
-    rows, so the probe reads O(max_rows) rows however large ``df`` is.
-    """
-    return len(df.select().take(max_rows + 1)) <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
-    return hint(df, fits(df, max_rows))
+def one_row_each(probes: list[DataFrame]) -> list:
+    """The single row of several aggregates, run concurrently."""
+    with ThreadPoolExecutor(max_workers=max(1, len(probes))) as pool:
+        return list(pool.map(lambda p: p.first(), probes))
 
 
-def bounded_rows(df: DataFrame, max_rows: int, cols: tuple[str, ...] = ()) -> list | None:
-    """The rows of ``cols`` when ``df`` has at most ``max_rows`` rows, else None."""
-    rows = df.select(*cols).take(max_rows + 1)
-    return rows if len(rows) <= max_rows else None
+def counted(df: DataFrame) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("n"))
 
 
-def bounded_rows_all(probes: list[tuple[DataFrame, int, tuple[str, ...]]]) -> list[list | None]:
-    """Several :func:`bounded_rows` probes, run concurrently."""
-    with ThreadPoolExecutor(max_workers=max(1, len(probes))) as pool:
-        return list(pool.map(lambda p: bounded_rows(*p), probes))
+def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
+    return hint(df, counted(df).first()["n"] <= max_rows)
 
 
 def hint(df: DataFrame, small: bool) -> DataFrame:

@@ -14,8 +14,9 @@ smaller than the payments -- and joined to the payments with a single
 equi join: broadcast when the probes of :func:`dimension_sides` bound it,
 otherwise a shuffle join whose hot accounts are split (AQE skew join, or
 explicit salting from :mod:`cashbook.operators.skew`).  ``balance`` is read by no
-output column but stays joined: without declared keys a duplicate ``b.id``
-multiplies rows, exactly as in the source model.
+output column but counts: without declared keys a duplicate ``b.id``
+multiplies rows, exactly as in the source model.  As every account here has
+``id_balance = 1``, the number of balance rows with that id says it all.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from cashbook.functions.scalar import local_time, numeric_offset
 from cashbook.operators.broadcast import (ACCOUNT_MAX_ROWS, DIMENSION_MAX_ROWS,
-                                          bounded_broadcast, bounded_rows_all, hint)
+                                          bounded_broadcast, counted, hint, one_row_each)
 from cashbook.operators.skew import DEFAULT_ROWS_PER_TASK, salted_join
 from cashbook.sources.fixtures import BillingTables
 
@@ -56,23 +57,26 @@ def type_frame(pt: DataFrame) -> DataFrame:
         F.col("id_parent").alias("pt_id_parent"))
 
 
-def account_frames(t: BillingTables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Main-balance accounts, balances and clubs, projected for the joins."""
+def account_frames(t: BillingTables) -> tuple[DataFrame, DataFrame]:
+    """Main-balance accounts and clubs, projected for the joins."""
     bu = main_balance_accounts(t.balance_user).select(
         F.col("id").alias("acc_id"), "id_club", "id_balance")
-    b = t.balance.select(F.col("id").alias("b_id"))
     c = t.club.select(F.col("id").alias("c_id"), numeric_offset(
         F.col("time_zone"), t.club.schema["time_zone"].dataType).alias("time_zone"))
-    return bu, b, c
+    return bu, c
 
 
-def attach_clubs(bu: DataFrame, b: DataFrame, c: DataFrame) -> DataFrame:
+def attach_clubs(bu: DataFrame, balance_rows: int, c: DataFrame) -> DataFrame:
     """J3 + J4 on the account side: one row per account x balance row x club row.
 
-    A missing club leaves ``time_zone`` NULL and keeps the account.
+    All accounts here are on balance 1, so the join to ``balance`` only
+    repeats each account once per balance row with that id
+    (``balance_rows``; a left join, so once at least).  A missing club leaves
+    ``time_zone`` NULL and keeps the account.
     """
-    return (bu.join(b, bu["id_balance"] == b["b_id"], "left")
-              .join(c, bu["id_club"] == c["c_id"], "left")
+    if balance_rows > 1:
+        bu = bu.select("*", F.explode(F.sequence(F.lit(1), F.lit(balance_rows))).alias("_copy"))
+    return (bu.join(c, bu["id_club"] == c["c_id"], "left")
               .select("acc_id", "id_club", "id_balance", "time_zone"))
 
 
@@ -81,10 +85,10 @@ def dimension_sides(t: BillingTables, types: DataFrame, dim_rows: int = DIMENSIO
                     types_probe: DataFrame | None = None) -> tuple[DataFrame, DataFrame, bool]:
     """Size-check the dimension sides; return (types, accounts, accounts_small).
 
-    One round of four concurrent probes, each a plain scan: the types, the
-    balance keys, the club keys (both at most ``dim_rows`` rows, so their keys
-    may come to the driver) and the number of main-balance accounts.  The
-    account side's size is then bounded without running its joins:
+    Four concurrent aggregates, one row each: the number of types, of balance
+    rows with id 1, of clubs with the most rows of one club id, and of
+    main-balance accounts.  The account side's size is then bounded without
+    running its joins:
 
         |accounts x balance x club| <= |accounts| * (balance rows with id 1)
                                                   * (most rows of one club id)
@@ -92,21 +96,17 @@ def dimension_sides(t: BillingTables, types: DataFrame, dim_rows: int = DIMENSIO
     (left joins keep an unmatched account once, hence the max(1, ...)).
     ``types_probe`` may be a cheaper superset of ``types`` to count.
     """
-    from collections import Counter
-
-    bu, b, c = account_frames(t)
-    t_rows, b_keys, c_keys, bu_rows = bounded_rows_all(
-        [(types if types_probe is None else types_probe, dim_rows, ()),
-         (b, dim_rows, ("b_id",)), (c, dim_rows, ("c_id",)),
-         (bu, account_rows, ())])
-    small_t, small_b, small_c = t_rows is not None, b_keys is not None, c_keys is not None
-    small_acc = False
-    if small_b and small_c and bu_rows is not None:
-        fan_b = max(1, sum(1 for r in b_keys if r[0] == 1))
-        fan_c = max([1, *Counter(r[0] for r in c_keys).values()])
-        small_acc = len(bu_rows) * fan_b * fan_c <= account_rows
-    accounts = hint(attach_clubs(bu, hint(b, small_b), hint(c, small_c)), small_acc)
-    return hint(types, small_t), accounts, small_acc
+    bu, c = account_frames(t)
+    n_types, n_balance, clubs, n_bu = one_row_each([
+        counted(types if types_probe is None else types_probe),
+        counted(t.balance.filter(F.col("id") == 1)),
+        c.groupBy("c_id").agg(F.count(F.lit(1)).alias("rows")).agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("n"), F.max("rows").alias("most")),
+        counted(bu)])
+    balance_rows = max(1, n_balance["n"])
+    small_acc = n_bu["n"] * balance_rows * max(1, clubs["most"] or 1) <= account_rows
+    accounts = hint(attach_clubs(bu, balance_rows, hint(c, clubs["n"] <= dim_rows)), small_acc)
+    return hint(types, n_types["n"] <= dim_rows), accounts, small_acc
 
 
 def join_types(p: DataFrame, types: DataFrame) -> DataFrame:

@@ -7,10 +7,9 @@ handling switched off) or not wanted.
 1. Count rows per key on the large side.  The count is partially aggregated
    in every task before its shuffle, so it moves one row per key per task.
 2. Keys with more than ``rows_per_task`` rows are hot.  Their number is at
-   most total_rows / rows_per_task; a bounded read proves the hot list small
-   and brings it to the driver once, and it is broadcast from there (so the
-   counting pass is not recomputed).  An unbounded number of "hot" keys means
-   every key is moderate and plain hashing already spreads them.
+   most total_rows / rows_per_task.  Up to ``max_hot_keys`` of them come to
+   the driver once and are broadcast from there (so the counting pass is not
+   recomputed); a longer list is joined by shuffle, and splits all the same.
 3. A hot key with ``n`` rows is split into ``ceil(n / rows_per_task)`` salts:
    large-side rows get ``salt = pmod(xxhash64(row columns), salts)``, the
    matching small-side rows are replicated once per salt.  Cold keys keep
@@ -24,8 +23,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cashbook.operators.broadcast import bounded_rows
-
 DEFAULT_ROWS_PER_TASK = 5_000_000
 MAX_HOT_KEYS = 100_000
 
@@ -44,11 +41,13 @@ def salted_join(large: DataFrame, small: DataFrame, large_key: str, small_key: s
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
     counted = hot_keys(large, large_key, rows_per_task)
-    rows = bounded_rows(counted, max_hot_keys, ("_hk", "_salts"))
-    if not rows:          # no hot key, or too many keys over budget to call any hot
+    rows = counted.limit(max_hot_keys + 1).collect()
+    if not rows:
         return large.join(small, large[large_key] == small[small_key], how)
-    # the counting pass runs once: its (bounded) result is kept as a local relation
-    hot = F.broadcast(large.sparkSession.createDataFrame(rows, counted.schema))
+    if len(rows) <= max_hot_keys:
+        hot = F.broadcast(large.sparkSession.createDataFrame(rows, counted.schema))
+    else:
+        hot = counted.hint("merge")
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in large.columns])
     big = (large.join(hot, large[large_key] == hot["_hk"], "left")
                 .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))

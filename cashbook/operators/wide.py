@@ -15,22 +15,10 @@ for the JIT and runs several times slower.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cashbook.operators.rules import LEAF_BY_KEY, LEAVES, Leaf, rule_table
-
-
-def leaf_condition(leaf: Leaf, type_col: str = "id_payment_type", profit_col: str = "profit",
-                   method_col: str = "id_grp_payment_type") -> Column:
-    cond = F.col(type_col).isin(list(leaf.codes)) & (F.col(profit_col) == leaf.profit)
-    if leaf.method is not None:
-        cond = cond & (F.col(method_col) == leaf.method)
-    return cond
-
-
-def leaf_column(leaf: Leaf, amount_col: str = "amount") -> Column:
-    return F.when(leaf_condition(leaf), F.col(amount_col))
+from cashbook.operators.rules import LEAF_BY_KEY, LEAVES, rule_table
 
 
 def with_leaf_columns(feed: DataFrame, lang: str = "en",

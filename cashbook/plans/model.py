@@ -25,10 +25,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cashbook.operators.rules import COL_METRIC, COL_ORDER, COL_VALUE, MODEL_TABLES
+from cashbook.operators.rules import MODEL_TABLES
 from cashbook.plans.pnl import pnl_long
 from cashbook.sources.fixtures import BillingTables, catalog_tables
-from cashbook.sources.warehouse import Warehouse, qualified
+from cashbook.sources.warehouse import Warehouse
 
 MODEL_SCHEMA = "models"
 LOOKUP_KEYS = ("id_club", "payment_time_local")
@@ -97,7 +97,7 @@ def refresh_model(spark: SparkSession, warehouse: Warehouse, lang: str = "en",
     """
     if layout not in ("rebalance", "range"):
         raise ValueError(f"unknown layout {layout!r}")
-    t = tables if tables is not None else catalog_tables(spark)
+    t = tables if tables is not None else catalog_tables(warehouse)
     if layout == "rebalance" and partitions is None and aqe_enabled(spark):
         df = rebalanced(pnl_long(t, lang))
     else:
@@ -106,8 +106,8 @@ def refresh_model(spark: SparkSession, warehouse: Warehouse, lang: str = "en",
     return warehouse.replace(MODEL_SCHEMA, MODEL_TABLES[lang], df, max_records_per_file)
 
 
-def model_table(spark: SparkSession, lang: str = "en") -> DataFrame:
-    return spark.table(qualified(MODEL_SCHEMA, MODEL_TABLES[lang]))
+def model_table(warehouse: Warehouse, lang: str = "en") -> DataFrame:
+    return warehouse.table(MODEL_SCHEMA, MODEL_TABLES[lang])
 
 
 def _ntz(v: dt.datetime | str):
@@ -122,6 +122,3 @@ def lookup(model: DataFrame, clubs: list[int], start: dt.datetime | str,
                         & (F.col("payment_time_local") >= _ntz(start))
                         & (F.col("payment_time_local") < _ntz(end)))
 
-
-OUTPUT_COLUMNS = ("id_club", "payment_time", "payment_time_local", "id_payment_type",
-                  "id_grp_payment_type", COL_METRIC, COL_VALUE, COL_ORDER)

@@ -4,6 +4,8 @@
       -> replay the source views
       -> rebuild the P&L model with its club / local-time layout
 
+A view that cannot be replayed stops the run before the model is built.
+
 The run is idempotent: every table and the model are replaced by
 write-then-swap, so a retried or repeated run leaves the same state and
 readers never see a half-written table.

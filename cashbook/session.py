@@ -2,11 +2,12 @@
 
 Scratch output (staged CSV, warehouse copies made by checks) always goes under
 the folder the cluster names in ``spark.checkpoint.dir``; a private temporary
-folder is only created when that setting is absent, i.e. in local tests.
+folder is made only by a ``local`` master without that setting, i.e. in tests.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -48,8 +49,9 @@ def apply_engine_conf(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for cut lineage and scratch tables.
 
-    Read from the session; only when the cluster names none (local tests) a
-    private folder is made and registered as the checkpoint directory.
+    Read from the session; only a ``local`` master without one gets a private
+    folder, registered as the checkpoint directory.  On a cluster a folder of
+    one machine would hide its files from the others, so that is an error.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -57,6 +59,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current.rstrip("/")
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="cashbook-ckpt-")
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():

@@ -16,12 +16,10 @@ one task per file.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TS_NTZ_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
-TS_TZ_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]XXX"
-
 CSV_WRITE_OPTIONS = {
     "header": "false", "sep": ",", "quote": '"', "escape": '"', "encoding": "UTF-8",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
@@ -32,29 +30,79 @@ CSV_READ_OPTIONS = {
     "header": "false", "sep": ",", "quote": '"', "escape": '"', "encoding": "UTF-8",
     "multiLine": "true", "nullValue": "\u0000", "mode": "FAILFAST",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
-    "timestampNTZFormat": TS_NTZ_FORMAT, "timestampFormat": TS_TZ_FORMAT,
-    "dateFormat": "yyyy-MM-dd",
 }
+# one record of a one-column file after its line break: a quoted value (line breaks allowed) or a plain line
+ONE_COLUMN_RECORD = r'\n("[^"]*+(?:""[^"]*+)*+"|[^"\n]*+)'
 
 
 def write_csv_snapshot(df: DataFrame, path: str, max_records_per_file: int | None = 1_000_000) -> None:
-    """Write ``df`` as headerless, database-compatible CSV files."""
-    w = df.write.mode("errorifexists").options(**CSV_WRITE_OPTIONS)
+    """Write ``df`` as headerless, database-compatible CSV files.
+
+    A table of one column is written as lines: its NULL is an empty line,
+    which the CSV writer would make ``""``.
+    """
+    if len(df.columns) == 1:
+        value = F.col("`" + df.columns[0].replace("`", "``") + "`").cast("string")
+        quoted = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+        plain = F.regexp_like(value, F.lit(r'^[^",\r\n]+$'))
+        w = df.select(F.when(value.isNull(), "").when(plain, value).otherwise(quoted).alias("value")).write
+    else:
+        w = df.write.options(**CSV_WRITE_OPTIONS)
+    w = w.mode("errorifexists")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
-    w.csv(path)
+    w.text(path) if len(df.columns) == 1 else w.csv(path)
+
+
+def from_text(c: Column, target: T.DataType) -> Column:
+    """A value as the database prints it, as ``target``: ``t`` / ``f``, offsets like ``+00``, ``\\x`` bytes.
+
+    Text targets are kept as they are.  A value that the type cannot hold
+    (``NaN`` in a decimal, ``infinity`` in a timestamp) fails the job.
+    """
+    if isinstance(target, T.StringType):
+        return c
+    if isinstance(target, T.TimestampType):
+        c = F.regexp_replace(c, r"(:\d{2}(?:\.\d+)?[+-]\d{2})$", "$1:00")
+    elif isinstance(target, T.BinaryType):
+        return F.unhex(F.regexp_replace(c, r"^\\\\x", ""))
+    return c.cast(target)
+
+
+def _one_column(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """Records of a one-column file, blank ones too (NULL), as a column ``value``.
+
+    Files without a quote have one record a line and are split like any text;
+    others are taken apart whole, one task a file.
+    """
+    records = spark.read.text(path)
+    if multi_line and not records.filter(F.contains("value", F.lit('"'))).isEmpty():
+        body = F.concat(F.lit("\n"), F.regexp_replace("value", r"\r?\n\z", ""))
+        records = (spark.read.text(path, wholetext=True).filter("value <> ''")
+                   .select(F.explode(F.regexp_extract_all(body, F.lit(ONE_COLUMN_RECORD), F.lit(1))).alias("value")))
+    value = F.col("value")
+    inner = F.replace(F.expr("substring(value, 2, length(value) - 2)"), F.lit('""'), F.lit('"'))
+    return records.select(F.when(value.startswith('"'), inner).when(value != "", value).alias("value"))
 
 
 def read_csv_snapshot(spark: SparkSession, path: str, schema: T.StructType,
                       multi_line: bool = True) -> DataFrame:
     """Read a CSV snapshot into a typed table (columns in file order).
 
+    Every column is read as text and converted by expressions, so values in
+    the database's own spelling are understood and text stays as it is.
     ``multi_line=True`` (default) accepts quoted values containing line
     breaks but reads each file in one task; for dumps known to hold no line
     breaks inside values, ``multi_line=False`` lets Spark split large files.
     """
-    opts = dict(CSV_READ_OPTIONS, multiLine="true" if multi_line else "false")
-    return spark.read.schema(schema).options(**opts).csv(path)
+    if len(schema.fields) == 1:
+        raw = _one_column(spark, path, multi_line).toDF(schema.fields[0].name)
+    else:
+        text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+        opts = dict(CSV_READ_OPTIONS, multiLine="true" if multi_line else "false")
+        raw = spark.read.schema(text).options(**opts).csv(path)
+    return raw.select(*[from_text(F.col("`" + f.name.replace("`", "``") + "`"), f.dataType).alias(f.name)
+                        for f in schema.fields])
 
 
 # ---------------------------------------------------------------- JDBC
@@ -86,21 +134,21 @@ def jdbc_options(url: str, table: str | None = None, query: str | None = None,
     return opts
 
 
-def split_count(lo: int, hi: int, rows_per_split: int, max_splits: int) -> int:
-    """Range splits for keys in [lo, hi]: one per ``rows_per_split`` keys, capped."""
-    return max(1, min(max_splits, -(-(hi - lo + 1) // max(1, rows_per_split))))
+def split_count(lo: int, hi: int, rows_per_split: int) -> int:
+    """Range splits for keys in [lo, hi]: one per ``rows_per_split`` keys."""
+    return max(1, -(-(hi - lo + 1) // max(1, rows_per_split)))
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
               partition_column: str | None = None, num_partitions: int | None = None,
-              fetchsize: int = 10_000, rows_per_split: int = 2_000_000,
-              max_splits: int = 10_000) -> DataFrame:
+              fetchsize: int = 10_000, rows_per_split: int = 2_000_000) -> DataFrame:
     """Full-table JDBC read, range-split on ``partition_column`` when given.
 
     The bounds come from one ``min/max`` query pushed to the source; without
     an explicit ``num_partitions`` there is one split per ``rows_per_split``
-    key values (dense integer keys assumed), so each task stays bounded
-    whatever the table size.  Each running task holds one source connection,
+    key values, so a task reads at most that many rows of a unique key,
+    whatever the table size; sparse keys give more and smaller splits.  Each
+    running task holds one source connection,
     so concurrent connections are bounded by the splits and the task slots.
     """
     if partition_column is None:
@@ -113,7 +161,7 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None
     if b is None or b["lo"] is None:
         return read_jdbc(spark, url, table, properties, None, fetchsize=fetchsize)
     lo, hi = int(b["lo"]), int(b["hi"])
-    n = num_partitions or split_count(lo, hi, rows_per_split, max_splits)
+    n = num_partitions or split_count(lo, hi, rows_per_split)
     return spark.read.format("jdbc").options(**jdbc_options(
         url, table=table, properties=properties, partition_column=partition_column,
         lower=lo, upper=hi + 1, num_partitions=n, fetchsize=fetchsize)).load()

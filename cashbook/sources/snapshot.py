@@ -13,13 +13,14 @@ task retries are exhausted, e.g. when a source connection drops).
 
 from __future__ import annotations
 
+import json
 import logging
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Callable, Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,10 +80,13 @@ class FrameSource:
 class JdbcSource:
     """A PostgreSQL source read over JDBC (driver jar supplied by the deployment).
 
-    Listing, column types and view texts come from the source catalogue through
-    the JDBC ``query`` option; tables are read in ``num_partitions`` range
-    splits of ``partition_columns[(schema, name)]`` when one is given.
-    View texts are returned as stored; they must be valid Spark SQL to replay.
+    Listing, column types and view texts come from the source catalogue in
+    one query.  A table is read through a select list that casts every column
+    the warehouse stores as text to text at the source, so that it is printed
+    there; timestamps without zone are read as such.  Reads are range-split
+    on ``partition_columns[(schema, name)]``, by default on the table's first
+    integer column.  View texts are returned as stored; they must be valid
+    Spark SQL to replay.
     """
 
     def __init__(self, spark: SparkSession, name: str, url: str, properties: dict | None = None,
@@ -90,31 +94,52 @@ class JdbcSource:
                  num_partitions: int | None = None, query_timeout_s: int = 1800):
         self.spark, self.name, self.url = spark, name, url
         # every statement sent to the source (one per split) is capped, 30 min by default
-        self.properties = {"queryTimeout": str(query_timeout_s), **dict(properties or {})}
+        self.properties = {"queryTimeout": str(query_timeout_s), "preferTimestampNTZ": "true",
+                           **dict(properties or {})}
         self.partition_columns = dict(partition_columns or {})
         self.num_partitions = num_partitions
+        self._listed: dict[tuple[str, str], Row] | None = None
 
     def _query(self, sql: str) -> DataFrame:
         return self.spark.read.format("jdbc").options(
             url=self.url, query=sql, **self.properties).load()
 
+    def _catalog(self) -> dict[tuple[str, str], Row]:
+        """Catalogue metadata of the source, asked once: a row per object."""
+        if self._listed is None:
+            self._listed = {(r["schema"], r["name"]): r for r in self._query(C.PG_CATALOG_QUERY).collect()}
+        return self._listed
+
     def objects(self) -> DataFrame:
-        return self._query(C.PG_OBJECTS_QUERY)
+        rows = [(s, n, r["kind"]) for (s, n), r in self._catalog().items()]
+        return self.spark.createDataFrame(rows, C.OBJECT_SCHEMA)
+
+    def select_list(self, schema: str, name: str) -> str:
+        """Columns in order, cast to text at the source where the warehouse stores text."""
+        def one(column: str, pg_type: str) -> str:
+            q = '"' + column.replace('"', '""') + '"'
+            kept = pg_type in ("text", "varchar", "character varying")
+            return q if kept or not isinstance(spark_type(pg_type), T.StringType) else f"CAST({q} AS text) AS {q}"
+        return ", ".join(one(c, t) for c, t in self.columns(schema, name))
+
+    def split_column(self, schema: str, name: str) -> str | None:
+        given = self.partition_columns.get((schema, name))
+        return given or next((c for c, t in self.columns(schema, name)
+                              if t in ("integer", "bigint", "smallint")), None)
 
     def read(self, schema: str, name: str) -> DataFrame:
         table = '"' + schema.replace('"', '""') + '"."' + name.replace('"', '""') + '"'
-        return read_jdbc(self.spark, self.url, table, self.properties,
-                         self.partition_columns.get((schema, name)), self.num_partitions)
+        return read_jdbc(self.spark, self.url, f"(SELECT {self.select_list(schema, name)} FROM {table}) AS src",
+                         self.properties, self.split_column(schema, name), self.num_partitions)
 
     def columns(self, schema: str, name: str) -> list[tuple[str, str]]:
-        rows = self._query(C.PG_COLUMNS_QUERY.format(
-            schema=C.sql_literal(schema), name=C.sql_literal(name))).orderBy("pos").collect()
-        return [(r["name"], r["type"]) for r in rows]
+        fields = self._catalog()[(schema, name)]["fields"]
+        return [(c, t) for c, t in json.loads(fields or "[]")]
 
     def view_sql(self, schema: str, name: str) -> str | None:
-        row = self._query(C.PG_VIEWDEF_QUERY.format(
-            schema=C.sql_literal(schema), name=C.sql_literal(name))).first()
-        return None if row is None else row["sql"].rstrip().rstrip(";")
+        row = self._catalog().get((schema, name))
+        text = row["definition"] if row else None
+        return text.rstrip().rstrip(";") if text else None
 
 
 class FileSource:
@@ -123,8 +148,8 @@ class FileSource:
     ``fmt="csv"``: headerless, database-style CSV snapshots (the layout of
     :mod:`cashbook.sources.readers`); their columns must be declared in order
     as ``(name, source type)``, the way the source catalogue lists them, and
-    are read with the source types (``numeric(12,2)`` as ``decimal(12,2)``)
-    before the warehouse type rule applies.  A single large dump file is read
+    are read with the warehouse types; a column that is stored as text is
+    kept byte for byte.  A single large dump file is read
     by one task unless ``multi_line=False`` (only valid when no value holds a
     line break) lets Spark split it.  ``fmt="parquet"``: the schema
     comes from the files; declared types are optional overrides.  Listing the
@@ -165,8 +190,7 @@ class FileSource:
         cols = self._columns.get((schema, name))
         if not cols:
             raise KeyError(f"CSV table {schema}.{name} needs its declared columns")
-        read_schema = T.StructType([T.StructField(c, spark_type(t, strict=True), True)
-                                    for c, t in cols])
+        read_schema = T.StructType([T.StructField(c, spark_type(t), True) for c, t in cols])
         return read_csv_snapshot(self.spark, path, read_schema, self.multi_line)
 
     def columns(self, schema: str, name: str) -> list[tuple[str, str]]:
@@ -181,6 +205,16 @@ class FileSource:
         return self._views.get((schema, name))
 
 
+class ViewsFailed(RuntimeError):
+    """Some views could not be replayed; ``report`` names them."""
+
+    def __init__(self, report: ViewReport):
+        lines = [f"{s}.{n}: {why}" for (s, n), why in report.failed.items()]
+        lines += [f"{s}.{n}: no definition" for s, n in report.missing_sql]
+        super().__init__("views not replayed:\n" + "\n".join(lines))
+        self.report = report
+
+
 @dataclass
 class SnapshotReport:
     copied: list[tuple[str, str, str, int]] = field(default_factory=list)  # schema, name, kind, source
@@ -226,12 +260,15 @@ def snapshot_sources(spark: SparkSession, sources: list[Source], warehouse: Ware
                      exclude_schemas: tuple[str, ...] = C.EXCLUDE_SCHEMAS,
                      exclude_tables: tuple[tuple[str, str], ...] = C.EXCLUDE_TABLES,
                      replay: bool = True, max_records_per_file: int | None = None,
-                     data_kinds: tuple[str, ...] = C.DATA_KINDS) -> SnapshotReport:
+                     allow_failed_views: bool = False, data_kinds: tuple[str, ...] = C.DATA_KINDS) -> SnapshotReport:
     """S2 + S13: copy all selected objects of ``sources`` into ``warehouse``.
 
     Tables and materialized views first (S17: a matview is copied as data),
     then the views.  Where several sources hold the same (schema, name), the
-    last listed source wins.
+    last listed source wins.  A copy is tried once and ``retries`` times more.
+    A view that cannot be created, or has no text, is an error
+    (:class:`ViewsFailed`, after all others are in place) unless
+    ``allow_failed_views``.
     """
     listings = [C.select_objects(s.objects(), tuple(data_kinds) + C.VIEW_KINDS,
                                  exclude_schemas, exclude_tables) for s in sources]
@@ -255,7 +292,7 @@ def snapshot_sources(spark: SparkSession, sources: list[Source], warehouse: Ware
         loc = _with_retries(lambda: copy_table(
             sources[src], schema, name, warehouse, staging=staging, stage_root=stage_root,
             strict_types=strict_types, max_records_per_file=max_records_per_file),
-            retries, f"{schema}.{name}")
+            1 + retries, f"{schema}.{name}")
         return item, loc
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
@@ -265,7 +302,9 @@ def snapshot_sources(spark: SparkSession, sources: list[Source], warehouse: Ware
 
     if replay and views:
         report.views = replay_views(
-            spark, [(s, n, sources[src].view_sql(s, n)) for s, n, src in views])
+            spark, [(s, n, sources[src].view_sql(s, n)) for s, n, src in views], warehouse=warehouse)
+        if (report.views.failed or report.views.missing_sql) and not allow_failed_views:
+            raise ViewsFailed(report.views)
     return report
 
 

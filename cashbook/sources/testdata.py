@@ -7,19 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# Inputs below this size are spread over the cores after the scan (see read_table).
-SPREAD_MAX_BYTES = 256 * 1024 * 1024
-
 _READS: dict = {}
 
 
-def _total_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """The parquet table; one DataFrame per (session, file, spread).
 
@@ -31,9 +21,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False
     work fused after it -- runs as one task.  A small input is therefore
     hash-repartitioned over the cores on its leading id column: deterministic
     on retry without the sort a round-robin repartition needs, and the other
-    columns can still be pruned below the shuffle.  Inputs of
-    ``SPREAD_MAX_BYTES`` or more keep their scan parallelism (many row groups
-    / files); shuffling them would only add work.
+    columns can still be pruned below the shuffle.  An input of as many files
+    as cores keeps its scan parallelism; shuffling it would only add work.
     """
     if name not in TABLES:
         raise KeyError(name)
@@ -42,7 +31,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False
     df = _READS.get(key)
     if df is None or df.sparkSession is not spark:
         df = spark.read.parquet(path)
-        if spread and _total_bytes(spark, path) < SPREAD_MAX_BYTES:
-            df = df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
+        cores = spark.sparkContext.defaultParallelism
+        if spread and len(df.inputFiles()) < cores:
+            df = df.repartition(cores, df.columns[0])
         _READS[key] = df
     return df

@@ -10,6 +10,10 @@ replayed fails at once; views left waiting in a cycle fail at the end.
 Views are created with ``CREATE OR REPLACE`` -- never a cascading drop, which
 would silently delete views made earlier in the run.
 
+The source prints reserved, mixed-case and non-ASCII names in double quotes,
+so the texts are read with double quotes as identifiers.  In a warehouse with
+a namespace, schema names in front of a dot are given its prefix.
+
 Source views call ``_(text)``, an identity stub for translated labels; it is
 created as a persistent SQL function (persistent views may only call
 persistent functions) in ``public`` and in the current schema, so both
@@ -19,13 +23,14 @@ qualified and unqualified calls resolve.
 from __future__ import annotations
 
 import logging
+import re
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
-from cashbook.sources.warehouse import qualified, quote_ident
+from cashbook.sources.warehouse import Warehouse, qualified, quote_ident
 
 log = logging.getLogger(__name__)
 
@@ -64,6 +69,34 @@ def _drop_table_of_same_name(spark: SparkSession, schema: str, name: str) -> Non
         spark.sql(f"DROP TABLE {qn}")
 
 
+_TOKEN = re.compile(r"""'(?:[^']|'')*' | "(?:[^"]|"")*" | `(?:[^`]|``)*` | [^\W\d]\w*""", re.X)
+
+
+def scoped_sql(sql: str, schemas: set[str], prefix: str) -> str:
+    """``sql`` with ``prefix`` before each of ``schemas`` that qualifies a name (texts are left alone)."""
+    def one(m: re.Match) -> str:
+        token = m.group()
+        name = token[1:-1] if token[0] in "\"`" else token
+        after, before = sql[m.end():].lstrip()[:1], sql[:m.start()].rstrip()[-1:]
+        if token[0] == "'" or after != "." or before == "." or name.lower() not in schemas:
+            return token
+        return quote_ident(prefix + name)
+    return _TOKEN.sub(one, sql)
+
+
+@contextmanager
+def _double_quoted_identifiers(spark: SparkSession):
+    conf = {"spark.sql.ansi.enabled": "true", "spark.sql.ansi.doubleQuotedIdentifiers": "true"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @contextmanager
 def _quiet_analysis_errors():
     """Expected misses of the fixpoint loop are reported in the ViewReport;
@@ -97,8 +130,31 @@ def _missing_relation(e: AnalysisException) -> str | None:
 
 
 def replay_views(spark: SparkSession, views: list[tuple[str, str, str | None]],
-                 placeholder_schema: str = "public") -> ViewReport:
-    """Create ``views`` = [(schema, name, spark_sql_text)] in dependency order."""
+                 placeholder_schema: str = "public", warehouse: Warehouse | None = None) -> ViewReport:
+    """Create ``views`` = [(schema, name, spark_sql_text)] in dependency order.
+
+    With a ``warehouse`` they go to its schemas; the report has their own names.
+    """
+    prefix = f"{warehouse.namespace}_" if warehouse is not None and warehouse.namespace else ""
+    if prefix:
+        schemas = {s.lower() for s in _schemas_of(warehouse)} | {v[0].lower() for v in views}
+        views = [(prefix + s, n, scoped_sql(sql, schemas, prefix) if sql else sql) for s, n, sql in views]
+    with _double_quoted_identifiers(spark):
+        rep = _replay(spark, views, prefix + placeholder_schema)
+    if prefix:
+        cut = len(prefix)
+        rep.created = [(s[cut:], n) for s, n in rep.created]
+        rep.missing_sql = [(s[cut:], n) for s, n in rep.missing_sql]
+        rep.failed = {(s[cut:], n): why for (s, n), why in rep.failed.items()}
+    return rep
+
+
+def _schemas_of(warehouse: Warehouse) -> list[str]:
+    cut = len(warehouse.namespace) + 1
+    return [d.name[cut:] for d in warehouse.spark.catalog.listDatabases(f"{warehouse.namespace}_*")]
+
+
+def _replay(spark: SparkSession, views: list[tuple[str, str, str | None]], placeholder_schema: str) -> ViewReport:
     from collections import deque
 
     ensure_placeholder_function(spark, placeholder_schema)

@@ -4,9 +4,16 @@ Each refresh writes the complete new contents to a fresh folder
 ``<root>/<schema>/<name>/v<time>-<id>`` through Spark's commit protocol
 (all-or-nothing, task retries after a lost executor are safe), and only then
 points the catalogue table at it.  Readers therefore see either the old or
-the new snapshot, never a dropped, empty or half-loaded table, and repeated
-refreshes never accumulate rows.  Superseded folders are removed, keeping the
-previous one for readers that are still scanning it.
+the new snapshot, never an empty or half-loaded table, and repeated refreshes
+never accumulate rows.  Only where the columns changed must the catalogue
+entry be dropped and made anew, and a reader may miss it for that moment.
+Superseded folders are removed, keeping the previous committed one for
+readers that are still scanning it; folders of failed attempts do not count,
+and go once they are old.
+
+Catalogue names are global to a metastore, so two warehouses (one per
+language, say) need a ``namespace`` each: it prefixes their schemas.  A table
+name that already belongs to another root is an error, never overwritten.
 """
 
 from __future__ import annotations
@@ -25,11 +32,23 @@ def qualified(schema: str, name: str) -> str:
     return f"{quote_ident(schema)}.{quote_ident(name)}"
 
 
+#: Age at which the folder of an uncommitted refresh is taken for abandoned.
+ABANDONED_S = 24 * 3600
+
+
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 2):
+    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 2, namespace: str = ""):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keep_versions = max(1, keep_versions)
+        self.namespace = namespace
+
+    def schema_name(self, schema: str) -> str:
+        """Catalogue schema of a warehouse schema."""
+        return f"{self.namespace}_{schema}" if self.namespace else schema
+
+    def qualified(self, schema: str, name: str) -> str:
+        return qualified(self.schema_name(schema), name)
 
     # -- layout ---------------------------------------------------------
     def table_dir(self, schema: str, name: str) -> str:
@@ -41,21 +60,22 @@ class Warehouse:
     # -- catalogue ------------------------------------------------------
     def ensure_schema(self, schema: str) -> None:
         """``CREATE SCHEMA IF NOT EXISTS``."""
-        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quote_ident(schema)}")
+        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quote_ident(self.schema_name(schema))}")
 
     def exists(self, schema: str, name: str) -> bool:
-        return self.spark.catalog.tableExists(qualified(schema, name))
+        return self.spark.catalog.tableExists(self.qualified(schema, name))
 
     def is_view(self, schema: str, name: str) -> bool:
-        return self.spark.catalog.getTable(qualified(schema, name)).tableType in ("VIEW", "TEMPORARY")
+        return self.spark.catalog.getTable(self.qualified(schema, name)).tableType in ("VIEW", "TEMPORARY")
 
     def _point(self, schema: str, name: str, location: str) -> None:
-        qn = qualified(schema, name)
+        qn = self.qualified(schema, name)
         loc = location.replace("'", "\\'")
         if self.exists(schema, name) and self.is_view(schema, name):
             # the object was a view in an earlier run and is a table now
             self.spark.sql(f"DROP VIEW {qn}")
         if self.exists(schema, name):
+            self._check_own(schema, name)
             old = self.spark.table(qn).schema
             new = self.spark.read.parquet(location).schema
             if [(f.name, f.dataType) for f in old] == [(f.name, f.dataType) for f in new]:
@@ -66,6 +86,15 @@ class Warehouse:
             self.spark.sql(f"DROP TABLE {qn}")
         self.spark.sql(f"CREATE TABLE {qn} USING parquet LOCATION '{loc}'")
 
+    def _check_own(self, schema: str, name: str) -> None:
+        """The catalogue table must be one of this root's versions."""
+        row = (self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.qualified(schema, name)}")
+               .filter("col_name = 'Location'").first())
+        fs, own = self._fs(self.table_dir(schema, name))
+        if row and not row["data_type"].startswith(fs.makeQualified(own).toString().rstrip("/") + "/"):
+            raise RuntimeError(f"{self.qualified(schema, name)} belongs to {row['data_type']}; "
+                               f"give this warehouse a namespace of its own")
+
     # -- refresh --------------------------------------------------------
     def replace(self, schema: str, name: str, df: DataFrame,
                 max_records_per_file: int | None = None) -> str:
@@ -81,7 +110,7 @@ class Warehouse:
         return location
 
     def table(self, schema: str, name: str) -> DataFrame:
-        return self.spark.table(qualified(schema, name))
+        return self.spark.table(self.qualified(schema, name))
 
     # -- housekeeping ---------------------------------------------------
     def _fs(self, path: str):
@@ -111,17 +140,27 @@ class Warehouse:
             schema = sd.getPath().getName()
             for td in fs.listStatus(sd.getPath()):
                 name = td.getPath().getName()
-                done = [v for v in reversed(self.versions(schema, name))
-                        if fs.exists(self._fs(f"{self.table_dir(schema, name)}/{v}/_SUCCESS")[1])]
+                done = self.committed(schema, name)
                 if done:
                     self.ensure_schema(schema)
-                    self._point(schema, name, f"{self.table_dir(schema, name)}/{done[0]}")
+                    self._point(schema, name, f"{self.table_dir(schema, name)}/{done[-1]}")
                     attached.append((schema, name))
         return sorted(attached)
 
+    def committed(self, schema: str, name: str) -> list[str]:
+        """Versions whose write was committed, oldest first."""
+        base = self.table_dir(schema, name)
+        return [v for v in self.versions(schema, name)
+                if self._fs(f"{base}/{v}/_SUCCESS")[0].exists(self._fs(f"{base}/{v}/_SUCCESS")[1])]
+
     def _prune(self, schema: str, name: str) -> None:
-        for v in self.versions(schema, name)[:-self.keep_versions]:
-            delete_path(self.spark, f"{self.table_dir(schema, name)}/{v}")
+        """Remove committed versions beyond those kept, and abandoned attempts."""
+        done = self.committed(schema, name)
+        old = set(done[:-self.keep_versions])
+        limit = (time.time() - ABANDONED_S) * 1000
+        for v in self.versions(schema, name):
+            if v in old or (v not in done and int(v[1:14]) < limit):
+                delete_path(self.spark, f"{self.table_dir(schema, name)}/{v}")
 
 
 def hadoop_path(spark: SparkSession, path: str):

@@ -72,11 +72,11 @@ def test_hot_account_is_split_on_shuffle_path(spark, skew_conf):
 def test_lookup_filters_pushed_to_parquet(spark, sf_small):
     from cashbook.sources.fixture_sources import billing_source
     from cashbook.sources.snapshot import snapshot_sources
-    wh = Warehouse(spark, scratch_dir(spark, "t-plan"))
+    wh = Warehouse(spark, scratch_dir(spark, "t-plan"), namespace="t_plan")
     snapshot_sources(spark, [billing_source(spark, sf_small)], wh)
     M.refresh_model(spark, wh, "en")
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
-    q = M.lookup(M.model_table(spark, "en"), [5, 7], "1995-01-01", "1997-01-01")
+    q = M.lookup(M.model_table(wh, "en"), [5, 7], "1995-01-01", "1997-01-01")
     q.collect()
     text = q._jdf.queryExecution().executedPlan().toString()
     pushed = re.search(r"PushedFilters: (.*)", text).group(1)
@@ -89,7 +89,7 @@ def test_model_files_sorted_by_club_and_time(spark, sf_small):
     from pyspark.sql import functions as F
     from cashbook.sources.fixture_sources import billing_source
     from cashbook.sources.snapshot import snapshot_sources
-    wh = Warehouse(spark, scratch_dir(spark, "t-layout"))
+    wh = Warehouse(spark, scratch_dir(spark, "t-layout"), namespace="t_layout")
     snapshot_sources(spark, [billing_source(spark, sf_small)], wh)
     loc = M.refresh_model(spark, wh, "en", partitions=4, layout="range")
     df = spark.read.parquet(loc).withColumn("f", F.input_file_name())
@@ -105,7 +105,7 @@ def test_rebalanced_layout_clusters_clubs(spark, sf_small):
     from pyspark.sql import functions as F
     from cashbook.sources.fixture_sources import billing_source
     from cashbook.sources.snapshot import snapshot_sources
-    wh = Warehouse(spark, scratch_dir(spark, "t-layout2"))
+    wh = Warehouse(spark, scratch_dir(spark, "t-layout2"), namespace="t_layout2")
     snapshot_sources(spark, [billing_source(spark, sf_small)], wh)
     loc = M.refresh_model(spark, wh, "en")
     df = spark.read.parquet(loc).withColumn("f", F.input_file_name())
@@ -125,7 +125,7 @@ def test_rebalance_splits_hot_club(spark, skew_conf):
     # club 7 (account 1) holds a third of all payments
     pays = [(i, 5, 1 if i % 3 == 0 else (i % 38) + 2, f"{i}.5") for i in range(1, 30001)]
     t = tables(spark, pays, types, accounts)
-    wh = Warehouse(spark, scratch_dir(spark, "t-hot"))
+    wh = Warehouse(spark, scratch_dir(spark, "t-hot"), namespace="t_hot")
     loc = M.refresh_model(spark, wh, "en", tables=t)
     df = spark.read.parquet(loc).withColumn("f", F.input_file_name())
     assert df.count() == 3 * 30000
@@ -179,7 +179,7 @@ def test_both_layouts_store_the_model_rows(spark, sf_small):
     from cashbook.sources.fixture_sources import billing_source
     from cashbook.sources.fixtures import fixture_tables
     from cashbook.sources.snapshot import snapshot_sources
-    wh = Warehouse(spark, scratch_dir(spark, "t-layouts"))
+    wh = Warehouse(spark, scratch_dir(spark, "t-layouts"), namespace="t_layouts")
     snapshot_sources(spark, [billing_source(spark, sf_small)], wh)
     expected = bag(pnl.pnl_long(fixture_tables(spark, sf_small), "ru"))
     for layout in ("rebalance", "range"):

@@ -3,19 +3,29 @@ from decimal import Decimal
 
 from pyspark.sql import types as T
 
-from cashbook.functions.types import coerce, pg_type_of, safe_type, spark_type
+from cashbook.functions.types import coerce, pg_type_of, spark_type
 
 
-def test_safe_type_allow_list():
-    assert safe_type("integer") == "integer"
-    assert safe_type("numeric") == "numeric"
-    assert safe_type("numeric(12,2)") == "text"
-    assert safe_type("character varying(40)") == "text"
-    assert safe_type("character varying") == "character varying"
-    assert safe_type("timestamp(3) without time zone") == "text"
-    assert safe_type("integer[]") == "text"
-    assert safe_type("interval") == "text"
-    assert safe_type("jsonb") == "jsonb"
+def test_kept_spellings():
+    text = T.StringType()
+    for spelling in ("numeric(12,2)", "character varying(40)", "timestamp(3) without time zone", "integer[]",
+                     "interval", "numeric(50,10)"):
+        assert spark_type(spelling) == text
+    assert spark_type("integer") == T.IntegerType() and spark_type("jsonb") == text
+    assert spark_type("numeric(50,10)", strict=True) == text
+
+
+def test_text_of_wide_numbers_offsets_and_arrays(spark):
+    df = spark.createDataFrame(
+        [(Decimal("12345678901234567890.5"), ["a,b", "", "NULL", None, 'q"\\', "plain"], [[1, 2], [3, None]],
+          [True, False])], "n decimal(38,10), s array<string>, m array<array<int>>, b array<boolean>").selectExpr(
+        "*", "timestamp '2020-01-02 03:04:05.25+00' AS ts")
+    r = coerce(df, [("n", "numeric(50,10)"), ("s", "text[]"), ("m", "integer[][]"), ("b", "boolean[]"),
+                    ("ts", "timestamp(3) with time zone")]).first()
+    assert r["n"] == "12345678901234567890.5000000000"
+    assert r["s"] == '{"a,b","","NULL",NULL,"q\\"\\\\",plain}'
+    assert r["m"] == "{{1,2},{3,NULL}}" and r["b"] == "{t,f}"
+    assert r["ts"] == "2020-01-02 03:04:05.25+00"
 
 
 def test_spark_types():

@@ -42,9 +42,9 @@ def main() -> None:
     spark = get_session()
     spark.conf.set("spark.sql.maxMetadataStringLength", "400")
     t = fixture_tables(spark, sf)
-    wh = Warehouse(spark, scratch_dir(spark, "plans"))
+    wh = Warehouse(spark, scratch_dir(spark, "plans"), namespace="plans")
     snapshot_sources(spark, [billing_source(spark, sf)], wh)
-    stored = catalog_tables(spark)
+    stored = catalog_tables(wh)
     M.refresh_model(spark, wh, "en")
 
     sections = [
@@ -59,7 +59,7 @@ def main() -> None:
         ("Model refresh write (layout='range'): range partitioning on (club, local time, row hash)",
          M.clustered(pnl.pnl_long(stored, "en"), M.range_count(spark, stored.payment))),
         ("Lookup on the stored model: club and local-time filters pushed into the Parquet scan",
-         M.lookup(M.model_table(spark, "en"), [5, 7], "1995-01-01", "1997-01-01")),
+         M.lookup(M.model_table(wh, "en"), [5, 7], "1995-01-01", "1997-01-01")),
         ("Flagship on the fixture tables derived from the testdata (as `queries()['pnl_en']`)",
          pnl.pnl_long(t, "en")),
     ]
