@@ -1,0 +1,145 @@
+"""Quotation linking against plain Python over hand-made and random conversations."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from cashbook.llm.quotation import link_quotations, passages, _messages
+
+MARK = re.compile(r"^[ \t]*>")
+MARKS = re.compile(r"^((?:[ \t]*>)+)[ \t]?")
+
+
+def level(line):
+    m = MARKS.match(line)
+    return m.group(1).count(">") if m else 0
+
+
+def normal(line):
+    return re.sub(r"\s+", " ", line).strip(" ").lower()
+
+
+def expected(messages):
+    """messages: (conv, turn, role, text) -> Counter of result rows."""
+    convs = defaultdict(list)
+    for m in messages:
+        convs[m[0]].append(m)
+    out = Counter()
+    for conv, ms in convs.items():
+        ms.sort(key=lambda m: (m[1] is not None, m[1] or 0, m[2] is not None, m[2] or "", m[3] is not None, m[3] or ""))
+        own = defaultdict(list)
+        for _, turn, _, text in ms:
+            if turn is not None and text is not None:
+                for line in text.split("\n"):
+                    if not MARK.match(line):
+                        own[normal(line)].append(turn)
+        info = []
+        for _, turn, role, text in ms:
+            quotes = linked = deepest = 0
+            best = None
+            lines = (text or "").split("\n")
+            runs, at = [], 0
+            while at < len(lines):
+                end = at
+                while end < len(lines) and level(lines[end]) == level(lines[at]):
+                    end += 1
+                runs.append((level(lines[at]), lines[at:end]))
+                at = end
+            for lv, part in runs:
+                if lv == 0:
+                    continue
+                deepest = max(deepest, lv)
+                norm = [n for n in (normal(MARKS.sub("", x)) for x in part) if n]
+                quotes += bool(norm)
+                votes = Counter()
+                for n in norm:
+                    before = [t for t in own.get(n, []) if turn is not None and t < turn]
+                    if before:
+                        votes[max(before)] += 1
+                if votes:
+                    linked += 1
+                    if lv == 1:
+                        top = max((c, t) for t, c in votes.items())
+                        best = top if best is None else max(best, top)
+            body = text
+            if text is not None and any(MARK.match(x) for x in lines):
+                kept = [x for x in lines if not MARK.match(x)]
+                while kept and not kept[0].strip(" \t\r") and len(kept) > 1:
+                    kept.pop(0)
+                while kept and not kept[-1].strip(" \t\r") and len(kept) > 1:
+                    kept.pop()
+                body = "\n".join(kept)
+            info.append([turn, role, best[1] if best else None, quotes, linked, deepest, body])
+        # reply order
+        run, runs, up = None, [], {}
+        starts = {}
+        for turn, _, reply, *_ in info:
+            if reply is not None:
+                run = turn
+                starts[turn] = reply
+            runs.append(run)
+        of_turn = {}
+        for (turn, *_), r in zip(info, runs):
+            of_turn[turn] = r
+
+        def path(s):
+            return [] if s is None else path(of_turn[starts[s]]) + [starts[s], s]
+        order = sorted(range(len(info)), key=lambda i: ([(-1 if x is None else x) for x in path(runs[i]) + [info[i][0]]], i))
+        for position, i in enumerate(order):
+            turn, role, reply, quotes, linked, deepest, body = info[i]
+            out[(conv, position, turn, role, reply, quotes, linked, deepest, body)] += 1
+    return out
+
+
+def run(spark, messages):
+    df = spark.createDataFrame([(*m, "x", 1) for m in messages],
+                               "conv_id long, turn long, role string, text string, uid string, pid int").repartition(3)
+    return Counter(tuple(r) for r in link_quotations(df).collect())
+
+
+def test_replies_and_levels(spark):
+    m = [(1, 0, "user", "Where is it?\nI looked   everywhere."),
+         (1, 1, "assistant", "On the table."),
+         (1, 2, "user", "Which one?"),
+         (1, 3, "assistant", "> > Where is it?\n> On the table.\n\nThe one in the hall."),
+         (1, 4, "user", "Thanks."),
+         (1, 5, "user", "> i looked everywhere.\nNot in the hall."),
+         (1, 6, "assistant", ">\n> never said\nbody\n>> nor this"),
+         (2, 0, "user", "> On the table.\nanother conversation"),
+         (2, 1, "user", None), (2, 2, None, ""), (None, 0, "user", "a"), (None, 1, "user", ">a\n  \nb\n"),
+         (3, None, "user", "> x"), (3, 0, "user", "x"), (3, 1, "user", "> x\ny"), (3, 1, "user", "> x\ny")]
+    got = run(spark, m)
+    assert got == expected(m)
+    at = {(r[0], r[2]): r for r in got}
+    assert at[(1, 3)][4] == 1 and at[(1, 5)][4] == 0 and at[(1, 3)][7] == 2
+    assert at[(1, 5)][1] < at[(1, 1)][1] < at[(1, 3)][1] < at[(1, 4)][1] < at[(1, 2)][1]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_random_conversations(spark, seed):
+    r = random.Random(seed)
+    m = []
+    for conv in range(6):
+        said = []
+        for turn in range(r.choice([1, 5, 40])):
+            lines = [f"line {r.randint(0, 25)}" for _ in range(r.randint(0, 3))]
+            if said and r.random() < 0.5:
+                lines = [">" * r.randint(1, 3) + " " + x for x in r.choice(said)] + lines
+            said.append([x.lstrip("> ") for x in lines])
+            m.append((conv, turn, "user" if turn % 2 else "assistant", "\n".join(lines)))
+    assert run(spark, m) == expected(m)
+
+
+def test_passage_hashes_ignore_spacing_and_case(spark):
+    df = spark.createDataFrame([(1, 0, "u", "> A  b\n> c\nx"), (1, 1, "u", ">a B\n>\n>C\ny")],
+                               "conv_id long, turn long, role string, text string")
+    got = passages(_messages(df, "conv_id", "turn", "role", "text")).collect()
+    assert len(got) == 2 and len({p["hash"].replace(" ", "") for p in got}) <= 2
+    assert all(p["lines"] == 2 for p in got)
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert link_quotations(df).count() == 0
