@@ -301,10 +301,33 @@ _PT_JOIN = "FROM payment p JOIN payment_type pt ON p.id_payment_type = pt.id"
 _BU_JOIN = "FROM payment p LEFT JOIN balance_user bu ON p.id_balance_user = bu.id"
 
 
-def _counts(rows: list[tuple[str, str, str, str]]) -> str:
-    return "\nUNION ALL\n".join(
-        f"SELECT '{s}' AS schema_name, '{n}' AS table_name, '{k}' AS kind, count(*) AS n_rows "
-        f"FROM {src}" for s, n, k, src in rows)
+_PLAIN = {
+    "balance": "id", "balance_user": "id, id_club, id_balance", "club": "id, time_zone",
+    "payment": "id, id_payment_type, id_balance_user, amount, id_reservation_terminal, id_subscription_user, "
+               "id_reservation_shop, id_parent",
+    "payment_type": "id, profit, method, state, direct, id_parent",
+    "customer": "c_custkey, c_name, c_nationkey, c_mktsegment",
+    "orders": "o_orderkey, o_custkey, o_orderstatus, o_orderpriority",
+    "lineitem": "l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(12,2)), "
+                "CAST(l_discount AS DECIMAL(12,2)), CAST(l_tax AS DECIMAL(12,2)), l_returnflag, l_linestatus",
+    "part": "p_partkey, p_name, p_brand, p_type, p_size",
+}
+
+
+def _counts(rows: list[tuple[str, str, str, str, str]]) -> str:
+    """Rows and checksum per object; the last item names the integer and text columns in order."""
+    def one(s, n, k, src, columns):
+        parts, depth, at = [], 0, 0
+        for i, ch in enumerate(columns + ","):
+            depth += (ch == "(") - (ch == ")")
+            if ch == "," and not depth:
+                parts.append(columns[at:i].strip())
+                at = i + 1
+        row = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in parts)
+        digest = f"CAST('0x' || substr(md5(concat_ws('|', {row})), 1, 8) AS BIGINT)"
+        return (f"SELECT '{s}' AS schema_name, '{n}' AS table_name, '{k}' AS kind, count(*) AS n_rows, "
+                f"CAST(coalesce(sum({digest}), 0) AS BIGINT) AS checksum FROM {src}")
+    return "\nUNION ALL\n".join(one(*r) for r in rows)
 
 
 _LINEITEM_TEXT = ("SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, "
@@ -359,17 +382,18 @@ def _billing_sql() -> dict[str, str]:
                       f"p.date + (c.time_zone * INTERVAL '1 second') AS payment_time_local "
                       f"{_BU_JOIN} LEFT JOIN club c ON c.id = bu.id_club",
         "snapshot_all": W + "\n" + _counts([
-            ("billing", "balance", "r", "balance"),
-            ("billing", "balance_user", "r", "balance_user"),
-            ("billing", "payment", "r", "payment"),
-            ("billing", "payment_type", "r", "payment_type"),
-            ("cntrl", "club", "r", "club"),
-            ("public", "customer", "r", "customer"),
-            ("public", "lineitem", "r", "lineitem"),
-            ("public", "orders", "r", "orders"),
-            ("reports", "orders_mv", "m", "orders"),
+            ("billing", "balance", "r", "balance", _PLAIN["balance"]),
+            ("billing", "balance_user", "r", "balance_user", _PLAIN["balance_user"]),
+            ("billing", "payment", "r", "payment", _PLAIN["payment"]),
+            ("billing", "payment_type", "r", "payment_type", _PLAIN["payment_type"]),
+            ("cntrl", "club", "r", "club", _PLAIN["club"]),
+            ("public", "customer", "r", "customer", _PLAIN["customer"]),
+            ("public", "lineitem", "r", "lineitem", _PLAIN["lineitem"]),
+            ("public", "orders", "r", "orders", _PLAIN["orders"]),
+            ("reports", "orders_mv", "m", "orders", _PLAIN["orders"]),
             ("billing", "v_active_payment", "v",
-             "payment p JOIN payment_type pt ON p.id_payment_type = pt.id WHERE pt.state = 1"),
+             "payment p JOIN payment_type pt ON p.id_payment_type = pt.id WHERE pt.state = 1",
+             "p.id, p.amount, pt.method"),
         ]),
         "snapshot_coerced": _LINEITEM_TEXT,
         "snapshot_csv": "SELECT * FROM documents",
@@ -378,9 +402,9 @@ def _billing_sql() -> dict[str, str]:
         "two_warehouses": _two_models_sql(),
         "snapshot_refresh": "SELECT * FROM orders",
         "snapshot_two_sources": _counts([
-            ("billing", "orders", "r", "orders"),
-            ("public", "customer", "r", "customer"),
-            ("public", "part", "r", "part"),
+            ("billing", "orders", "r", "orders", _PLAIN["orders"]),
+            ("public", "customer", "r", "customer", _PLAIN["customer"]),
+            ("public", "part", "r", "part", _PLAIN["part"]),
         ]),
         "snapshot_matview": "SELECT * FROM orders",
         "view_replay": f"{W}\nSELECT p.id, p.date, bu.id_club, c.time_zone, "

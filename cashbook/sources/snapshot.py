@@ -309,22 +309,27 @@ def snapshot_sources(spark: SparkSession, sources: list[Source], warehouse: Ware
 
 
 def manifest(spark: SparkSession, report: SnapshotReport, warehouse: Warehouse) -> DataFrame:
-    """One row per copied object and replayed view: (schema_name, table_name, kind, n_rows).
+    """One row per copied object and replayed view: schema_name, table_name, kind, n_rows, checksum.
 
-    Counts are read back from the warehouse, one aggregate per object.
+    Both are read back from the warehouse, one aggregate per object.  The
+    checksum adds up the leading 32 bits of each row's md5 over its integer
+    and text columns (joined by ``|``, NULL as ``~``), so it does not depend
+    on row order.
     """
-    parts = []
-    for schema, name, kind, _ in report.copied:
-        parts.append(spark.read.parquet(report.locations[(schema, name)]).agg(
-            F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(schema).alias("schema_name"), F.lit(name).alias("table_name"),
-            F.lit(kind).alias("kind"), "n_rows"))
-    for schema, name in (report.views.created if report.views else []):
-        parts.append(warehouse.table(schema, name).agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(schema).alias("schema_name"), F.lit(name).alias("table_name"),
-            F.lit("v").alias("kind"), "n_rows"))
+    def described(df: DataFrame, schema: str, name: str, kind: str) -> DataFrame:
+        plain = [F.coalesce(F.col("`" + f.name.replace("`", "``") + "`").cast("string"), F.lit("~"))
+                 for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.IntegralType))]
+        digest = F.conv(F.substring(F.md5(F.concat_ws("|", *plain)), 1, 8), 16, 10).cast("bigint")
+        return df.agg(F.count(F.lit(1)).alias("n_rows"),
+                      F.coalesce(F.sum(digest), F.lit(0)).alias("checksum")).select(
+            F.lit(schema).alias("schema_name"), F.lit(name).alias("table_name"), F.lit(kind).alias("kind"),
+            "n_rows", "checksum")
+
+    parts = [described(spark.read.parquet(report.locations[(s, n)]), s, n, kind) for s, n, kind, _ in report.copied]
+    parts += [described(warehouse.table(s, n), s, n, "v") for s, n in (report.views.created if report.views else [])]
     if not parts:
-        return spark.createDataFrame([], "schema_name string, table_name string, kind string, n_rows bigint")
+        return spark.createDataFrame(
+            [], "schema_name string, table_name string, kind string, n_rows bigint, checksum bigint")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
