@@ -446,16 +446,20 @@ def one_per_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id and text one stays.  Same columns as ``df``.
     """
     found = stored(jaccard_components(df, id_col, text_col, width, percent), "join-rows")
-    keep = (found.filter("label IS NOT NULL").groupBy("label")
-            .agg(F.min(F.struct(F.col("id").isNull().alias("noid"), F.col("id").alias("id"),
-                                F.col("th").alias("th"))).alias("k")).select("k.id", "k.th")
-            .select(F.col("id").alias("keep_id_"), F.col("th").alias("keep_th_")))
+    first = F.struct(F.col("id").isNull().alias("noid"), F.col("id").alias("id"), F.col("th").alias("th"))
+    best = found.filter("label IS NOT NULL").groupBy("label").agg(F.min(first).alias("k"))
+    gone = (found.join(best, "label").filter(~(first.eqNullSafe(F.col("k"))))
+            .select(F.col("id").alias("gone_id_"), F.col("th").alias("gone_th_")).distinct()
+            .join(best.select(F.col("k.id").alias("keep_id_"), F.col("k.th").alias("keep_th_")),
+                  F.col("gone_id_").eqNullSafe(F.col("keep_id_")) & (F.col("gone_th_") == F.col("keep_th_")),
+                  "left_anti"))
+    gone = _sent_if_few(stored(gone, "join-gone"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(id_col).alias("id_"),
                      F.xxhash64(text).alias("th_"), F.regexp_like(text, F.lit(r"[^\x20\x09-\x0D]")).alias("words_"))
     blank = rows.filter("NOT words_").select("row.*")
-    chosen = rows.filter("words_").join(keep, F.col("id_").eqNullSafe(F.col("keep_id_"))
-                                        & (F.col("th_") == F.col("keep_th_")))
+    chosen = rows.filter("words_").join(gone, F.col("id_").eqNullSafe(F.col("gone_id_"))
+                                        & (F.col("th_") == F.col("gone_th_")), "left_anti")
     times = found.groupBy("id", "th").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if not times.isEmpty():
         chosen = chosen.dropDuplicates(["id_", "th_"])
