@@ -38,8 +38,8 @@ from cashbook.llm.common import _BASE, _BASE_INV, _BYTE_CODE, _powers, mix64, st
 GRAM = 16
 #: Text is anchored in pieces of this many bytes (bounds positions and memory).
 PIECE = 1 << 22
-#: Bytes of stretches per suffix array, and stretches of one anchor per shard.
-SHARD_BYTES, SHARD_STRETCHES = 1 << 20, 3000
+#: Bytes of stretches per suffix array (one anchor's more at most), and stretches of one anchor per shard.
+SHARD_BYTES, SHARD_STRETCHES = 1_500_000, 1500
 #: Text hashes sent to all tasks instead of a shuffle of all texts: up to 8 MB.
 BROADCAST_ROWS = 1_000_000
 
@@ -89,13 +89,15 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(order, rank) of all suffixes by their first ``depth`` bytes (16 at least, or the text's end).
 
     Refinement: suffixes are grouped by eight bytes; a group is split by the
-    ranks of the suffixes h places on, h doubling; groups of one are never
-    touched again.  Suffixes equal to ``depth`` keep one rank.
+    ranks of the suffixes h and 2 h places on, so the depth triples every
+    round; groups of one are never touched again.  Suffixes equal to
+    ``depth`` keep one rank and stand in order of position.  The text has less than 2**21 bytes, so that
+    three ranks fit one sort key; a longer one is refined by two ranks.
     """
     n = len(text)
     first = _packed(text)
-    order = np.argsort(first, kind="stable")
-    rank = np.empty(n + depth + 8, np.int64)
+    order = np.argsort(first)
+    rank = np.empty(n + 2 * depth + 16, np.int64)
     rank[n:] = -1
 
     def number(part, keys, start):
@@ -107,68 +109,82 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     new = number(order, first[order], np.arange(n))
     known = 8
     places = np.arange(n)
+    three = n + 1 < 1 << 21
     while known < depth:
-        ahead = min(known, depth - known)                     # the last step reaches depth exactly
+        # the ranks looked up overlap in the last round, so that it reaches depth exactly
+        ahead, further = min(known, depth - known), min(2 * known, depth - known)
         single = new & np.append(new[1:], True)
         places = places[~single]
         if not len(places):
             break
         part = order[places]
-        group, nxt = rank[part], rank[part + ahead]
-        key = group * (n + 1) + nxt + 1
-        by = np.argsort(key, kind="stable")
+        key = rank[part] * (n + 1) + rank[part + ahead] + 1
+        if three:
+            key = key * (n + 1) + rank[part + further] + 1
+        by = np.argsort(key)
         part, key = part[by], key[by]
         order[places] = part
         new = number(part, key, places)
-        known += ahead
-    return order, rank[:n]
+        known += further if three else ahead
+    rank = rank[:n]
+    if three:
+        order = np.sort((rank << 21) | np.arange(n)) & ((1 << 21) - 1)
+    else:
+        order = np.argsort(rank, kind="stable")
+    return order, rank
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray, lanes: np.ndarray, most: int) -> np.ndarray:
+def common_prefixes(text: np.ndarray, order: np.ndarray, rank: np.ndarray, lanes: np.ndarray,
+                    most: int) -> np.ndarray:
     """Common prefix of each suffix with its predecessor in ``order``, up to ``most`` bytes.
 
     Kasai's method: from one position to the next the prefix shrinks by one
     byte at most.  ``lanes`` are the first positions of runs of text; all
-    runs advance together, comparing eight bytes at a time.
+    runs advance together, comparing eight bytes at a time.  Suffixes of one
+    rank (sorted to ``most`` bytes) have it all in common; as their order
+    among themselves is not that of what follows, the position after such a
+    one starts from nothing.
     """
     n = len(text)
     words = np.concatenate([_packed(text), np.zeros(most + 16, np.uint64)])
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
-    out = np.zeros(n, np.int64)
-    ends = np.append(lanes[1:], n)
-    size = ends - lanes
+    same_rank = (rank[order[1:]] == rank[order[:-1]]) & (n - np.maximum(order[1:], order[:-1]) >= most)
+    before[order[1:][same_rank]] = -2
+    size = np.append(lanes[1:], n) - lanes
+    longest = np.argsort(-size, kind="stable")
+    inside = np.arange(int(size.max()) if len(size) else 0) < size[:, None]
+    # one row a step, the runs side by side, the longest first
+    grid = np.full(inside.shape, -1, np.int64)
+    grid[inside] = before
+    grid = np.ascontiguousarray(grid[longest].T)
+    begin, lives = lanes[longest], inside.sum(axis=0)
     have = np.zeros(len(lanes), np.int64)
-    by_size = np.argsort(-size, kind="stable")
-    live = len(lanes)
-    for step in range(int(size.max()) if len(size) else 0):
-        while live and size[by_size[live - 1]] <= step:
-            live -= 1
-        lane = by_size[:live]
-        i = lanes[lane] + step
-        j = before[i]
-        h = np.where(j >= 0, have[lane], 0)
-        todo = np.flatnonzero((j >= 0) & (h < most))
+    for step, live in enumerate(lives.tolist()):
+        row, h = grid[step, :live], have[:live]
+        same = row == -2
+        h[row < 0] = 0
+        todo = np.flatnonzero(row >= 0)
+        i, j = begin[todo] + step, row[todo]
         while len(todo):
-            a, b = i[todo] + h[todo], j[todo] + h[todo]
-            differ = words[a] ^ words[b]
-            same = np.where(differ == 0, 8, _leading_bytes(differ))
-            room = np.minimum(n - a, n - b)                    # nothing is common beyond the text
-            same = np.minimum(same, room)
-            h[todo] += same
-            todo = todo[(same == 8) & (h[todo] < most)]
-        h = np.minimum(h, most)
-        out[i] = h
-        have[lane] = np.maximum(h - 1, 0)
-    return out[order]
+            a, b = i + h[todo], j + h[todo]
+            more = np.minimum(_leading_bytes(words[a] ^ words[b]), np.minimum(n - a, n - b))
+            h[todo] += more
+            on = (more == 8) & (h[todo] < most)
+            todo, i, j = todo[on], i[on], j[on]
+        np.minimum(h, most, out=h)
+        row[:] = np.where(same, most, h)
+        h -= 1
+        h[same | (h < 0)] = 0
+    out = np.empty_like(grid.T)
+    out[longest] = grid.T
+    return out[inside][order]
 
 
 def _leading_bytes(x: np.ndarray) -> np.ndarray:
-    """Leading zero bytes of nonzero 64-bit words."""
-    high = x.astype(np.float64)                                # rounding may carry one bit up: checked below
-    bits = np.frexp(high)[1] - 1
-    bits = np.where((bits < 64) & (x >> np.minimum(bits, 63).astype(np.uint64) == 0), bits - 1, np.minimum(bits, 63))
-    return (63 - bits) // 8
+    """Leading zero bytes of 64-bit words."""
+    byte = x.astype(">u8").view(np.uint8).reshape(-1, 8) != 0
+    return np.where(x == 0, 8, byte.argmax(axis=1))
 
 
 def repeated_starts(pieces: list[bytes], length: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
@@ -180,8 +196,8 @@ def repeated_starts(pieces: list[bytes], length: int) -> tuple[list[np.ndarray],
     text = np.frombuffer(b"".join(pieces), np.uint8)
     size = np.array([len(p) for p in pieces])
     first = np.cumsum(size) - size
-    order, _ = suffix_array(text, length)
-    prefix = common_prefixes(text, order, first, length)
+    order, rank = suffix_array(text, length)
+    prefix = common_prefixes(text, order, rank, first, length)
     own = np.repeat(np.arange(len(pieces)), size)
     whole = (first + size)[own] - np.arange(len(text)) >= length       # the string lies inside its piece
     at = np.flatnonzero(whole[order])
@@ -385,7 +401,7 @@ def _sent_if_few(table: DataFrame) -> DataFrame:
 
 def repeated_places(texts: DataFrame, length: int) -> DataFrame:
     """(th, covered): per text hash, (start, mask of starts, a byte each) of its repeated strings."""
-    anchors = _anchors(texts, length)
+    anchors = stored(_anchors(texts, length), "suffix-anchors")
     often = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
     wanted = stored(anchors.join(often, "anchor").groupBy("th").agg(F.collect_set("start").alias("starts")),
                     "suffix-wanted")
