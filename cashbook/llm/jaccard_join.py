@@ -12,9 +12,10 @@ Steps, all but the last exact filters that lose no link:
    spanning forest over the pairs that may be linked (by size, and by a lower
    bound of the set difference from parity bits).  These pairs, and the
    members of a group against its first one, are verified on the whole sets.
-4. Second pass, with the components known: all remaining pairs of groups in
-   different components that may be linked are expanded to members and
-   verified.  Pairs inside one component cannot change the result.
+4. Second pass, with the components known: all remaining pairs of groups, and
+   of members inside a group, in different components that may be linked are
+   expanded to members and verified.  Pairs inside one component cannot change
+   the result.
 
 Posting lists longer than ``LIST_ROWS`` are cut into blocks, and pairs of
 blocks are dealt to different tasks.
@@ -404,6 +405,10 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     mixed = open_.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                          F.count(F.lit(1)).alias("rows")).filter("lo <> hi").select("shingle", "rows")
     open_ = open_.join(mixed, "shingle").drop("listed").withColumnRenamed("rows", "listed")
+    # a group's shingles may be in no list: the units of a group in several components are a list of their own
+    torn = parts.groupBy("grp").agg(F.count(F.lit(1)).alias("listed")).filter("listed > 1")
+    own = parts.join(torn, "grp").withColumn("shingle", F.xxhash64(F.lit("group"), "grp"))
+    open_ = open_.unionByName(own)
     rest = _pairs(open_, percent, forest=False)
     side = placed.select("grp", "comp", "member", "t", "parity")
     full = (rest.join(side.toDF("grp_a", "comp_a", "a", "ta", "pa"), ["grp_a", "comp_a"])

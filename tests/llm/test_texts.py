@@ -229,6 +229,21 @@ def test_one_per_group(docs, rows):
     assert Counter((i is None, i or 0) for i, _ in words_of) == Counter(want)
 
 
+def test_members_linked_past_their_head(spark):
+    """Copies that differ in the last word from each other, but in two shingles from the third text of their group."""
+    rows = []
+    for k in range(60):
+        w = [f"w{k}x{i}" for i in range(19)]
+        for j, t in enumerate((w[:17] + ["other"] + w[18:], w, w[:18] + ["last"])):
+            rows.append((3 * k + j, " ".join(t)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets, least, _ = expected_components(rows, 4, 85)
+    assert all(least[3 * k + 2] == 3 * k + 1 for k in range(60))
+    got = Counter(tuple(r) for r in similar_documents(df).collect())
+    assert got == Counter((rows[i][0], len(sets[i]), least[i]) for i in range(len(rows)))
+    assert one_per_group(df, width=4, percent=85).count() == 120
+
+
 def test_prefixes_meet():
     for n in range(1, 200):
         for m in range(n, 230):
