@@ -6,10 +6,15 @@
    and finds the latest earlier message of its conversation whose own text
    has that line: both kinds of line are put in one order per (conversation,
    line), so a line that many messages share costs no pairs.
-3. A passage comes from the message that most of its lines point to, the
+3. A paragraph of a passage (its lines between blank ones) with lines not
+   found so was wrapped anew or quotes a part of a line.  The hash of its whole
+   normalised text finds the latest earlier message whose own text has that
+   run of words, however either is cut into lines.  Runs are hashed only where
+   a message has the first words of a paragraph.
+4. A passage comes from the message that most of its lines point to, the
    latest on ties.  A message replies to the origin of its level-1 passage
    with the most such lines.
-4. Conversations are put in reply order: a message that replies to an earlier
+5. Conversations are put in reply order: a message that replies to an earlier
    one follows it directly, with all that continues it; a message without
    quotes continues the message before it.
 """
@@ -23,6 +28,8 @@ from cashbook.llm.common import stored
 
 MARK = r"^[ \t]*>"
 MARKS = r"^((?:[ \t]*>)+)[ \t]?"
+#: First words of a paragraph that are looked up before whole runs are hashed: the most of these that it has.
+ANCHORS = (1, 2, 4, 8)
 
 
 def _level(line: Column) -> Column:
@@ -51,11 +58,68 @@ def _messages(df: DataFrame, conv_col: str, turn_col: str, role_col: str, text_c
                   .withColumn("pid", F.spark_partition_id()), "quote-messages")
 
 
+def _latest(asked: DataFrame, own: DataFrame, on: list[str], carry: list[str]) -> DataFrame:
+    """The asked rows with origin: the latest earlier turn with equal ``on`` (and conv) in ``own``, or null.
+
+    Both are put in one order; at one turn quotes come first: a message does not quote its own turn.
+    """
+    both = (asked.select("conv", *on, "turn", F.lit(0).alias("kind"), *carry)
+            .unionByName(own.select("conv", *on, "turn", F.lit(1).alias("kind"), F.col("turn").alias("source")),
+                         allowMissingColumns=True))
+    earlier = Window.partitionBy("conv", *on).orderBy("turn", "kind").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return (both.withColumn("origin", F.last("source", ignorenulls=True).over(earlier)).filter("kind = 0")
+            .drop("kind", "source"))
+
+
+def _run_origins(messages: DataFrame, paragraphs: DataFrame) -> DataFrame:
+    """(uid, passage, para, run_origin): where the words of a paragraph stand in the own text of an earlier message.
+
+    ``paragraphs`` has uid, conv, turn, passage, para and words.  Those not found are left out.
+    """
+    def text_of(words: Column, at: Column | int, n: Column) -> Column:
+        return F.array_join(F.slice(words, at, n), " ")
+
+    k = F.lit(ANCHORS[0])
+    for n in ANCHORS[1:]:
+        k = F.when(F.size("words") >= n, n).otherwise(k)
+    asked = stored(paragraphs.withColumn("k", k).select(
+        "uid", "conv", "turn", "passage", "para", "k", F.size("words").alias("n"),
+        F.xxhash64(text_of(F.col("words"), 1, F.col("k"))).alias("anchor"),
+        F.sha2(F.array_join("words", " "), 256).alias("run")), "quote-paragraphs")
+    anchors = asked.groupBy(F.col("conv").alias("qc"), F.col("k").alias("qk"), F.col("anchor").alias("qa")).agg(
+        F.collect_set("n").alias("sizes"))
+    convs = asked.groupBy(F.col("conv").alias("qc")).agg(F.collect_set("k").alias("ks"))
+    # a quoted line is a word in upper case, which no normalised text has, so that no run goes over it
+    lines = F.transform(F.split("text", "\n"),
+                        lambda x: F.when(F.regexp_like(x, F.lit(MARK)), "Q").otherwise(_normal(x)))
+    said = (messages.filter("turn IS NOT NULL AND text IS NOT NULL")
+            .join(convs, F.col("conv").eqNullSafe(F.col("qc")))
+            .select("uid", "conv", "turn", "ks",
+                    F.split(F.array_join(F.filter(lines, lambda x: x != ""), " "), " ").alias("said")))
+    starts = F.flatten(F.transform("ks", lambda k: F.when(F.size("said") >= k, F.transform(
+        F.sequence(F.lit(1), F.size("said") - k + 1),
+        lambda p: F.struct(k.alias("k"), p.alias("p"), F.xxhash64(text_of(F.col("said"), p, k)).alias("anchor"))))
+        .otherwise(F.array().cast("array<struct<k:int,p:int,anchor:bigint>>"))))
+    hits = (said.select("uid", "conv", F.explode(starts).alias("s")).select("uid", "conv", "s.*")
+            .join(anchors, F.col("conv").eqNullSafe(F.col("qc")) & (F.col("k") == F.col("qk"))
+                  & (F.col("anchor") == F.col("qa")))
+            .select("uid", F.explode("sizes").alias("n"), "p").distinct()
+            .groupBy("uid").agg(F.collect_list(F.struct("p", "n")).alias("hits")))
+    whole = F.transform(F.filter("hits", lambda x: x["p"] + x["n"] - 1 <= F.size("said")),
+                        lambda x: F.sha2(text_of(F.col("said"), x["p"], x["n"]), 256))
+    own = (said.join(hits, "uid").select("conv", "turn", F.explode(F.array_distinct(whole)).alias("run"))
+           .distinct())
+    return (_latest(asked, own, ["run"], ["uid", "passage", "para"]).filter("origin IS NOT NULL")
+            .select("uid", "passage", "para", F.col("origin").alias("run_origin")))
+
+
 def passages(messages: DataFrame) -> DataFrame:
     """Per quoted passage: uid, conv, turn, passage (its first line), level, lines, hash, origin, hits.
 
     ``lines`` counts the lines that are not blank, ``hits`` those that point
-    to the origin; origin is null where no line is found.
+    to the origin, alone or with their paragraph; origin is null where neither
+    a line nor a paragraph is found.
     """
     quoting = messages.filter(F.regexp_like("text", F.lit(r"(?m)" + MARK)))
     line = (quoting.select("uid", "conv", "turn", F.posexplode(F.split("text", "\n")).alias("at", "line"))
@@ -65,8 +129,10 @@ def passages(messages: DataFrame) -> DataFrame:
     marked = (line.withColumn("starts", starts)
               .withColumn("passage", F.max(F.when(F.col("starts"), F.col("at"))).over(by_message))
               .filter("level > 0"))
-    quoted = stored(marked.select("uid", "conv", "turn", "passage", "level", "at",
-                                  _normal(F.regexp_replace("line", MARKS, "")).alias("norm"))
+    blank = F.when(F.col("norm") == "", 1).otherwise(0)
+    quoted = stored(marked.withColumn("norm", _normal(F.regexp_replace("line", MARKS, "")))
+                    .select("uid", "conv", "turn", "passage", "level", "at", "norm",
+                            F.sum(blank).over(by_message).alias("para"))
                     .withColumn("h", F.xxhash64("norm")), "quote-lines")
     asked = quoted.filter("norm <> ''")
     # own lines of the conversations that quote, as far as they are quoted
@@ -78,18 +144,21 @@ def passages(messages: DataFrame) -> DataFrame:
            .withColumn("h", F.xxhash64("norm")).select("conv", "turn", "h", "norm").distinct())
     own = own.join(needed, F.col("conv").eqNullSafe(F.col("qc")) & (F.col("h") == F.col("qh"))
                    & (F.col("norm") == F.col("qn")), "left_semi")
-    both = (asked.select("conv", "h", "norm", "turn", F.lit(0).alias("kind"), "uid", "passage", "at",
-                         F.lit(None).cast(messages.schema["turn"].dataType).alias("source"))
-            .unionByName(own.select("conv", "h", "norm", "turn", F.lit(1).alias("kind"),
-                                    F.lit(None).cast("long").alias("uid"), F.lit(None).cast("int").alias("passage"),
-                                    F.lit(None).cast("int").alias("at"), F.col("turn").alias("source"))))
-    # at one turn quotes come first: a message does not quote its own turn
-    earlier = Window.partitionBy("conv", "h", "norm").orderBy("turn", "kind").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    pointed = (both.withColumn("origin", F.last("source", ignorenulls=True).over(earlier)).filter("kind = 0")
-               .filter("origin IS NOT NULL").groupBy("uid", "passage", "origin").agg(F.count(F.lit(1)).alias("hits"))
+    found = stored(_latest(asked, own, ["h", "norm"], ["uid", "passage", "para", "at"])
+                   .select("uid", "conv", "turn", "passage", "para", "at", "norm", "origin"), "quote-found")
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("at", "norm"))), lambda x: x["norm"])
+    open_ = (found.groupBy("uid", "passage", "para").agg(
+        F.first("conv").alias("conv"), F.first("turn").alias("turn"), F.count("origin").alias("hits"),
+        F.count(F.lit(1)).alias("lines"), F.split(F.array_join(in_order, " "), " ").alias("words"))
+        .filter("hits < lines AND turn IS NOT NULL"))
+    if not open_.isEmpty():
+        runs = _run_origins(messages, open_)
+        found = found.join(runs, ["uid", "passage", "para"], "left").withColumn(
+            "origin", F.coalesce("run_origin", "origin"))
+    pointed = (found.filter("origin IS NOT NULL").groupBy("uid", "passage", "origin")
+               .agg(F.count(F.lit(1)).alias("hits"))
                .groupBy("uid", "passage").agg(F.max(F.struct("hits", "origin")).alias("best")))
-    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "norm"))), lambda x: x["norm"]), " ")
+    text = F.array_join(in_order, " ")
     whole = quoted.groupBy("uid", "passage").agg(
         F.first("conv").alias("conv"), F.first("turn").alias("turn"), F.first("level").alias("level"),
         F.sum(F.when(F.col("norm") != "", 1).otherwise(0)).alias("lines"), F.sha2(F.trim(text), 256).alias("hash"))

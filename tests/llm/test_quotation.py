@@ -140,6 +140,41 @@ def test_passage_hashes_ignore_spacing_and_case(spark):
     assert all(p["lines"] == 2 for p in got)
 
 
+def test_wrapped_and_partial_quotes(spark):
+    long = "The quick  brown fox jumps over the lazy dog, and then it rests under the old tree until the evening."
+    m = [(1, 0, "u", long + "\nAnother line."),
+         (1, 1, "a", "Something else.\n> never\nthe old  tree"),
+         (1, 2, "u", "> the quick brown fox jumps over\n> The lazy dog, and then it rests\n> under the old tree until"
+                     " the evening.\nWrapped."),
+         (1, 3, "a", "> it rests under\nA part of a line."),
+         (1, 4, "u", "> the old\n> tree until the evening. Another\n>\n> something\n> else.\nTwo origins."),
+         (1, 5, "a", "> something else. the old tree\nNot over a quote."),
+         (1, 6, "u", "> brown fox rests\n> the quick fox\nNot said."),
+         (1, 7, "a", ">> it rests\n>> under the old\n> a part of\n> a line.\nLevels."),
+         (1, 8, "u", "> brown fox\n> rests\nSaid as a quote only."),
+         (1, None, "u", "> it rests\n> under"), (2, 0, "u", "> it rests\n> under\nanother conversation"),
+         (None, 0, "u", long), (None, 1, "a", "> it rests\n> under\nNo id.")]
+    rows = {(r[0], r[2]): r for r in run(spark, m)}
+    reply = {key: r[4] for key, r in rows.items()}
+    assert reply == {(1, 0): None, (1, 1): None, (1, 2): 0, (1, 3): 0, (1, 4): 1, (1, 5): None, (1, 6): None,
+                     (1, 7): 3, (1, 8): None, (1, None): None, (2, 0): None, (None, 0): None, (None, 1): 0}
+    assert rows[1, 7][6] == 2 and rows[1, 4][5:7] == (1, 1)
+    assert rows[1, 0][1] < rows[1, 2][1] < rows[1, 3][1] < rows[1, 7][1] < rows[1, 1][1] < rows[1, 4][1]
+
+
+def test_one_word_quotes_and_repeats(spark):
+    r = random.Random(5)
+    m, said = [], []
+    for turn in range(40):
+        words = [r.choice("abcd") for _ in range(r.randint(9, 40))]
+        quoted = [r.choice("abcd") for _ in range(r.randint(1, 12))]
+        m.append((7, turn, "u", "> " + "\n> ".join(quoted) + "\n" + " ".join(words)))
+        said.append((" ".join(quoted), " ".join(words)))
+    reply = {x[2]: x[4] for x in run(spark, m)}
+    for turn, (q, _) in enumerate(said):
+        assert reply[turn] == max((t for t in range(turn) if f" {q} " in f" {said[t][1]} "), default=None)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert link_quotations(df).count() == 0
