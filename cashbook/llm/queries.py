@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cashbook.llm.common import held_out, table
+from cashbook.llm.common import held_out, stored, table
 
 
 def op1_quotation_linking(spark, sf):
@@ -64,11 +64,10 @@ def op10_toxicity(spark, sf):
 
 def op9_sharding(spark, sf):
     from cashbook.llm.sharding import byte_size, shard
-    docs = table(spark, sf, "documents")
+    shards = stored(shard(table(spark, sf, "documents"), 16), "shards")
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    return shard(docs, 16, carry=[F.col("doc_id"), byte_size("text").alias("size"), crc.alias("text_crc32")]).select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"))
+    return shards.select("doc_id", byte_size("text").alias("size"), crc.alias("text_crc32"),
+                         F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 QUERIES = {

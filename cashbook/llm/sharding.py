@@ -143,7 +143,7 @@ def _longs(values: list[int]) -> Column:
 
 
 def shard(df: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text",
-          parts: int = 16, tolerance: float = 0.01, carry: list[Column] | None = None) -> DataFrame:
+          parts: int = 16, tolerance: float = 0.01) -> DataFrame:
     """The rows with shard (0 .. n_shards - 1) and slot (gapless from 0 in each shard).
 
     Size is the UTF-8 bytes of the text plus one (null text: 1).  Shard sizes
@@ -152,10 +152,8 @@ def shard(df: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: s
     leaves shards uneven or empty.  Equal texts are neighbours, but a large
     group may span shards.  Rows that agree in text and id stay together.
     Null ids are equal to each other.  An empty table gives an empty result.
-
-    ``carry``: the columns to return beside shard and slot, by default all.
     """
-    own = carry if carry is not None else [F.col(f"`{c}`") for c in df.columns]
+    own = [F.col(f"`{c}`") for c in df.columns]
     rows = df.select(F.struct(*own).alias("row"), *order_key(id_col, text_col), byte_size(text_col).alias("size"))
     keys = stored(rows.select("h", "k", "size"), "shard-keys")
     bounds, _ = splitters(keys, n_shards * parts, tolerance)

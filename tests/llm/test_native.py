@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -124,6 +125,19 @@ def test_target_rule_sums_to_everything(pairs):
         assert abs(sum(targets(sizes).values()) - sum(sizes.values())) < 1e-6
 
 
+def test_sharding_query_derives_from_whole_rows(spark, monkeypatch):
+    from cashbook.llm import queries, sharding
+    source, made = "/root/testdata/sf0.001", []
+    monkeypatch.setattr(sharding, "shard", lambda *a, **k: made.append(shard(*a, **k)) or made[-1])
+    got = queries.op9_sharding(spark, source).collect()
+    docs = spark.read.parquet(f"{source}/documents.parquet")
+    assert [m.columns for m in made] == [docs.columns + ["shard", "slot"]]
+    want = Counter((r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode()), r.shard, r.slot)
+                   for r in made[0].collect())
+    assert Counter((r.doc_id, r["size"], r.text_crc32, r.shard, r.slot) for r in got) == want
+    assert sum(want.values()) == docs.count()
+
+
 @pytest.mark.parametrize("n_shards,parts", [(4, 4), (16, 16), (1, 1)])
 def test_sharding(docs, rows, n_shards, parts):
     out = shard(docs, n_shards, parts=parts)
