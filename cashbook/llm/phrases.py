@@ -43,7 +43,7 @@ PHRASE_WORD = byte_class([(0x20, 0x20), (0x09, 0x0D)]) & ~PIECE_END
 
 ORDER = 4
 #: Words per sorted run, and text bytes per range.
-CHUNK_WORDS, RANGE_BYTES = 1 << 20, 16 << 20
+CHUNK_WORDS, RANGE_BYTES = 1 << 20, 8 << 20
 #: Ranges at most: this bounds the splitters sent to the tasks (a few words each).
 MOST_RANGES = 1 << 15
 #: Windows looked at per range when splitters are chosen.
@@ -54,6 +54,14 @@ NUMBER_BITS = 21
 
 # ------------------------------------------------------------------------ runs
 
+def _packed_key(cols: list[np.ndarray]) -> np.ndarray:
+    key = cols[0].astype(np.uint64)
+    for c in cols[1:]:
+        key <<= np.uint64(NUMBER_BITS)
+        key |= c.astype(np.uint64)
+    return key
+
+
 def _in_order(cols: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray]:
     """The order of the windows by language and words, and where a new window begins in it.
 
@@ -61,9 +69,7 @@ def _in_order(cols: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray
     """
     keys = cols
     if most < 1 << NUMBER_BITS:
-        lang, a, b, c, d = (x.astype(np.uint64) for x in cols)
-        s = np.uint64(NUMBER_BITS)
-        keys = [(lang << s) | a, (((b << s) | c) << s) | d]
+        keys = [_packed_key(cols[:2]), _packed_key(cols[2:])]
     order = np.lexsort(keys[::-1])
     new = np.zeros(len(order), dtype=bool)
     new[:1] = True
@@ -77,8 +83,8 @@ def _ranked(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Numbers from 1 in byte order, and the distinct words in that order."""
     coded = words.dictionary_encode()
     order = pc.array_sort_indices(coded.dictionary)
-    rank = np.empty(len(order) + 1, dtype=np.int64)
-    rank[order.to_numpy()] = np.arange(1, len(order) + 1)
+    rank = np.empty(len(order) + 1, dtype=np.int32)
+    rank[order.to_numpy()] = np.arange(1, len(order) + 1, dtype=np.int32)
     return rank[coded.indices.to_numpy()], coded.dictionary.take(order)
 
 
@@ -114,7 +120,7 @@ class _Run:
         piece = np.cumsum(np.concatenate(self.pieces))
         cols = [lang, numbers]
         for k in range(1, ORDER):
-            nxt = np.zeros(len(numbers), dtype=np.int64)
+            nxt = np.zeros(len(numbers), dtype=np.int32)
             if k < len(numbers):
                 nxt[:-k] = np.where(piece[k:] == piece[:-k], numbers[k:], 0)
             cols.append(nxt)
@@ -177,7 +183,7 @@ def _unpacked(blob: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     np.cumsum(body[:words], out=ends[1:])
     names = pa.Array.from_buffers(pa.binary(), words, [None, pa.py_buffer(ends), pa.py_buffer(raw[16 + body.nbytes:])])
     local, counts = np.split(body[words:], [(ORDER + 1) * rows])
-    return names, local.reshape(ORDER + 1, rows).astype(np.int64), counts.astype(np.int64)
+    return names, local.reshape(ORDER + 1, rows), counts
 
 
 def _splitters(texts: DataFrame, ranges: int, bytes_: int) -> list[tuple[bytes, ...]]:
@@ -227,14 +233,20 @@ def phrase_counts(texts: DataFrame, least: int) -> DataFrame:
         """The runs of equal beginnings of one range: words, count, and whether the run is whole."""
         opened = [_unpacked(b) for b in blobs]
         numbers, vocabulary = _ranked(pa.concat_arrays([o[0] for o in opened]))
-        numbers = np.concatenate([[0], numbers])
-        cols, base = [], 0
-        for own, local, _ in opened:
-            cols.append(np.where(local > 0, numbers[local + base], 0))
+        numbers = np.concatenate([np.zeros(1, np.int32), numbers])
+        rows = np.cumsum([0] + [len(o[2]) for o in opened])
+        cols = np.empty((ORDER + 1, rows[-1]), dtype=np.int32)
+        counts = np.empty(rows[-1], dtype=np.int64)
+        base = 0
+        for k, (own, local, n) in enumerate(opened):
+            opened[k] = None
+            cols[:, rows[k]:rows[k + 1]] = np.where(local > 0, numbers[local + np.uint32(base)], 0)
+            counts[rows[k]:rows[k + 1]] = n
             base += len(own)
-        cols = np.concatenate(cols, axis=1)
         order, _ = _in_order(list(cols), len(vocabulary))
-        cols, counts = cols[:, order], np.concatenate([o[2] for o in opened])[order]
+        for c in cols:
+            c[:] = c[order]
+        counts = counts[order]
         new = np.zeros(len(counts), dtype=bool)
         new[0] = True
         for n in range(1, ORDER + 2):
@@ -264,7 +276,7 @@ def phrase_counts(texts: DataFrame, least: int) -> DataFrame:
             yield from merged(held)
 
     parts = texts.mapInArrow(cut, "part int, blob binary")
-    runs = stored(parts.repartition(max(1, min(ranges, 4096)), "part").sortWithinPartitions("part")
+    runs = stored(parts.repartition(ranges, "part").sortWithinPartitions("part")
                   .mapInArrow(merge, "words array<string>, a long, whole boolean"), "phrase-runs")
     ends = runs.filter("NOT whole").groupBy("words").agg(F.sum("a").alias("a"))
     whole = runs.filter("whole").select("words", "a")
@@ -273,8 +285,9 @@ def phrase_counts(texts: DataFrame, least: int) -> DataFrame:
 
 # --------------------------------------------------------------------- streams
 
-def _sorted_stream(df: DataFrame, *keys: str) -> DataFrame:
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+def _sorted_stream(df: DataFrame, *more: str) -> DataFrame:
+    """Ranges of phrases, sorted; equal phrases are in one range."""
+    return df.repartitionByRange("words").sortWithinPartitions("words", *more)
 
 
 def _pass(counts: DataFrame) -> DataFrame:
@@ -321,7 +334,7 @@ def _pass(counts: DataFrame) -> DataFrame:
             yield out()
 
     kind = "words array<string>, a long, parts array<long>, best long"
-    passed = stored(_sorted_stream(counts, "words").mapInArrow(scan, kind), "phrase-pass")
+    passed = stored(_sorted_stream(counts).mapInArrow(scan, kind), "phrase-pass")
     # at most four unknown beginnings a range
     unknown = passed.filter("a IS NULL").select("words").distinct()
     found = stored(counts.join(F.broadcast(unknown), "words", "left_semi"), "phrase-open")
@@ -374,7 +387,7 @@ def _scored(both: DataFrame, least: int, percent: int) -> DataFrame:
             close()
         yield out()
 
-    return _sorted_stream(both, "words", "side").mapInArrow(
+    return _sorted_stream(both, "side").mapInArrow(
         merge, "lang string, phrase string, a long, l long, r long, score long")
 
 
