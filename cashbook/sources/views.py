@@ -1,18 +1,18 @@
 """View replay (S14) and the ``_`` placeholder function (U-1).
 
 Source views are recreated in the warehouse after all tables are in place.
-Views may depend on each other in any listing order.  When a view cannot be
-created because a relation is missing, the analyzer names that relation; if
-it is another view still to be replayed, the view waits for it and is retried
-right after that view exists, so each view is attempted once per missing
-dependency (not once per round).  A miss on anything that is not being
-replayed fails at once; views left waiting in a cycle fail at the end.
+Views may depend on each other in any listing order: each text is parsed once,
+the relations its unresolved plan names give the dependencies among the
+views, and the views are created in topological order, one attempt each.  A
+view in a cycle, or behind a view that failed, fails with that as its reason.
 Views are created with ``CREATE OR REPLACE`` -- never a cascading drop, which
 would silently delete views made earlier in the run.
 
 The source prints reserved, mixed-case and non-ASCII names in double quotes,
 so the texts are read with double quotes as identifiers.  In a warehouse with
-a namespace, schema names in front of a dot are given its prefix.
+a namespace, schemas are given its prefix where the parser found them to be
+schemas: in the names of relations and functions, and in columns that are
+qualified by such a relation.  Aliases, texts and comments are left alone.
 
 Source views call ``_(text)``, an identity stub for translated labels; it is
 created as a persistent SQL function (persistent views may only call
@@ -24,18 +24,17 @@ from __future__ import annotations
 
 import logging
 import re
+from collections import deque
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import SparkSession
 
 from cashbook.sources.warehouse import Warehouse, qualified, quote_ident
 
 log = logging.getLogger(__name__)
 
-RETRYABLE = ("TABLE_OR_VIEW_NOT_FOUND", "UNRESOLVED_ROUTINE", "SCHEMA_NOT_FOUND")
-
 
 @dataclass
 class ViewReport:
@@ -69,19 +68,60 @@ def _drop_table_of_same_name(spark: SparkSession, schema: str, name: str) -> Non
         spark.sql(f"DROP TABLE {qn}")
 
 
-_TOKEN = re.compile(r"""'(?:[^']|'')*' | "(?:[^"]|"")*" | `(?:[^`]|``)*` | [^\W\d]\w*""", re.X)
-
-
-def scoped_sql(sql: str, schemas: set[str], prefix: str) -> str:
-    """``sql`` with ``prefix`` before each of ``schemas`` that qualifies a name (texts are left alone)."""
-    def one(m: re.Match) -> str:
-        token = m.group()
-        name = token[1:-1] if token[0] in "\"`" else token
-        after, before = sql[m.end():].lstrip()[:1], sql[:m.start()].rstrip()[-1:]
-        if token[0] == "'" or after != "." or before == "." or name.lower() not in schemas:
-            return token
-        return quote_ident(prefix + name)
-    return _TOKEN.sub(one, sql)
+@dataclass
+class ParsedView:
+    """What the parser finds in a view's text: names with the place of their first part."""
+    text: str
+    relations: list[tuple[int, list[str]]] = field(default_factory=list)
+    functions: list[tuple[int, list[str]]] = field(default_factory=list)
+    columns: list[tuple[int, list[str]]] = field(default_factory=list)
+    ctes: set[str] = field(default_factory=set)
+
+
+def _items(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def parse_view(spark: SparkSession, sql: str) -> ParsedView:
+    """Names in the unresolved plan of ``sql``; a text that does not parse raises ``ParseException``."""
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    view = ParsedView(sql)
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        found, names = {"UnresolvedRelation": (view.relations, "multipartIdentifier"),
+                        "UnresolvedFunction": (view.functions, "nameParts"),
+                        "UnresolvedAttribute": (view.columns, "nameParts")}.get(kind, (None, None))
+        start = node.origin().startIndex()
+        if found is not None and start.isDefined():
+            found.append((start.get(), _items(getattr(node, names)())))
+        elif kind == "UnresolvedStar" and start.isDefined() and node.target().isDefined():
+            view.columns.append((start.get(), _items(node.target().get()) + ["*"]))
+        elif kind == "UnresolvedWith":
+            view.ctes |= {_items(r.productIterator().toSeq())[0].lower() for r in _items(node.cteRelations())}
+        todo += _items(node.children()) + _items(node.innerChildren())     # the latter: subqueries and CTEs
+        if "expressions" in dir(node):
+            todo += _items(node.expressions())
+    return view
+
+
+_FIRST_PART = re.compile(r'"(?:[^"]|"")*"|`(?:[^`]|``)*`|[^\s."`]+')
+
+
+def in_namespace(view: ParsedView, schemas: set[str], prefix: str) -> str:
+    """The view's text with ``prefix`` before each of ``schemas`` that stands for a schema."""
+    known = {tuple(x.lower() for x in name) for _, name in view.relations if len(name) == 2}
+    places = [at for at, name in view.relations + view.functions if len(name) == 2 and name[0].lower() in schemas]
+    places += [at for at, name in view.columns if len(name) > 2 and name[0].lower() in schemas
+               and (name[0].lower(), name[1].lower()) in known]
+    text = view.text
+    for at in sorted(set(places), reverse=True):
+        first = _FIRST_PART.match(text, at)
+        name = first.group()
+        name = name[1:-1] if name[0] in "\"`" else name
+        text = text[:at] + quote_ident(prefix + name) + text[first.end():]
+    return text
 
 
 @contextmanager
@@ -97,36 +137,23 @@ def _double_quoted_identifiers(spark: SparkSession):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-@contextmanager
-def _quiet_analysis_errors():
-    """Expected misses of the fixpoint loop are reported in the ViewReport;
-    keep PySpark's error-context logger from printing each one at ERROR."""
-    lg = logging.getLogger("SQLQueryContextLogger")
-    old = lg.level
-    lg.setLevel(logging.CRITICAL)
-    try:
-        yield
-    finally:
-        lg.setLevel(old)
-
-
-def _condition(e: AnalysisException) -> str | None:
-    try:
-        return e.getCondition()
-    except Exception:  # noqa: BLE001
-        return None
-
-
-def _missing_relation(e: AnalysisException) -> str | None:
-    """``schema.name`` of the relation the analyzer could not find, if named."""
-    try:
-        name = (e.getMessageParameters() or {}).get("relationName")
-    except Exception:  # noqa: BLE001
-        return None
-    if not name:
-        return None
-    parts = [x.strip("`").lower() for x in name.split("`.`")]
-    return ".".join(parts[-2:]) if len(parts) >= 2 else parts[0]
+def creation_order(needs: dict[str, set[str]]) -> tuple[list[str], set[str]]:
+    """Keys after all they need, otherwise in the given order, and those that need themselves through others."""
+    waiting = {key: set(n) & set(needs) for key, n in needs.items()}
+    needed_by: dict[str, list[str]] = {}
+    for key, n in waiting.items():
+        for other in n:
+            needed_by.setdefault(other, []).append(key)
+    ready = deque(key for key, n in waiting.items() if not n)
+    order = []
+    while ready:
+        key = ready.popleft()
+        order.append(key)
+        for other in needed_by.get(key, []):
+            waiting[other].discard(key)
+            if not waiting[other]:
+                ready.append(other)
+    return order, set(needs) - set(order)
 
 
 def replay_views(spark: SparkSession, views: list[tuple[str, str, str | None]],
@@ -136,17 +163,9 @@ def replay_views(spark: SparkSession, views: list[tuple[str, str, str | None]],
     With a ``warehouse`` they go to its schemas; the report has their own names.
     """
     prefix = f"{warehouse.namespace}_" if warehouse is not None and warehouse.namespace else ""
-    if prefix:
-        schemas = {s.lower() for s in _schemas_of(warehouse)} | {v[0].lower() for v in views}
-        views = [(prefix + s, n, scoped_sql(sql, schemas, prefix) if sql else sql) for s, n, sql in views]
+    schemas = {v[0].lower() for v in views} | {s.lower() for s in _schemas_of(warehouse)} if prefix else set()
     with _double_quoted_identifiers(spark):
-        rep = _replay(spark, views, prefix + placeholder_schema)
-    if prefix:
-        cut = len(prefix)
-        rep.created = [(s[cut:], n) for s, n in rep.created]
-        rep.missing_sql = [(s[cut:], n) for s, n in rep.missing_sql]
-        rep.failed = {(s[cut:], n): why for (s, n), why in rep.failed.items()}
-    return rep
+        return _replay(spark, views, placeholder_schema, schemas, prefix)
 
 
 def _schemas_of(warehouse: Warehouse) -> list[str]:
@@ -154,43 +173,49 @@ def _schemas_of(warehouse: Warehouse) -> list[str]:
     return [d.name[cut:] for d in warehouse.spark.catalog.listDatabases(f"{warehouse.namespace}_*")]
 
 
-def _replay(spark: SparkSession, views: list[tuple[str, str, str | None]], placeholder_schema: str) -> ViewReport:
-    from collections import deque
-
-    ensure_placeholder_function(spark, placeholder_schema)
+def _replay(spark: SparkSession, views: list[tuple[str, str, str | None]], placeholder_schema: str,
+            schemas: set[str], prefix: str) -> ViewReport:
+    ensure_placeholder_function(spark, prefix + placeholder_schema)
     rep = ViewReport()
-    queue: deque = deque()
+    parsed: dict[str, tuple[str, str, ParsedView]] = {}
     for schema, name, sql in views:
         if not sql:
             log.warning("no definition for view %s.%s; skipped", schema, name)
             rep.missing_sql.append((schema, name))
-        else:
-            queue.append((schema, name, sql))
-    pending = {f"{s_}.{n}".lower() for s_, n, _ in queue}
+            continue
+        try:
+            parsed[f"{schema}.{name}".lower()] = (schema, name, parse_view(spark, sql))
+        except ParseException as e:
+            rep.failed[(schema, name)] = str(e).strip().split("\n")[0]
     by_name: dict[str, list[str]] = {}
-    for key in pending:
+    for key in parsed:
         by_name.setdefault(key.split(".", 1)[1], []).append(key)
-    waiting: dict[str, list[tuple[str, str, str]]] = {}
 
-    while queue:
-        schema, name, sql = queue.popleft()
-        key = f"{schema}.{name}".lower()
+    needs: dict[str, set[str]] = {}
+    for key, (_, _, view) in parsed.items():
+        needs[key] = set()
+        for _, relation in view.relations:
+            other = ".".join(x.lower() for x in relation[-2:])
+            if len(relation) == 1 and other not in view.ctes and len(by_name.get(other, [])) == 1:
+                other = by_name[other][0]              # unqualified reference to a view
+            needs[key].add(other)
+    order, cyclic = creation_order(needs)
+    for key in sorted(cyclic):
+        rep.failed[parsed[key][:2]] = "in a cycle of views, or needs one: " + ", ".join(sorted(needs[key] & cyclic))
+    for key in order:
+        schema, name, view = parsed[key]
+        gone = [f"{s}.{n}" for s, n in rep.failed if f"{s}.{n}".lower() in needs[key]]
+        if gone:
+            rep.failed[(schema, name)] = "needs views that failed: " + ", ".join(gone)
+            continue
         rep.attempts += 1
+        target = prefix + schema
         try:
-            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quote_ident(schema)}")
-            _drop_table_of_same_name(spark, schema, name)
-            with _quiet_analysis_errors():
-                spark.sql(f"CREATE OR REPLACE VIEW {qualified(schema, name)} AS {sql}")
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quote_ident(target)}")
+            _drop_table_of_same_name(spark, target, name)
+            spark.sql(f"CREATE OR REPLACE VIEW {qualified(target, name)} AS {in_namespace(view, schemas, prefix)}")
         except AnalysisException as e:
             rep.failed[(schema, name)] = str(e).split("\n")[0]
-            dep = _missing_relation(e) if _condition(e) in RETRYABLE else None
-            if dep is not None and "." not in dep and len(by_name.get(dep, [])) == 1:
-                dep = by_name[dep][0]                  # unqualified reference to a pending view
-            if dep in pending and dep != key:
-                waiting.setdefault(dep, []).append((schema, name, sql))
             continue
         rep.created.append((schema, name))
-        rep.failed.pop((schema, name), None)
-        pending.discard(key)
-        queue.extend(waiting.pop(key, []))
     return rep
