@@ -16,6 +16,11 @@ hash as last key) gives tighter per-file club ranges but its boundary
 sampling re-runs the whole upstream plan once more; it is used on request and
 when AQE is disabled (a rebalance without AQE would be a plain hash shuffle
 with no skew split).
+
+Layout ``curve`` (:mod:`cashbook.plans.curve`; that of a warehouse run) places
+rows along a space-filling curve over club and local time, so that lookups on
+either column alone skip most files too, at any row-group size.  It reads the
+upstream plan once, and a sample of the payments before.
 """
 
 from __future__ import annotations
@@ -26,7 +31,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cashbook.operators.rules import MODEL_TABLES
-from cashbook.plans.pnl import pnl_long
+from cashbook.plans.curve import SAMPLE_ROWS, curve_of
+from cashbook.plans.pnl import pnl_feed, pnl_long
 from cashbook.sources.fixtures import BillingTables, catalog_tables
 from cashbook.sources.warehouse import Warehouse
 
@@ -82,6 +88,13 @@ def rebalanced(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", "id_club").sortWithinPartitions(*LOOKUP_KEYS)
 
 
+def along_curve(t: BillingTables, lang: str, partitions: int) -> DataFrame:
+    """The model's rows along a curve over club and local time (layout ``curve``)."""
+    payments = t.payment.count()
+    some = t if payments <= SAMPLE_ROWS else t._replace(payment=t.payment.sample(SAMPLE_ROWS / payments, seed=1))
+    return curve_of(pnl_feed(some), *LOOKUP_KEYS, partitions).place(pnl_long(t, lang), *LOOKUP_KEYS)
+
+
 def aqe_enabled(spark: SparkSession) -> bool:
     return spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
 
@@ -91,14 +104,16 @@ def refresh_model(spark: SparkSession, warehouse: Warehouse, lang: str = "en",
                   max_records_per_file: int | None = 5_000_000, layout: str = "rebalance") -> str:
     """S15 + S16: rebuild ``models.<model>`` from the billing tables.
 
-    ``layout="range"`` (or AQE off): ``partitions`` club / local-time ranges,
-    by default one per 256 MB of payment input and at least
-    ``spark.sql.shuffle.partitions``, so ranges stay bounded at any size.
+    ``layout="range"`` (or AQE off) and ``layout="curve"``: ``partitions``
+    club / local-time ranges, by default one per 256 MB of payment input and at
+    least ``spark.sql.shuffle.partitions``, so ranges stay bounded at any size.
     """
-    if layout not in ("rebalance", "range"):
+    if layout not in ("rebalance", "range", "curve"):
         raise ValueError(f"unknown layout {layout!r}")
     t = tables if tables is not None else catalog_tables(warehouse)
-    if layout == "rebalance" and partitions is None and aqe_enabled(spark):
+    if layout == "curve":
+        df = along_curve(t, lang, partitions if partitions is not None else range_count(spark, t.payment))
+    elif layout == "rebalance" and partitions is None and aqe_enabled(spark):
         df = rebalanced(pnl_long(t, lang))
     else:
         n = partitions if partitions is not None else range_count(spark, t.payment)
