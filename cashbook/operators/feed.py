@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from cashbook.functions.scalar import local_time, numeric_offset
 from cashbook.operators.broadcast import (ACCOUNT_MAX_ROWS, DIMENSION_MAX_ROWS,
                                           bounded_broadcast, counted, hint, one_row_each)
+from cashbook.operators.idfilter import bitmap_bits, id_bitmap, maybe_in
 from cashbook.operators.skew import DEFAULT_ROWS_PER_TASK, salted_join
 from cashbook.sources.fixtures import BillingTables
 
@@ -109,6 +110,19 @@ def dimension_sides(t: BillingTables, types: DataFrame, dim_rows: int = DIMENSIO
     return hint(types, n_types["n"] <= dim_rows), accounts, small_acc
 
 
+def of_main_accounts(payments: DataFrame, t: BillingTables) -> DataFrame:
+    """Payments that may belong to a main-balance account: what a shuffle to the accounts has to move.
+
+    Where there are more such accounts than a bitmap of bounded size can tell
+    from others, all payments stay.
+    """
+    ids = main_balance_accounts(t.balance_user).select("id")
+    bits = bitmap_bits(ids.count())
+    if bits is None:
+        return payments
+    return maybe_in(payments, "id_balance_user", id_bitmap(ids, "id", bits), bits)
+
+
 def join_types(p: DataFrame, types: DataFrame) -> DataFrame:
     """J1 (+F1): inner join to the active payment types."""
     return p.join(types, p["id_payment_type"] == types["pt_id"], "inner")
@@ -146,7 +160,8 @@ def payment_feed(t: BillingTables, dim_rows: int = DIMENSION_MAX_ROWS,
     """The model's ``source`` rows: 16 projected columns, one row per match."""
     types, accounts, small_acc = dimension_sides(t, type_frame(t.payment_type), dim_rows,
                                                  account_rows)
-    x = join_accounts_split(join_types(t.payment, types), accounts, small_acc, skew)
+    payments = t.payment if small_acc else of_main_accounts(t.payment, t)
+    x = join_accounts_split(join_types(payments, types), accounts, small_acc, skew)
     cols: dict[str, Column] = {
         "id_club": F.col("id_club"),
         "id_balance_user": F.col("id_balance_user"),

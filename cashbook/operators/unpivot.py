@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cashbook.functions.scalar import local_time, to_double
 from cashbook.operators.broadcast import ACCOUNT_MAX_ROWS, DIMENSION_MAX_ROWS
-from cashbook.operators.feed import (active_types, dimension_sides, join_accounts_split,
+from cashbook.operators.feed import (active_types, dimension_sides, join_accounts_split, of_main_accounts,
                                      join_types)
 from cashbook.operators.skew import DEFAULT_ROWS_PER_TASK
 from cashbook.operators.rules import COL_METRIC, COL_ORDER, COL_VALUE, rule_codes, rule_table
@@ -72,6 +72,8 @@ def pnl_long(t: BillingTables, lang: str = "en",
     # types bound the semi-joined ones)
     types, accounts, small_acc = dimension_sides(t, types, dim_max_rows, account_max_rows,
                                                  types_probe=active)
+    if not small_acc:
+        payments = of_main_accounts(payments, t)
     x = join_accounts_split(join_types(payments, types), accounts, small_acc, skew,
                             hot_rows_per_task)
     # The rule table is built from the fixed catalogue: a few hundred rows,
