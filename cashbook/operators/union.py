@@ -1,10 +1,14 @@
-"""Literal union form of the model (U1, U2): one branch per metric, UNION ALL.
+"""UNION ALL form of the model (U1, U2): one branch per metric over the wide source.
 
-This is the shape the model is written in -- every branch re-reads the wide
-``source`` -- and it is kept only as an independent cross-check of the
-single-pass form in :mod:`cashbook.operators.unpivot`.  The wide source is
+This is the shape the model is written in, kept as an independent cross-check
+of the single-pass form in :mod:`cashbook.operators.unpivot`.
+
+:func:`pnl_generated` makes the branches' rows from one scan: a generator
+turns every wide row into one struct per branch, with the branch's condition
+as a flag that is filtered after it.  :func:`pnl_union_form` is the literal
+union, in which every branch reads the wide source again; that source is
 written once as a Parquet table in the shared checkpoint folder, so the 34
-branches scan that stored result (each reading only its key columns and one
+branches scan the stored result (each reading only its key columns and one
 leaf column) instead of re-running the joins 34 times.
 
 Bag semantics: ``union`` keeps duplicates and matches columns by position;
@@ -14,8 +18,9 @@ the names come from the first branch, as in SQL.
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cashbook.functions.scalar import to_double, zero_if_null
@@ -31,15 +36,24 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, frames)
 
 
-def branches(wide: DataFrame, lang: str = "en") -> list[DataFrame]:
-    """One DataFrame per metric over the wide form (leaf columns named in ``lang``)."""
-    keys = [F.col(c) for c in KEY_COLUMNS]
+class Branch(NamedTuple):
+    """One SELECT of the union: rows of the wide source it keeps, and its three own columns."""
+    keep: Column
+    label: str
+    value: Column
+    order: int
+
+    def columns(self) -> list[Column]:
+        return [F.lit(self.label).alias(COL_METRIC), self.value.alias(COL_VALUE),
+                F.lit(self.order).cast(ORDER_TYPE).alias(COL_ORDER)]
+
+
+def model_branches(lang: str = "en") -> list[Branch]:
+    """The branches over the wide form (leaf columns named in ``lang``)."""
     out = []
     for leaf in LEAVES:
         col = F.col(f"`{leaf.label(lang)}`")
-        out.append(wide.filter(col.isNotNull()).select(
-            *keys, F.lit(leaf.label(lang)).alias(COL_METRIC), to_double(col).alias(COL_VALUE),
-            F.lit(leaf.order).cast(ORDER_TYPE).alias(COL_ORDER)))
+        out.append(Branch(col.isNotNull(), leaf.label(lang), to_double(col), leaf.order))
     for r in ROLLUPS:
         plus = [zero_if_null(to_double(F.col(f"`{leaf.label(lang)}`")))
                 for leaf, s in rollup_members(r.key) if s > 0]
@@ -48,14 +62,25 @@ def branches(wide: DataFrame, lang: str = "en") -> list[DataFrame]:
         total = reduce(lambda a, b: a + b, plus)
         if minus:
             total = total - reduce(lambda a, b: a + b, minus)
-        out.append(wide.filter(total != 0).select(
-            *keys, F.lit(r.label(lang)).alias(COL_METRIC), total.alias(COL_VALUE),
-            F.lit(r.order).cast(ORDER_TYPE).alias(COL_ORDER)))
+        out.append(Branch(total != 0, r.label(lang), total, r.order))
     return out
 
 
+def branches(wide: DataFrame, lang: str = "en") -> list[DataFrame]:
+    """One DataFrame per metric."""
+    keys = [F.col(c) for c in KEY_COLUMNS]
+    return [wide.filter(b.keep).select(*keys, *b.columns()) for b in model_branches(lang)]
+
+
+def pnl_generated(wide: DataFrame, lang: str = "en") -> DataFrame:
+    """The model's union from one scan of the wide source."""
+    rows = F.array(*[F.struct(F.coalesce(b.keep, F.lit(False)).alias("keep"), *b.columns())
+                     for b in model_branches(lang)])
+    return wide.select(*KEY_COLUMNS, F.inline(rows)).filter("keep").drop("keep")
+
+
 def pnl_union_form(wide: DataFrame, lang: str = "en", stage: bool = True) -> DataFrame:
-    """The model as the union of its 34 branches.
+    """The model as the literal union of its 34 branches.
 
     ``stage=True`` first writes the wide source to a fresh folder under the
     session's shared checkpoint folder and reads it back, cutting its lineage.
