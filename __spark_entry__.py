@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cashbook import oracle as O
 from cashbook.functions.scalar import local_time, to_double, zero_if_null
+from cashbook.functions.types import pg_type_of
 from cashbook.operators import feed as FD
 from cashbook.operators.broadcast import bounded_broadcast
 from cashbook.operators.rules import (BAR_CODES, EXPENSE_KEYS, GAMING_CODES, LEAVES,
@@ -24,7 +25,10 @@ from cashbook.plans import pnl
 from cashbook.session import scratch_dir
 from cashbook.sources import fixture_sources as FS
 from cashbook.sources.fixtures import fixture_table, fixture_tables
-from cashbook.sources.snapshot import FrameSource, SourceObject, copy_table, manifest, snapshot_sources
+from cashbook.sources.readers import write_csv_snapshot
+from cashbook.sources.snapshot import (FileSource, FrameSource, SourceObject, copy_table, manifest,
+                                       snapshot_sources)
+from cashbook.sources.tally import tally_of
 from cashbook.sources.testdata import read_table
 from cashbook.sources.warehouse import Warehouse
 
@@ -103,7 +107,7 @@ def q_join_club(spark, sf):
 
 
 def q_union_all_bag(spark, sf):
-    return pnl.pnl_union(fixture_tables(spark, sf), "en")
+    return pnl.pnl_rows(fixture_tables(spark, sf), "en")
 
 
 def q_scalar_cast_double(spark, sf):
@@ -153,6 +157,42 @@ def _staged(name):
     return run
 
 
+def q_snapshot_csv_split(spark, sf):
+    """A table dumped as one quoted CSV file with line breaks in its values, as a foreign system leaves it.
+
+    The file is read in blocks, cut at any byte.
+    """
+    root = scratch_dir(spark, "dump")
+    docs = read_table(spark, sf, "documents")
+    write_csv_snapshot(docs.coalesce(1), f"{root}/public/documents", max_records_per_file=None)
+    columns = [(f.name, pg_type_of(f.dataType)) for f in docs.schema.fields]
+    src = FileSource(spark, "dump", root, "csv", {("public", "documents"): columns}, split_bytes=1 << 20)
+    wh = _warehouse(spark)
+    copy_table(src, "public", "documents", wh)
+    return wh.table("public", "documents")
+
+
+def q_snapshot_verified(spark, sf):
+    """Copies through a CSV stage: the totals taken on the way must agree with the stored tables."""
+    wh = _warehouse(spark)
+    rep = snapshot_sources(spark, [FS.text_source(spark, sf)], wh, staging="csv",
+                           stage_root=scratch_dir(spark, "stage"))
+    rows = [(s, n, t.rows, tally_of(wh.table(s, n)) == t) for (s, n), t in rep.totals.items()]
+    return spark.createDataFrame(rows, "schema_name string, table_name string, n_rows bigint, verified boolean")
+
+
+def q_snapshot_numeric_fit(spark, sf):
+    """Unbounded numbers: a decimal, text for the column of over 38 digits, and the few rows with NaN set aside."""
+    wh = _warehouse(spark)
+    snapshot_sources(spark, [FS.number_source(spark, sf)], wh, most_unfit=0.01)
+    keys = ["l_orderkey", "l_linenumber"]
+    kept, aside = wh.table("public", "numbers"), wh.table("public", "numbers_unfit")
+    return kept.select(*keys, F.col("price").cast("double"), "wide", F.col("odd").cast("double"),
+                       F.lit(None).cast("string").alias("unfit")).unionByName(
+        aside.select(*keys, F.col("price").cast("double"), "wide", F.lit(None).cast("double").alias("odd"),
+                     F.array_join("unfit_columns", ",").alias("unfit")))
+
+
 def q_two_warehouses(spark, sf):
     """Both language models, each in a warehouse of its own and from its own accounts.
 
@@ -204,10 +244,10 @@ def q_view_replay(spark, sf):
     return wh.table("reports", "v_club_payments")
 
 
-def _refreshed_model(spark, sf, lang="en"):
+def _refreshed_model(spark, sf, lang="en", layout="rebalance"):
     wh = _warehouse(spark)
     snapshot_sources(spark, [FS.billing_source(spark, sf)], wh)
-    M.refresh_model(spark, wh, lang)
+    M.refresh_model(spark, wh, lang, layout=layout)
     return M.model_table(wh, lang)
 
 
@@ -220,7 +260,7 @@ def q_model_refresh(spark, sf):
 
 
 def q_model_layout_lookup(spark, sf):
-    return M.lookup(_refreshed_model(spark, sf, "en"), LOOKUP_CLUBS, LOOKUP_FROM, LOOKUP_TO)
+    return M.lookup(_refreshed_model(spark, sf, "en", "curve"), LOOKUP_CLUBS, LOOKUP_FROM, LOOKUP_TO)
 
 
 def _llm():
@@ -274,6 +314,9 @@ def _billing_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "snapshot_csv": _staged("documents"),
         "snapshot_csv_events": _staged("events"),
         "snapshot_csv_lineitem": _staged("lineitem"),
+        "snapshot_csv_split": q_snapshot_csv_split,
+        "snapshot_verified": q_snapshot_verified,
+        "snapshot_numeric_fit": q_snapshot_numeric_fit,
         "two_warehouses": q_two_warehouses,
         "snapshot_refresh": q_snapshot_refresh,
         "snapshot_two_sources": q_snapshot_two_sources,
@@ -399,6 +442,14 @@ def _billing_sql() -> dict[str, str]:
         "snapshot_csv": "SELECT * FROM documents",
         "snapshot_csv_events": "SELECT * FROM events",
         "snapshot_csv_lineitem": "SELECT * FROM lineitem",
+        "snapshot_csv_split": "SELECT * FROM documents",
+        "snapshot_numeric_fit": "WITH numbers AS (" + FS.NUMBERS.format(text="VARCHAR", lineitem="lineitem") + """)
+SELECT l_orderkey, l_linenumber, CAST(price AS DOUBLE) AS price, wide,
+       CASE WHEN odd <> 'NaN' THEN CAST(odd AS DOUBLE) END AS odd,
+       CASE WHEN odd = 'NaN' THEN 'odd' END AS unfit FROM numbers""",
+        "snapshot_verified": "\nUNION ALL\n".join(
+            f"SELECT 'public' AS schema_name, '{t}' AS table_name, count(*) AS n_rows, true AS verified FROM {t}"
+            for t in ("documents", "events", "lineitem")),
         "two_warehouses": _two_models_sql(),
         "snapshot_refresh": "SELECT * FROM orders",
         "snapshot_two_sources": _counts([

@@ -109,8 +109,9 @@ def _array_item(text: Column, inner: bool) -> Column:
     return F.when(plain, text).when(text.isNotNull(), F.concat(F.lit('"'), escaped, F.lit('"')))
 
 
-def coerce(df: DataFrame, columns: list[tuple[str, str]], strict: bool = False) -> DataFrame:
-    """Apply the warehouse type rule to ``df``.
+def coerce(df: DataFrame, columns: list[tuple[str, str]], strict: bool = False,
+           targets: dict[str, T.DataType] | None = None) -> DataFrame:
+    """Apply the warehouse type rule to ``df``; ``targets`` are columns whose type is settled already.
 
     ``columns`` is the ordered ``(name, pg_type)`` list of the source table;
     the result has exactly these columns, in this order, with the warehouse
@@ -119,7 +120,7 @@ def coerce(df: DataFrame, columns: list[tuple[str, str]], strict: bool = False)
     src_types = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for name, pg in columns:
-        target = spark_type(pg, strict)
+        target = (targets or {}).get(name) or spark_type(pg, strict)
         c = F.col("`" + name.replace("`", "``") + "`")
         if isinstance(target, T.StringType) and not isinstance(src_types[name], T.StringType):
             c = _as_text(c, src_types[name], pg)

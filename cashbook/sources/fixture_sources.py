@@ -33,7 +33,10 @@ ACTIVE_PAYMENTS_VIEW = ("SELECT p.id, p.date, p.amount, pt.method FROM billing.p
 CLUB_PAYMENTS_VIEW = ("SELECT v.id, v.date, v.id_club, c.time_zone, _(CAST(v.amount AS STRING)) "
                       "AS amount_label FROM reports.v_payments_local v "
                       "LEFT JOIN cntrl.club c ON c.id = v.id_club")
-ACTIVE_TYPES_VIEW = "SELECT id, profit, method FROM billing.payment_type WHERE state = 1"
+# an alias named like a schema, and an apostrophe and a schema name in comments and texts
+ACTIVE_TYPES_VIEW = ("-- it's only the active ones, see billing.payment_type\n"
+                     "SELECT billing.id, billing.profit, billing.method, 'billing.payment_type' AS \"from\"\n"
+                     "FROM billing.payment_type billing /* the club's billing.x */ WHERE billing.state = 1")
 PAYMENTS_LOCAL_VIEW = ("SELECT p.id, p.date, p.amount, bu.id_club FROM billing.payment p "
                        "JOIN billing.balance_user bu ON p.id_balance_user = bu.id "
                        "JOIN reports.v_active_types t ON t.id = p.id_payment_type")
@@ -86,6 +89,22 @@ def lineitem_source(spark: SparkSession, sf: str) -> FrameSource:
         ("public", "lineitem"): _t(spark, sf, "lineitem", declared=LINEITEM_TYPES)})
 
 
+# Numbers without a precision, as text: one column fits a decimal, one has values of over 38 digits, one has NaN.
+NUMBERS = ("SELECT l_orderkey, l_linenumber, CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS {text}) AS price, "
+           "CASE WHEN l_orderkey % 4 = 0 THEN concat(repeat('7', 30), CAST(l_orderkey AS {text}), '.', repeat('3', 12)) "
+           "ELSE CAST(l_partkey AS {text}) END AS wide, "
+           "CASE WHEN l_orderkey % 500 = 0 THEN 'NaN' ELSE CAST(CAST(l_discount AS DECIMAL(12,2)) AS {text}) END AS odd "
+           "FROM {lineitem}")
+
+
+def number_source(spark: SparkSession, sf: str) -> FrameSource:
+    def frame():
+        return spark.sql(NUMBERS.format(text="STRING", lineitem="{lineitem}"),
+                         lineitem=read_table(spark, sf, "lineitem", spread=True))
+    return FrameSource(spark, "numbers", {("public", "numbers"): SourceObject(
+        "r", frame, {"price": "numeric", "wide": "numeric", "odd": "numeric"})})
+
+
 def text_source(spark: SparkSession, sf: str) -> FrameSource:
     """Long prose, JSON strings and microsecond timestamps (CSV staging check)."""
     return FrameSource(spark, "docs", {

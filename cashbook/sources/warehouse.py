@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -96,15 +97,25 @@ class Warehouse:
                                f"give this warehouse a namespace of its own")
 
     # -- refresh --------------------------------------------------------
-    def replace(self, schema: str, name: str, df: DataFrame,
-                max_records_per_file: int | None = None) -> str:
-        """Replace the table's contents with ``df``; returns the new location."""
+    def replace(self, schema: str, name: str, df: DataFrame, max_records_per_file: int | None = None,
+                check: Callable[[str], None] | None = None) -> str:
+        """Replace the table's contents with ``df``; returns the new location.
+
+        ``check`` sees the new version before readers do; if it raises, the
+        version goes and the table stays as it was.
+        """
         self.ensure_schema(schema)
         location = self.new_location(schema, name)
         w = df.write.mode("errorifexists").format("parquet")
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", str(max_records_per_file))
         w.save(location)
+        if check is not None:
+            try:
+                check(location)
+            except Exception:
+                delete_path(self.spark, location)
+                raise
         self._point(schema, name, location)
         self._prune(schema, name)
         return location
@@ -135,9 +146,9 @@ class Warehouse:
             return []
         attached = []
         for sd in fs.listStatus(root):
-            if not sd.isDirectory():
-                continue
             schema = sd.getPath().getName()
+            if not sd.isDirectory() or schema.startswith("_"):
+                continue
             for td in fs.listStatus(sd.getPath()):
                 name = td.getPath().getName()
                 done = self.committed(schema, name)

@@ -238,16 +238,27 @@ def test_jdbc_source_orchestration_without_a_database(spark, sf_small):
         asked = 0
 
         def _query(self, sql):
-            assert "pg_class" in sql
             self.asked += 1
-            types = ["bigint", "bigint", "character(1)", "numeric(12,2)", "timestamp without time zone",
-                     "character varying(15)"]
-            fields = json.dumps([[f.name, t] for f, t in zip(orders.schema.fields, types)])
+            if "FROM information_schema.tables" in sql:
+                return spark.createDataFrame(
+                    [("sales", "orders", "BASE TABLE"), ("tiger", "x", "BASE TABLE"), ("sales", "v_open", "VIEW"),
+                     ("sales", "parent", "PARTITIONED TABLE"), ("sales", "tmp", "LOCAL TEMPORARY")],
+                    "schema string, name string, type string")
+            if "FROM information_schema.columns" in sql:
+                types = [("bigint", None, None, 64, 0, None), ("bigint", None, None, 64, 0, None),
+                         ("character", None, 1, None, None, None), ("numeric", None, None, 12, 2, None),
+                         ("timestamp without time zone", None, None, None, None, 6),
+                         ("character varying", None, 15, None, None, None)]
+                rows = [("sales", "orders", f.name, i, *t) for i, (f, t) in enumerate(zip(orders.schema.fields, types))]
+                return spark.createDataFrame(
+                    rows[::-1], "schema string, name string, column string, position int, data_type string, "
+                                "domain_name string, length int, digits int, scale int, fraction int")
+            if "pg_relation_size" in sql:
+                return spark.createDataFrame([("sales", "orders", 8192)], "schema string, name string, bytes long")
+            assert "FROM pg_views" in sql
             return spark.createDataFrame(
-                [("sales", "orders", "r", fields, None), ("tiger", "x", "r", None, None),
-                 ("sales", "v_open", "v", None, " SELECT o_orderkey FROM sales.orders WHERE o_orderstatus = 'O';"),
-                 ("sales", "parent", "p", None, None)],
-                "schema string, name string, kind string, fields string, definition string")
+                [("sales", "v_open", " SELECT o_orderkey FROM sales.orders WHERE o_orderstatus = 'O';")],
+                "schema string, name string, definition string")
 
         def read(self, schema, name):
             assert (schema, name) == ("sales", "orders")
@@ -268,10 +279,27 @@ def test_jdbc_source_orchestration_without_a_database(spark, sf_small):
     assert got.schema["o_totalprice"].dataType.simpleString() == "string"   # numeric(12,2) -> text
     assert got.schema["o_orderdate"].dataType.simpleString() == "timestamp_ntz"
     assert rep.views.created == [("sales", "v_open")]
-    assert src.asked == 1                           # one catalogue round trip
+    assert src.asked == 4                           # relations, columns, sizes and view texts, once each
     assert wh.table("sales", "v_open").count() == orders.filter("o_orderstatus = 'O'").count()
 
 
+def test_metadata_queries_and_type_spellings():
+    from cashbook.functions.types import spark_type
+    from cashbook.sources import catalog as C
+    for sql in (C.RELATIONS_QUERY, C.COLUMNS_QUERY, C.VIEW_TEXTS_QUERY):
+        assert "NOT IN ('pg_catalog', 'information_schema')" in sql
+    assert set(C.DATA_KINDS + C.VIEW_KINDS) <= set(C.KIND_OF.values())
+    spell = C.type_spelling
+    assert spell("numeric", digits=12, scale=2) == "numeric(12,2)"
+    assert spell("numeric") == "numeric" and spell("integer", digits=32, scale=0) == "integer"
+    assert spell("character varying", length=40) == "character varying(40)"
+    assert spell("timestamp without time zone", fraction=6) == "timestamp without time zone"
+    assert spell("timestamp with time zone", fraction=3) == "timestamp(3) with time zone"
+    assert spell("time without time zone", fraction=0) == "time(0) without time zone"
+    assert spell("integer", domain="positive") == "positive"
+    assert spark_type(spell("timestamp without time zone", fraction=3)).simpleString() == "string"
+
+
 def test_view_chain_attempts_are_linear_and_cycles_fail(spark, sf_small):
     wh = Warehouse(spark, scratch_dir(spark, "t-chain"), namespace="t_chain")
     wh.replace("s7", "base", read_table(spark, sf_small, "nation"))
