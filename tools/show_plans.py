@@ -58,6 +58,9 @@ def main() -> None:
          M.rebalanced(pnl.pnl_long(stored, "en"))),
         ("Model refresh write (layout='range'): range partitioning on (club, local time, row hash)",
          M.clustered(pnl.pnl_long(stored, "en"), M.range_count(spark, stored.payment))),
+        ("Model refresh write (layout='curve', that of a warehouse run): three broadcast lookups, one exchange by "
+         "partition number", M.along_curve(stored, "en", M.range_count(spark, stored.payment))),
+        ("The 34 branches from one scan of the wide form (`queries()['union_all_bag']`)", pnl.pnl_rows(stored, "en")),
         ("Lookup on the stored model: club and local-time filters pushed into the Parquet scan",
          M.lookup(M.model_table(wh, "en"), [5, 7], "1995-01-01", "1997-01-01")),
         ("Flagship on the fixture tables derived from the testdata (as `queries()['pnl_en']`)",
