@@ -46,11 +46,11 @@ BROADCAST_ROWS = 1_000_000
 
 # ------------------------------------------------------------------ anchors
 
-def stretches(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor hash, first start, starts) of the stretches of one text, in order."""
+def stretches(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor hash, first start, starts, place of the anchor) of the stretches of one text, in order."""
     if len(text) < length:
         z = np.zeros(0, np.int64)
-        return z.view(np.uint64), z, z
+        return z.view(np.uint64), z, z, z
     parts = []
     for base in range(0, len(text) - length + 1, PIECE):
         parts.append(_piece(text[base:base + PIECE + length - 1], length, base))
@@ -70,8 +70,8 @@ def _piece(text: np.ndarray, length: int, base: int):
     since = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
     least = np.minimum(since[:m - width + 1], upto[width - 1:m])
     first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-    return (gram[(least[first] & np.uint64(0xFFFFFF)).astype(np.int64)], first + base,
-            np.diff(np.append(first, len(least))))
+    at = (least[first] & np.uint64(0xFFFFFF)).astype(np.int64)
+    return gram[at], first + base, np.diff(np.append(first, len(least))), at + base
 
 
 # ------------------------------------------------------- suffix arrays, prefixes
@@ -224,7 +224,7 @@ def _anchors(texts: DataFrame, length: int) -> DataFrame:
             for lo, hi, data, off in text_slices(batch, "text"):
                 a, t, s = [], [], []
                 for i in range(hi - lo):
-                    anchor, start, _ = stretches(data[off[i]:off[i + 1]], length)
+                    anchor, start, *_ = stretches(data[off[i]:off[i + 1]], length)
                     if len(anchor):
                         a.append(anchor.view(np.int64)), s.append(start)
                         t.append(np.full(len(anchor), th[lo + i], np.int64))
@@ -235,7 +235,9 @@ def _anchors(texts: DataFrame, length: int) -> DataFrame:
 
 
 def _cut_out(texts: DataFrame, length: int) -> DataFrame:
-    """Stretches of (th, text, starts): rows of (anchor, same, bytes, n), and of (th, start, same).
+    """Stretches of (th, text, starts): rows of (anchor, same, bytes, n, at), and of (th, start, same).
+
+    ``at`` is the place of the anchor in the bytes.
 
     ``same`` is a hash of anchor and bytes.  A task gives each stretch's bytes
     once, with its number so far, and again when it has let them go.
@@ -249,7 +251,7 @@ def _cut_out(texts: DataFrame, length: int) -> DataFrame:
             for lo, hi, data, off in text_slices(batch, "text"):
                 for i in range(hi - lo):
                     text = data[off[i]:off[i + 1]]
-                    anchor, start, n = stretches(text, length)
+                    anchor, start, n, at = stretches(text, length)
                     keep = np.flatnonzero(np.isin(start, wanted[lo + i]))
                     for k in keep.tolist():
                         s = int(start[k])
@@ -260,7 +262,7 @@ def _cut_out(texts: DataFrame, length: int) -> DataFrame:
                         if have:
                             have[2] += 1
                         else:
-                            held[same] = [int(anchor[k:k + 1].view(np.int64)[0]), piece, 1]
+                            held[same] = [int(anchor[k:k + 1].view(np.int64)[0]), piece, 1, int(at[k]) - s]
                             size += len(piece)
             yield _rows(places, {})
             if size > 8 * SHARD_BYTES:
@@ -269,7 +271,7 @@ def _cut_out(texts: DataFrame, length: int) -> DataFrame:
         yield _rows([], held)
 
     return texts.select("th", "text", "starts").mapInArrow(
-        run, "th long, start long, same binary, anchor long, piece binary, n long")
+        run, "th long, start long, same binary, anchor long, piece binary, n long, at int")
 
 
 def _rows(places, held) -> pa.RecordBatch:
@@ -281,34 +283,81 @@ def _rows(places, held) -> pa.RecordBatch:
          pa.array([x[2] for x in places] + list(held), pa.binary()),
          pa.array(none + [x[0] for x in held.values()], pa.int64()),
          pa.array(none + [x[1] for x in held.values()], pa.binary()),
-         pa.array(none + [x[2] for x in held.values()], pa.int64())],
-        names=["th", "start", "same", "anchor", "piece", "n"])
+         pa.array(none + [x[2] for x in held.values()], pa.int64()),
+         pa.array(none + [x[3] for x in held.values()], pa.int32())],
+        names=["th", "start", "same", "anchor", "piece", "n", "at"])
+
+
+def _common(x: bytes, y: bytes) -> int:
+    """Length of the common beginning, by bisection."""
+    low, high = 0, min(len(x), len(y))
+    if x[:high] == y[:high]:
+        return high
+    while high - low > 1:
+        mid = (low + high) // 2
+        if x[low:mid] == y[low:mid]:
+            low = mid
+        else:
+            high = mid
+    return low
+
+
+def may_share(pieces: list[bytes], at: list[int], length: int) -> list[bool]:
+    """For stretches of one anchor, whether each may share a string of ``length`` bytes with another.
+
+    A shared string has the anchor at one place in both, so it lies within
+    what they have in common to the left and to the right of it.  The most that
+    a stretch has in common with any other on one side is found among its
+    neighbours in that side's order.
+    """
+    most = [0] * len(pieces)
+    for side in ([p[a:] for p, a in zip(pieces, at)], [p[:a][::-1] for p, a in zip(pieces, at)]):
+        order = sorted(range(len(pieces)), key=side.__getitem__)
+        best = [0] * len(pieces)
+        for i, j in zip(order, order[1:]):
+            n = _common(side[i], side[j])
+            best[i], best[j] = max(best[i], n), max(best[j], n)
+        most = [m + b for m, b in zip(most, best)]
+    return [m >= length for m in most]
 
 
 def _shards(pieces: DataFrame, length: int) -> DataFrame:
     """Per stretch: same, repeated (mask of starts, a byte each); and the sorted runs of shards that share an anchor.
 
-    Input rows: anchor, shard, of (shards of the anchor), same, piece, n.
+    Input rows: anchor, shard, of (shards of the anchor), same, piece, n, at.
+
+    Equal strings have their anchor at the same place, so no string occurs
+    twice inside one stretch, and a stretch that shares too little with any
+    other of its anchor (``may_share``) needs no suffix array: all or none of
+    its strings are repeated.
     """
     def run(batches):
         group: dict[bytes, list] = {}                 # of one shard of one anchor
         now, held, size = None, [], 0                 # held: (anchor, of, shard, same, piece, n)
+        alone = []                                    # stretches that are repeated as a whole
 
         def close():
             nonlocal group, size
-            for same, (anchor, of, shard, piece, n) in group.items():
+            if group and next(iter(group.values()))[1] == 1:
+                shares = may_share([x[3] for x in group.values()], [x[5] for x in group.values()], length)
+                for (same, (_, _, _, piece, n, _)), share in zip(list(group.items()), shares):
+                    if not share:
+                        del group[same]
+                        if n > 1:
+                            alone.append((same, b"\x01" * (len(piece) - length + 1)))
+            for same, (anchor, of, shard, piece, n, _) in group.items():
                 held.append((anchor, of, shard, same, piece, n))
                 size += len(piece)
             group = {}
 
         def flush():
             nonlocal held, size
-            if not held:
-                return
-            masks, ordered, fresh, first = repeated_starts([x[4] for x in held], length)
-            masks = [np.ones(len(m), bool) if x[5] > 1 else m for m, x in zip(masks, held)]
-            rows = [(x[3], m.view(np.uint8).tobytes()) for x, m in zip(held, masks) if m.any()]
-            runs = []
+            rows, runs = list(alone), []
+            alone.clear()
+            if held:
+                masks, ordered, fresh, first = repeated_starts([x[4] for x in held], length)
+                masks = [np.ones(len(m), bool) if x[5] > 1 else m for m, x in zip(masks, held)]
+                rows += [(x[3], m.view(np.uint8).tobytes()) for x, m in zip(held, masks) if m.any()]
             if any(x[1] > 1 for x in held):
                 begins = ordered[fresh]               # one of each distinct string, in order
                 owner = np.searchsorted(first, begins, side="right") - 1
@@ -325,22 +374,22 @@ def _shards(pieces: DataFrame, length: int) -> DataFrame:
                 names=["same", "mask", "anchor", "bucket", "shard", "keys", "refs"])
 
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(6)]
-            for anchor, shard, of, same, piece, n in zip(*cols):
+            cols = [batch.column(i).to_pylist() for i in range(7)]
+            for anchor, shard, of, same, piece, n, at in zip(*cols):
                 if (anchor, shard) != now:
                     close()
                     now = (anchor, shard)
-                    if size >= SHARD_BYTES:
+                    if size >= SHARD_BYTES or len(alone) >= 10_000:
                         yield from flush()
                 have = group.get(same)
                 if have:
                     have[4] += n
                 else:
-                    group[same] = [anchor, of, shard, piece, n]
+                    group[same] = [anchor, of, shard, piece, n, at]
         close()
         yield from flush()
 
-    return pieces.select("anchor", "shard", "of", "same", "piece", "n").mapInArrow(
+    return pieces.select("anchor", "shard", "of", "same", "piece", "n", "at").mapInArrow(
         run, "same binary, mask binary, anchor long, bucket int, shard int, keys binary, refs binary")
 
 
@@ -400,14 +449,14 @@ def _sent_if_few(table: DataFrame) -> DataFrame:
 
 
 def repeated_places(texts: DataFrame, length: int) -> DataFrame:
-    """(th, covered): per text hash, (start, mask of starts, a byte each) of its repeated strings."""
+    """(th, covered): per text hash, (start, parts: (shift, mask of starts, a byte each)) of its repeated strings."""
     anchors = stored(_anchors(texts, length), "suffix-anchors")
     often = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
     wanted = stored(anchors.join(often, "anchor").groupBy("th").agg(F.collect_set("start").alias("starts")),
                     "suffix-wanted")
     touched = texts.select("th", "text").join(_sent_if_few(wanted.select("th")), "th", "left_semi")
     cut = stored(_cut_out(touched.join(wanted, "th"), length), "suffix-stretches")
-    pieces = cut.filter("anchor IS NOT NULL").select("anchor", "same", "piece", "n")
+    pieces = cut.filter("anchor IS NOT NULL").select("anchor", "same", "piece", "n", "at")
     many = (pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > SHARD_STRETCHES)
             .select("anchor", F.ceil(F.col("rows") / SHARD_STRETCHES).cast("int").alias("of")))
     of = F.coalesce("of", F.lit(1))
@@ -420,9 +469,11 @@ def repeated_places(texts: DataFrame, length: int) -> DataFrame:
     places = cut.filter("th IS NOT NULL").select("th", "start", "same").distinct()
     # starts found across shards, as masks of one start
     single = across.select("same", F.col("at").cast("long").alias("shift"), F.lit(b"\x01").alias("mask"))
-    found = masks.select("same", F.lit(0).cast("long").alias("shift"), "mask").unionByName(single)
+    # one row a stretch, so that the join gives one row a place
+    found = (masks.select("same", F.lit(0).cast("long").alias("shift"), "mask").unionByName(single)
+             .groupBy("same").agg(F.collect_list(F.struct("shift", "mask")).alias("parts")))
     return (places.join(found, "same").groupBy("th")
-            .agg(F.collect_list(F.struct((F.col("start") + F.col("shift")).alias("start"), "mask")).alias("covered")))
+            .agg(F.collect_list(F.struct("start", "parts")).alias("covered")))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -449,9 +500,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     t = data[off[i]:off[i + 1]]
                     step = np.zeros(len(t) + 1, np.int64)
                     for p in places[lo + i]:
-                        at = np.flatnonzero(np.frombuffer(p["mask"], np.uint8)) + p["start"]
-                        np.add.at(step, at, 1)
-                        np.add.at(step, at + length, -1)
+                        for part in p["parts"]:
+                            at = np.flatnonzero(np.frombuffer(part["mask"], np.uint8)) + p["start"] + part["shift"]
+                            step[at] += 1                     # distinct starts
+                            step[at + length] -= 1
                     gone = np.cumsum(step[:-1]) > 0
                     left = t[~gone].tobytes()
                     removed.append(int(gone.sum()))

@@ -78,6 +78,45 @@ def test_remove_repeats(docs, rows, monkeypatch, stretches, few):
     assert got == expected_removal(rows, 200)
 
 
+def test_remove_repeats_across_the_seams_of_pieces(docs, rows, monkeypatch):
+    """Texts far longer than a piece: strings that start on either side of a seam are found."""
+    monkeypatch.setattr(suffix_dedup, "PIECE", 256)
+    got = Counter(tuple(bytes(x) if isinstance(x, bytearray) else x for x in r)
+                  for r in remove_repeats(docs, length=60).collect())
+    assert got == expected_removal(rows, 60)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_no_string_occurs_twice_in_a_stretch(seed):
+    """Which is why an anchor of one distinct stretch needs no suffix array."""
+    r = random.Random(seed)
+    text = r.choice([b"xyz" * 300, b"ab" * 200 + bytes(r.choices(b"ab", k=500)), bytes(r.choices(b"abc ", k=900))])
+    anchor, first, n, at = suffix_dedup.stretches(np.frombuffer(text, np.uint8), 40)
+    assert n.sum() == len(text) - 39
+    assert ((first + n - 1 <= at) & (at <= first + 40 - suffix_dedup.GRAM)).all()     # in every string of the stretch
+    for start, k in zip(first.tolist(), n.tolist()):
+        strings = [text[i:i + 40] for i in range(start, start + k)]
+        assert len(set(strings)) == k
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_stretches_that_share_are_kept(seed):
+    r = random.Random(seed)
+    core = bytes(r.choices(b"abc", k=30))
+    pieces, at = [], []
+    for _ in range(12):
+        left, right = bytes(r.choices(b"ab", k=r.randint(0, 12))), bytes(r.choices(b"ab", k=r.randint(0, 12)))
+        pieces.append(left + core + right)
+        at.append(len(left))
+    kept = suffix_dedup.may_share(pieces, at, 36)
+    for i, (p, a) in enumerate(zip(pieces, at)):
+        most = max(suffix_dedup._common(p[a:], q[b:]) + suffix_dedup._common(p[:a][::-1], q[:b][::-1])
+                   for j, (q, b) in enumerate(zip(pieces, at)) if j != i)
+        assert kept[i] or most < 36
+    x, y = core, core[:17] + b"!" + core[18:]
+    assert suffix_dedup._common(x, y) == 17 and suffix_dedup._common(x, x[:9]) == 9 and suffix_dedup._common(b"", x) == 0
+
+
 def test_remove_repeats_empty(no_docs):
     assert remove_repeats(no_docs).count() == 0
 
