@@ -1,13 +1,15 @@
 """Exact dedup over an extendible-hash index, in DataFrame operations only.
 
-1. Every distinct normalised text becomes one index entry: rows are collapsed
-   by (hash key, bytes) with partial aggregation before the exchange, so a
-   group of copies of any size costs one entry per map task.  Equal keys with
-   different bytes give several entries: a chain.
-2. A directory over the leading key bits is doubled while a bucket holds more
-   entries than its capacity (``split_directory``); buckets are key ranges,
-   written to the shared folder, each owned by the task of its range.
-3. Each row looks its entry up by key.  Only where a chain holds several
+1. The distinct hash keys of the normalised texts are counted.  A directory
+   over their leading bits is doubled while a bucket holds more keys than its
+   capacity (``split_directory``); buckets are key ranges.
+2. Rows are routed through the directory.  They are collapsed by (bucket, key,
+   bytes) in ``SALTS`` parts of each group first, so a group of copies of any
+   size sends a few entries, then every bucket's entries go to its owner task.
+3. The owner settles its key range: entries of one key are chained, their
+   bytes compared, and the parts of each text put together.  The entries are
+   the index, written to the shared folder.
+4. Each row looks its entry up by key.  Only where a chain holds several
    texts are the bytes themselves compared again.
 """
 
@@ -20,6 +22,8 @@ from cashbook.llm.common import SPACES, stored
 
 #: Histogram bits read per pass while the directory is doubled.
 STEP_BITS = 8
+#: Parts in which the rows of one text are collapsed before they go to the owner of their bucket.
+SALTS = 16
 
 
 def _prefix(bits: int):
@@ -107,13 +111,14 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the directory has some thousands of buckets, 2048 entries at least.
     """
     rows = _rows(df, id_col, text_col, key_bits)
-    chains = rows.groupBy("key", "norm").agg(F.count(F.lit(1)).alias("n"), _best())
-    entries = stored(chains.select("key", F.sha2("norm", 256).alias("sha"), "n", "best"), "dedup-entries")
-    total = entries.count()
-    depth, directory = split_directory(entries, bucket_rows or max(2048, total // 2048))
+    keys = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")), "dedup-keys")
+    depth, directory = split_directory(keys, bucket_rows or max(2048, keys.count() // 2048))
     bucket = F.element_at(F.lit(directory), (_prefix(depth) + 1).cast("int"))
-    # one owner task per key range; the range is its bucket
-    index = stored(entries.withColumn("bucket", bucket).repartition("bucket")
+    sent = (rows.groupBy(bucket.alias("bucket"), "key", "norm", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"))
+            .agg(F.count(F.lit(1)).alias("n"), _best()).repartition("bucket"))
+    # inside the owner task of the bucket: no further exchange
+    settled = sent.groupBy("bucket", "key", "norm").agg(F.sum("n").alias("n"), F.min("best").alias("best"))
+    index = stored(settled.select("bucket", "key", F.sha2("norm", 256).alias("sha"), "n", "best")
                    .sortWithinPartitions("bucket", "key"), "dedup-index")
     chained = index.groupBy("bucket", "key").agg(F.count(F.lit(1)).alias("texts"))
     several = chained.filter("texts > 1").select("key")

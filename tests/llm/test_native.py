@@ -34,6 +34,20 @@ def test_exact_dedup(docs, rows, key_bits, bucket_rows):
     assert got == expected_dedup(rows)
 
 
+def test_owners_settle_their_buckets(docs, monkeypatch):
+    """Entries go to their buckets by one exchange on the bucket, and are put together there."""
+    from cashbook.llm import exact_dedup as module
+    plans = {}
+    keep = module.stored
+    monkeypatch.setattr(module, "stored", lambda df, tag: plans.setdefault(
+        tag, df._jdf.queryExecution().executedPlan().toString()) and keep(df, tag))
+    exact_dedup(docs, bucket_rows=3).count()
+    last = [x for x in plans["dedup-index"].splitlines() if "Exchange" in x][0]
+    assert "hashpartitioning(bucket" in last and "key" not in last.split("hashpartitioning(")[1].split(",")[0]
+    depth, directory = split_directory(docs.selectExpr("xxhash64(text) AS key").distinct(), 3)
+    assert len(directory) == 1 << depth and len(set(directory)) > 4
+
+
 def test_exact_dedup_empty(no_docs):
     assert exact_dedup(no_docs).count() == 0
 
@@ -171,5 +185,28 @@ def test_sharding_one_text_for_all(spark):
     assert len(n) == 4 and max(n.values()) - min(n.values()) <= 30
 
 
+def test_sharding_keeps_columns_of_its_own_names(spark):
+    d = spark.createDataFrame([(i, f"text {i}", i * 10, f"s{i}", i, -i) for i in range(20)],
+                              "doc_id long, text string, Shard int, slot string, part int, slot_in int")
+    out = shard(d, 4)
+    assert out.columns == ["doc_id", "text", "Shard_in", "slot_in_in", "part", "slot_in", "shard", "slot"]
+    rows = out.collect()
+    assert all((r["Shard_in"], r["slot_in_in"], r["part"], r["slot_in"]) == (10 * r.doc_id, f"s{r.doc_id}", r.doc_id, -r.doc_id)
+               for r in rows) and len(rows) == 20
+
+
+def test_ranges_follow_the_bytes(spark, monkeypatch):
+    from cashbook.llm import sharding
+    monkeypatch.setattr(sharding, "RANGE_BYTES", 500)
+    asked = []
+    cut = sharding.splitters
+    monkeypatch.setattr(sharding, "splitters", lambda keys, n, t: asked.append(n) or cut(keys, n, t))
+    d = spark.range(2000).selectExpr("id AS doc_id", "repeat('b', 49) AS text")        # 100,000 bytes
+    assert shard(d, 4).select("shard", "slot").distinct().count() == 2000
+    monkeypatch.setattr(sharding, "RANGE_BYTES", 1 << 30)
+    shard(d, 4)
+    assert asked == [4 * 50, 4 * 16]
+
+
 def test_sharding_empty(no_docs):
     assert shard(no_docs, 16).count() == 0
