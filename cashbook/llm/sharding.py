@@ -7,8 +7,9 @@ parts of every cell that still holds a boundary -- over all partitions, and
 goes on inside the one part where the boundary falls, until that part is
 within the tolerance or is a single key.  Then the rows are exchanged once.
 
-Each shard is cut into ``parts`` ranges of near-equal bytes in the same way.
-A range is the unit of exchange, so a shard may be larger than any task.
+Each shard is cut into ranges of near-equal bytes in the same way, of about
+``RANGE_BYTES`` each.  A range is the unit of exchange, so a shard may be larger
+than any task.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 from cashbook.llm.common import stored
 
 STEP = 8
+#: Bytes of a range, and the least and most ranges of a shard (the driver holds one boundary each).
+RANGE_BYTES, LEAST_PARTS, MOST_PARTS = 64 << 20, 16, 512
 LOW = -(1 << 63)
 END = 1 << 63
 
@@ -142,20 +145,40 @@ def _longs(values: list[int]) -> Column:
     return (F.array(*[F.lit(v).cast("long") for v in values]) if values else F.array()).cast("array<bigint>")
 
 
+def _own_names(columns: list[str]) -> list[str]:
+    """The input columns' names beside the two that are added."""
+    added = ("shard", "slot")
+    taken = {c.lower() for c in columns} | set(added)
+    out = []
+    for name in columns:
+        if name.lower() in added:
+            while name.lower() in taken:
+                name += "_in"
+            taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def shard(df: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text",
-          parts: int = 16, tolerance: float = 0.01) -> DataFrame:
+          parts: int | None = None, tolerance: float = 0.01) -> DataFrame:
     """The rows with shard (0 .. n_shards - 1) and slot (gapless from 0 in each shard).
 
-    Size is the UTF-8 bytes of the text plus one (null text: 1).  Shard sizes
+    Size is the UTF-8 bytes of the text plus one (null text: 1).  Each shard is
+    exchanged in ``parts`` ranges, by default 16, or more of ``RANGE_BYTES`` each.  Shard sizes
     differ from an even share by about ``tolerance`` / ``parts`` of it, or by
     the one key that straddles a boundary: a document larger than a shard
     leaves shards uneven or empty.  Equal texts are neighbours, but a large
     group may span shards.  Rows that agree in text and id stay together.
-    Null ids are equal to each other.  An empty table gives an empty result.
+    Null ids are equal to each other.  Input columns named shard or slot (in
+    any case) are kept with ``_in`` after their names.  An empty table gives
+    an empty result.
     """
-    own = [F.col(f"`{c}`") for c in df.columns]
+    own = [F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, _own_names(df.columns))]
     rows = df.select(F.struct(*own).alias("row"), *order_key(id_col, text_col), byte_size(text_col).alias("size"))
     keys = stored(rows.select("h", "k", "size"), "shard-keys")
+    if parts is None:
+        size = keys.agg(F.sum("size")).first()[0] or 0
+        parts = min(MOST_PARTS, max(LEAST_PARTS, -(-size // (n_shards * RANGE_BYTES))))
     bounds, _ = splitters(keys, n_shards * parts, tolerance)
     part = range_of(bounds)
     counts = {r.part: r.n for r in keys.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
