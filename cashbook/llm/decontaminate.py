@@ -1,9 +1,11 @@
 """Benchmark decontamination with a generalised suffix automaton over item words.
 
-The items are the bounded side: they are cut into blocks of at most
-``BLOCK_BYTES`` text bytes, one automaton each, sent to the tasks.  Documents
-stream through: a word that is unknown to the items, or a pair of neighbours
-that no item has, ends a match, so only runs of known pairs enter the
+The items are dealt to blocks of about ``BLOCK_BYTES`` text bytes, and a task
+builds one automaton of each.  Documents stream through ``BLOCKS_A_SCAN``
+automata in one scan; with more blocks, further scans add to the hits of the
+ones before, so what is sent to the tasks at once has a bound whatever the
+benchmark.  A word that is unknown to the items, or a pair of neighbours
+that no item has, ends a match, so only runs of known pairs enter an
 automaton.  There the longest matching length is tracked word by word; where
 it reaches the window, the words back to the window's start are hit.
 """
@@ -18,10 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cashbook.llm.common import ALNUM, LOWER, text_slices, word_hashes, word_spans
+from cashbook.llm.common import ALNUM, LOWER, stored, text_slices, word_hashes, word_spans
 
-#: Item text bytes per automaton (some hundred MB of states at most).
-BLOCK_BYTES = 1 << 20
+#: Item text bytes per automaton (some hundred MB of states at most), and automata in one scan of the documents.
+BLOCK_BYTES, BLOCKS_A_SCAN = 1 << 20, 2
 
 
 class SuffixAutomaton:
@@ -175,6 +177,95 @@ def _scan(blocks: list[dict], data: np.ndarray, offsets: np.ndarray):
     return starts, ends, first, hit, longest, found
 
 
+def automata(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> tuple[DataFrame, int]:
+    """(block, automaton): one pickled automaton a block, stored; and the number of blocks."""
+    items = (benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("name"),
+                              F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("words")).distinct())
+    size = items.agg(F.sum(F.octet_length("words")).alias("n")).first()["n"] or 0
+    n_blocks = max(1, -(-size // BLOCK_BYTES))
+
+    def build(batches):
+        now, held = None, []
+
+        def out():
+            return pa.RecordBatch.from_arrays(
+                [pa.array([now], pa.int32()), pa.array([pickle.dumps(_block(held, window))], pa.binary())],
+                names=["block", "automaton"])
+        for batch in batches:
+            for block, name, words in zip(*(c.to_pylist() for c in batch.columns)):
+                if block != now and held:
+                    yield out()
+                    held = []
+                now = block
+                held.append((name, words))
+        if held:
+            yield out()
+
+    dealt = items.select(F.pmod(F.xxhash64("name", "words"), F.lit(n_blocks)).cast("int").alias("block"), "name", "words")
+    built = (dealt.repartition(n_blocks, "block").sortWithinPartitions("block", "name", "words")
+             .mapInArrow(build, "block int, automaton binary"))
+    return stored(built, "scan-automata"), n_blocks
+
+
+def _stream(sent: list, last: bool):
+    """A scan of (row, text, hits, longest, items) through the sent automata.
+
+    Adds to the hits, and with ``last`` derives the result's columns from them.
+    """
+    def out(batch, cols, kinds):
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), *[pa.array(cols[k], t) for k, t in kinds.items()]], names=["row", *kinds])
+
+    def scan(batches):
+        blocks = [pickle.loads(b.value) for b in sent]
+        for batch in batches:
+            cols: dict[str, list] = {k: [] for k in (
+                "n_words", "n_hit", "longest", "items", "cleaned", "hits_", "longest_", "items_")}
+            before = [batch.column(i).to_pylist() for i in (2, 3, 4)]
+            for lo, hi, data, off in text_slices(batch, "scan_text_"):
+                starts, ends, first, hit, longest, found = _scan(blocks, data, off)
+                for i in range(hi - lo):
+                    a, z = int(first[i]), int(first[i + 1])
+                    h = hit[a:z]
+                    had, length, names = (x[lo + i] for x in before)
+                    if had:
+                        h |= np.unpackbits(np.frombuffer(had, np.uint8), count=z - a).astype(bool)
+                    n_hit = int(h.sum())
+                    names = sorted(set(names) | found.get(i, set()))
+                    length = max(length, int(longest[a:z].max()) if z > a else 0)
+                    if not last:
+                        cols["hits_"].append(np.packbits(h).tobytes() if n_hit else None)
+                        cols["longest_"].append(length)
+                        cols["items_"].append(names)
+                        continue
+                    cols["n_words"].append(z - a)
+                    cols["n_hit"].append(n_hit)
+                    cols["longest"].append(length)
+                    cols["items"].append(names)
+                    cols["cleaned"].append(_without(h, starts[a:z], ends[a:z], data, int(off[i]), int(off[i + 1]))
+                                           if n_hit else None)
+            if last:
+                done = out(batch, cols, {"n_words": pa.int64(), "n_hit": pa.int64(), "longest": pa.int64(),
+                                         "items": pa.list_(pa.string()), "cleaned": pa.binary()})
+                yield done.set_column(5, "cleaned", done.column(5).cast(pa.string()))
+            else:
+                kept = out(batch, cols, {"hits_": pa.binary(), "longest_": pa.int64(), "items_": pa.list_(pa.string())})
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *kept.columns[1:]],
+                                                 names=["row", "scan_text_", "hits_", "longest_", "items_"])
+    return scan
+
+
+def _without(hit: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: np.ndarray, begin: int, end: int) -> bytes:
+    """The text from ``begin`` to ``end`` without its hit runs, from the first letter of a run to its last."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], hit.view(np.int8), [0]))))
+    kept, at = [], begin
+    for b, e in zip(edges[::2], edges[1::2]):
+        kept.append(data[at:int(starts[b])].tobytes())
+        at = int(ends[e - 1])
+    kept.append(data[at:end].tobytes())
+    return b"".join(kept)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", window: int = 10) -> DataFrame:
     """Every row with its contamination: ``row`` (all columns), n_words, n_hit, longest, items, cleaned.
@@ -189,65 +280,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     Null texts have no words (cleaned: null).  Items that are null, empty or
     repeated are allowed; a null item id is the string ``null``.  With no
-    items nothing is hit.  The items are collected in blocks of ``BLOCK_BYTES``;
-    documents pass all blocks in one scan.
+    items nothing is hit.
     """
-    rows = (benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("name"),
-                             F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("words"))
-            .distinct())
+    built, n_blocks = automata(benchmark, item_col, item_text_col, window)
     sc = docs.sparkSession.sparkContext
-    blocks, block, size = [], [], 0
-    for r in rows.toLocalIterator():
-        block.append((r.name, r.words))
-        size += len(r.words.encode())
-        if size >= BLOCK_BYTES:
-            blocks.append(sc.broadcast(pickle.dumps(_block(block, window))))
-            block, size = [], 0
-    if block or not blocks:
-        blocks.append(sc.broadcast(pickle.dumps(_block(block, window))))
-
-    def scan(batches):
-        one = [pickle.loads(blocks[0].value)] if len(blocks) == 1 else None
-        for batch in batches:
-            cols: dict[str, list] = {k: [] for k in ("n_words", "n_hit", "longest", "items", "cleaned")}
-            for lo, hi, data, off in text_slices(batch, "scan_text_"):
-                parts = [_scan(one, data, off)] if one else [
-                    _scan([pickle.loads(b.value)], data, off) for b in blocks]
-                starts, ends, first = parts[0][:3]
-                hit = np.logical_or.reduce([p[3] for p in parts])
-                longest = np.maximum.reduce([p[4] for p in parts])
-                for i in range(hi - lo):
-                    a, z = int(first[i]), int(first[i + 1])
-                    h = hit[a:z]
-                    n_hit = int(h.sum())
-                    names = sorted(set().union(*[p[5].get(i, ()) for p in parts])) if n_hit else []
-                    cols["n_words"].append(z - a)
-                    cols["n_hit"].append(n_hit)
-                    cols["longest"].append(int(longest[a:z].max()) if z > a else 0)
-                    cols["items"].append(names)
-                    if not n_hit:
-                        cols["cleaned"].append(None)
-                        continue
-                    edges = np.flatnonzero(np.diff(np.concatenate(([0], h.view(np.int8), [0]))))
-                    kept, at = [], int(off[i])
-                    for b, e in zip(edges[::2], edges[1::2]):
-                        kept.append(data[at:int(starts[a + b])].tobytes())
-                        at = int(ends[a + e - 1])
-                    kept.append(data[at:off[i + 1]].tobytes())
-                    cols["cleaned"].append(b"".join(kept))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(cols["n_words"], pa.int64()), pa.array(cols["n_hit"], pa.int64()),
-                 pa.array(cols["longest"], pa.int64()), pa.array(cols["items"], pa.list_(pa.string())),
-                 pa.array(cols["cleaned"], pa.binary()).cast(pa.string())],
-                names=["row", "n_words", "n_hit", "longest", "items", "cleaned"])
-
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                      F.col(text_col).cast("string").alias("scan_text_"))
+                      F.col(text_col).cast("string").alias("scan_text_"), F.lit(None).cast("binary").alias("hits_"),
+                      F.lit(0).cast("long").alias("longest_"), F.array().cast("array<string>").alias("items_"))
+    starts = range(0, n_blocks, BLOCKS_A_SCAN)
+    for first in starts:
+        blobs = [r["automaton"] for r in built.filter(F.col("block").between(first, first + BLOCKS_A_SCAN - 1))
+                 .orderBy("block").collect()]
+        sent = [sc.broadcast(bytes(b)) for b in blobs]
+        if first != starts[-1]:
+            own = stored(own.mapInArrow(_stream(sent, False), own.schema), "scan-hits")
     schema = T.StructType([own.schema["row"], T.StructField("n_words", T.LongType()),
                            T.StructField("n_hit", T.LongType()), T.StructField("longest", T.LongType()),
                            T.StructField("items", T.ArrayType(T.StringType())),
                            T.StructField("cleaned", T.StringType())])
-    return own.mapInArrow(scan, schema).withColumn(
+    return own.mapInArrow(_stream(sent, True), schema).withColumn(
         "cleaned", F.coalesce("cleaned", F.col(f"row.`{text_col}`").cast("string")))
 
 
