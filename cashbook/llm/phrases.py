@@ -50,6 +50,8 @@ MOST_RANGES = 1 << 15
 SPLIT_WINDOWS = 64
 #: Bits of a word's number where three fit into one sort key.
 NUMBER_BITS = 21
+#: Parts of a language that are ranked before the whole.
+LAST_PARTS = 32
 
 
 # ------------------------------------------------------------------------ runs
@@ -276,7 +278,7 @@ def phrase_counts(texts: DataFrame, least: int) -> DataFrame:
             yield from merged(held)
 
     parts = texts.mapInArrow(cut, "part int, blob binary")
-    runs = stored(parts.repartition(ranges, "part").sortWithinPartitions("part")
+    runs = stored(parts.repartitionById(ranges, "part")
                   .mapInArrow(merge, "words array<string>, a long, whole boolean"), "phrase-runs")
     ends = runs.filter("NOT whole").groupBy("words").agg(F.sum("a").alias("a"))
     whole = runs.filter("whole").select("words", "a")
@@ -417,7 +419,13 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     suffix = _pass(phrases.select(turned.alias("words"), "a")).withColumn("side", F.lit(1))
     both = prefix.unionByName(suffix.withColumn("words", turned)).select("words", "side", "a", "parts", "best")
     scored = _scored(stored(both, "phrase-sides"), least, percent)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
+    # a language's best are among the best of its parts: what meets in the last task has a fixed bound
+    best = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(LAST_PARTS))
+    some = (scored.withColumn("part", part)
+            .withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*best)))
+            .filter(F.col("rank") <= top).drop("rank", "part"))
+    ranked = (some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best)).cast("long"))
+              .filter(F.col("rank") <= top))
     total = counts.filter(F.size("words") == 1).select(lang.alias("lang"), F.col("a").alias("n"))
     return ranked.join(total, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
