@@ -36,6 +36,24 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def most_frequent(counts: DataFrame, n_col: str, most: int) -> DataFrame:
+    """The rows of the largest counts, at most ``most`` of them, whole classes of about equal counts.
+
+    Their least count is read off a histogram (sixteen classes for each
+    doubling, so under a thousand rows come to the driver), and what is above
+    it has a known size.
+    """
+    step = F.floor(F.log2(n_col) * 16).cast("int")
+    held = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("rows"), F.min(n_col).alias("low")).collect()
+    least, rows = None, 0
+    for r in sorted(held, key=lambda r: -r["step"]):
+        rows += r["rows"]
+        if rows > most:
+            break
+        least = r["low"]
+    return counts.filter(F.col(n_col) >= least) if least is not None else counts.limit(0)
+
+
 def held_out(id_col: str, modulus: int, remainder: int):
     """True where crc32(doc_id as text) mod ``modulus`` equals ``remainder``; a null id is never held out."""
     crc = F.crc32(F.col(id_col).cast("string").cast("binary"))

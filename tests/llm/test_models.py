@@ -63,6 +63,71 @@ def test_rare_words_join_to_the_same_counts(docs, monkeypatch):
     monkeypatch.setattr(lm, "FREQUENT", 64)
     few = {(r.doc_id, r.n_tokens, round(r.base_score, 6)): round(r.score, 4) for r in lm.score_documents(docs).collect()}
     assert full.keys() == few.keys()
+    assert all(abs(full[k] - few[k]) < 1e-3 * (1 + abs(full[k])) for k in full)
+
+
+def test_lm_scores_equal_brute_force(docs, rows, monkeypatch):
+    """Every token: the class's normalised probability after two classes, times the word's share of its class."""
+    monkeypatch.setattr(lm, "train", lambda cells, k, share, seed=3: lm.new_model(k, share, 5))
+    monkeypatch.setattr(lm, "FREQUENT", 90)
+    seen = {}
+
+    def word(w):
+        if w not in seen:
+            data = np.frombuffer(w.encode(), np.uint8)
+            h, ending, _ = lm.tokens(data, np.array([0, len(data)]))
+            seen[w] = (int(h[:1].view(np.int64)[0]), int(ending[0]))
+        return seen[w]
+    texts = [(i, re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER))) for i, t, *_ in rows]
+    training = [t for i, t in texts if not held(i, 10, 0)]
+    c = Counter(w for t in training for w in t)
+    own = sorted(c, key=lambda w: (-c[w], word(w)[0]))[:lm.OWN]
+    number = {w: k for k, w in enumerate(sorted(own, key=lambda w: word(w)[0] % (1 << 64)))}
+    end, size = len(own), len(own) + 1 + lm.ENDINGS
+    inside, kinds = Counter(), Counter()
+    for w in c:
+        if w not in number:
+            inside[word(w)[1]] += c[w]
+            kinds[word(w)[1]] += 1
+
+    def class_of(w):
+        return end if w is None else number.get(w, end + 1 + word(w)[1])
+    share = Counter(class_of(w) for t in training for w in t + [None])
+    share = np.array([share.get(k, 0) + 1.0 for k in range(size)])
+    m = lm.new_model(size, share / share.sum(), 5)
+    cached = {}
+
+    def log_p(two, one):
+        if (two, one) not in cached:
+            s = (m["in"][one] @ m["one"] + m["in"][two] @ m["two"]) @ m["out"].T + m["bias"]
+            cached[two, one] = (s - np.log(np.exp(s).sum())) / np.log(10)
+        return cached[two, one]
+    want = []
+    for i, t in texts:
+        two = one = size
+        score = 0.0
+        for w in t + [None]:
+            k = class_of(w)
+            score += log_p(two, one)[k]
+            if k > end:
+                e = word(w)[1]
+                score += math.log10((c.get(w, 0) + 0.1) / (inside[e] + 0.1 * (kinds[e] + 1)))
+            two, one = one, k
+        want.append((i is None, i or 0, len(t) + 1, score))
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.score) for r in lm.score_documents(docs).collect())
+    for a, b in zip(got, sorted(want)):
+        assert a[:3] == b[:3] and abs(a[3] - b[3]) < 1e-4 * (1 + abs(b[3]))
+
+
+def test_most_frequent_counts_are_bounded(spark):
+    from cashbook.llm.common import most_frequent
+    df = spark.createDataFrame([(i, 1 + 1000 // (i + 1)) for i in range(500)], "k int, n long")
+    for most in (0, 1, 10, 100, 499, 500, 1000):
+        got = sorted((r.n for r in most_frequent(df, "n", most).collect()), reverse=True)
+        every = sorted((1 + 1000 // (i + 1) for i in range(500)), reverse=True)
+        assert len(got) <= most and got == every[:len(got)]
+    assert most_frequent(df, "n", 500).count() == 500 and most_frequent(df, "n", 10).count() >= 8
+    assert most_frequent(df.limit(0), "n", 10).count() == 0
 
 
 def test_lm_beats_word_counts_on_held_out_texts(spark):
