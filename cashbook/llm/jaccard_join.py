@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cashbook.llm.common import (LOWER, NOT_SPACE, mix64, shingle_hashes, stored, text_slices, word_hashes,
-                                 word_spans)
+from cashbook.llm.common import (LOWER, NOT_SPACE, mix64, most_frequent, shingle_hashes, stored, text_slices,
+                                 word_hashes, word_spans)
 from cashbook.llm.components import components
 
 #: Shingles per chunk in which repeats are counted, the least score that moves
@@ -84,9 +84,10 @@ def common_shingles(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarra
         if held:
             yield out()
 
-    top = (texts.select("text").mapInArrow(count, "shingle long, n long")
-           .groupBy("shingle").agg(F.sum("n").alias("score")).filter(F.col("score") >= LEAST_SCORE)
-           .orderBy(F.desc("score"), "shingle").limit(MOST_COMMON).toPandas())
+    scores = stored(texts.select("text").mapInArrow(count, "shingle long, n long")
+                    .groupBy("shingle").agg(F.sum("n").alias("score")).filter(F.col("score") >= LEAST_SCORE),
+                    "join-scores")
+    top = most_frequent(scores, "score", MOST_COMMON).toPandas()
     values = top["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(values)
     return values[order], top["score"].to_numpy(np.int64)[order]
