@@ -11,9 +11,10 @@ token probabilities are normalised over all words.
 1. Words of all training texts are counted (partial counts per task).
 2. Class trigrams of all training texts are counted: at most (K + 1)**2 * K
    cells, whatever the corpus.
-3. Training: each round, every task draws from its cells in proportion to
-   their counts, learns against noise from the class frequencies, and returns
-   its parameters, which are averaged.
+3. Training: each round, every task passes all cells of its contexts several
+   times, weighed by their counts, learns against the class frequencies as
+   noise, and returns its parameters, which are averaged.  No cell and no
+   noise is drawn: every training token counts in every pass.
 4. Scoring: one batched matrix product gives the normalised log-probabilities
    of all contexts; texts look theirs up.  Counts of at most ``FREQUENT`` of
    the most frequent words go to the tasks; those of all other words are joined.
@@ -34,8 +35,8 @@ from cashbook.llm.common import (LOWER, NOT_SPACE, held_out, mix64, most_frequen
 
 #: Words with a class of their own (beside the end), classes by ending, frequent words sent to tasks.
 OWN, ENDINGS, FREQUENT = 63, 64, 1 << 17
-#: Vector size, noise draws per token, training rounds, tokens drawn per task and round, batch, step.
-DIM, NOISE, ROUNDS, DRAWS, BATCH, STEP = 24, 8, 4, 1 << 17, 512, 0.08
+#: Vector size, noise per token, training rounds, passes over all cells and least steps per round, contexts a step, step.
+DIM, NOISE, ROUNDS, PASSES, STEPS, BATCH, STEP = 24, 8, 4, 24, 256, 128, 0.08
 #: Tasks that share the training cells; distinct words or cells held in a task before they are passed on.
 TASKS, HELD = 6, 1 << 20
 END = np.uint64(0x0E4D0E4D0E4D0E4D)
@@ -154,36 +155,35 @@ def new_model(classes: int, share: np.ndarray, seed: int) -> dict[str, np.ndarra
 
 def learn(m: dict[str, np.ndarray], cells: np.ndarray, n: np.ndarray, share: np.ndarray, step: float,
           seed: int) -> dict[str, np.ndarray]:
-    """One round of noise-contrastive estimation on tokens drawn from the cells."""
+    """One round of noise-contrastive estimation on all the cells, each weighed by its count.
+
+    A step takes some contexts with all their classes, and the noise by its
+    expectation; only the order of the contexts is random.
+    """
     rng = np.random.default_rng(seed)
     k = len(share)
-    cum, noise_cum = np.cumsum(n), np.cumsum(share)
+    contexts, row = np.unique(cells // k, return_inverse=True)
+    two, one = contexts // (k + 1), contexts % (k + 1)
+    counts = np.zeros((len(contexts), k))
+    np.add.at(counts, (row, cells % k), n)
+    batches = -(-len(contexts) // BATCH)
+    counts *= batches / counts.sum()                   # a step's weights add up to about one
     m = {x: v.copy() for x, v in m.items()}
-    log_noise = np.log(NOISE * share)
-    memory = {x: np.full(v.shape, 1e-2) for x, v in m.items()}
-    for _ in range(DRAWS // BATCH):
-        cell = cells[np.searchsorted(cum, rng.random(BATCH) * cum[-1], side="right")]
-        ctx, true = cell // k, cell % k
-        two, one = ctx // (k + 1), ctx % (k + 1)
-        noise = np.minimum(np.searchsorted(noise_cum, rng.random((BATCH, NOISE)) * noise_cum[-1]), k - 1)
-        out = np.concatenate([true[:, None], noise], axis=1)
-        v1, v2 = m["in"][one], m["in"][two]
-        h = v1 @ m["one"] + v2 @ m["two"]
-        q = m["out"][out]
-        s = np.einsum("bd,bnd->bn", h, q) + m["bias"][out]
-        p = 1 / (1 + np.exp(-(s - log_noise[out])))
-        d = p / BATCH
-        d[:, 0] -= 1 / BATCH                           # data first, then noise
-        dh = np.einsum("bn,bnd->bd", d, q)
-        g = {x: np.zeros_like(v) for x, v in m.items()}
-        np.add.at(g["out"], out, d[:, :, None] * h[:, None, :])
-        np.add.at(g["bias"], out, d)
-        g["one"], g["two"] = v1.T @ dh, v2.T @ dh
-        np.add.at(g["in"], one, dh @ m["one"].T)
-        np.add.at(g["in"], two, dh @ m["two"].T)
-        for x in m:
-            memory[x] += g[x] ** 2 * BATCH
-            m[x] -= step * g[x] * np.sqrt(BATCH) / np.sqrt(memory[x])
+    noise = NOISE * share
+    memory = {x: np.full(v.shape, 2e-5) for x, v in m.items()}
+    for _ in range(max(PASSES, -(-STEPS // batches))):
+        for part in np.array_split(rng.permutation(len(contexts)), batches):
+            v1, v2, data = m["in"][one[part]], m["in"][two[part]], counts[part]
+            h = v1 @ m["one"] + v2 @ m["two"]
+            p = 1 / (1 + np.exp(-(h @ m["out"].T + m["bias"] - np.log(noise))))
+            d = data * (p - 1) + data.sum(axis=1, keepdims=True) * noise * p
+            dh = d @ m["out"]
+            g = {"in": np.zeros_like(m["in"]), "out": d.T @ h, "bias": d.sum(axis=0), "one": v1.T @ dh, "two": v2.T @ dh}
+            np.add.at(g["in"], one[part], dh @ m["one"].T)
+            np.add.at(g["in"], two[part], dh @ m["two"].T)
+            for x in m:
+                memory[x] += g[x] ** 2
+                m[x] -= step * g[x] / np.sqrt(memory[x])
     return m
 
 
@@ -203,7 +203,8 @@ def log_probabilities(m: dict[str, np.ndarray]) -> np.ndarray:
 def train(cells: DataFrame, classes: int, share: np.ndarray, seed: int = 3) -> dict[str, np.ndarray]:
     model = new_model(classes, share, seed)
     shapes = {x: v.shape for x, v in model.items()}
-    dealt = stored(cells.repartition(TASKS, F.xxhash64("cell")), "lm-cells-dealt")
+    # a context's cells meet in one task
+    dealt = stored(cells.repartition(TASKS, F.xxhash64(F.floor(F.col("cell") / classes))), "lm-cells-dealt")
     for r in range(ROUNDS):
         now, step = model, STEP / (1 + r)
 

@@ -40,6 +40,17 @@ def test_learning_finds_the_next_class():
         assert table[c * (k + 1) + (c + 1) % k].argmax() == (c + 2) % k
 
 
+def test_every_cell_is_learned():
+    """A cell of one token beside one of a billion moves its context, and only shares count."""
+    k = 6
+    cells, n = np.array([(0 * (k + 1) + 1) * k + 2, (3 * (k + 1) + 4) * k + 5]), np.array([10**9, 1])
+    m, share = lm.new_model(k, np.full(k, 1 / k), 2), np.full(k, 1 / k)
+    got = lm.learn(m, cells, n, share, 0.1, 0)
+    assert (got["in"][[0, 1, 3, 4]] != m["in"][[0, 1, 3, 4]]).all() and (got["in"][[2, 5, 6]] == m["in"][[2, 5, 6]]).all()
+    many = lm.learn(m, cells, 1024 * n, share, 0.1, 0)
+    assert all((got[x] == many[x]).all() for x in got)
+
+
 def test_lm_counts_and_base_scores(docs, rows):
     tokens = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER)) + [None] for _, t, *_ in rows]
     c = Counter()
