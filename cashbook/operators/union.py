@@ -4,8 +4,8 @@ This is the shape the model is written in, kept as an independent cross-check
 of the single-pass form in :mod:`cashbook.operators.unpivot`.
 
 :func:`pnl_generated` makes the branches' rows from one scan: a generator
-turns every wide row into one struct per branch, with the branch's condition
-as a flag that is filtered after it.  :func:`pnl_union_form` is the literal
+turns every wide row into one number per branch, and the branch's condition
+is tested after it.  :func:`pnl_union_form` is the literal
 union, in which every branch reads the wide source again; that source is
 written once as a Parquet table in the shared checkpoint folder, so the 34
 branches scan the stored result (each reading only its key columns and one
@@ -73,10 +73,26 @@ def branches(wide: DataFrame, lang: str = "en") -> list[DataFrame]:
 
 
 def pnl_generated(wide: DataFrame, lang: str = "en") -> DataFrame:
-    """The model's union from one scan of the wide source."""
-    rows = F.array(*[F.struct(F.coalesce(b.keep, F.lit(False)).alias("keep"), *b.columns())
-                     for b in model_branches(lang)])
-    return wide.select(*KEY_COLUMNS, F.inline(rows)).filter("keep").drop("keep")
+    """The model's union from one scan of the wide source.
+
+    The branches' numbers are columns first, and the generator runs over an
+    array of them; a branch's place in it gives its label and order.  A struct
+    per branch, with its own conversions, takes several times as long.  The
+    flags of the leaves come from a higher-order function, which also keeps
+    the many conversions out of the joins' generated code: together they are
+    too large for the JIT.
+    """
+    found = model_branches(lang)                     # leaves first, then roll-ups
+    leaves = F.array(*[F.col(f"`{leaf.label(lang)}`") for leaf in LEAVES])
+    numbers = wide.select(*KEY_COLUMNS, F.transform(leaves, lambda x: x.isNotNull()).alias("_kept"),
+                          *[b.value.alias(f"_{i}") for i, b in enumerate(found)])
+    rows = numbers.select(*KEY_COLUMNS, "_kept", F.posexplode(F.array(*[F.col(f"_{i}") for i in range(len(found))]))
+                          .alias("_at", "_n"))
+    at = F.col("_at")
+    keep = F.when(at < len(LEAVES), F.col("_kept")[at]).otherwise(F.col("_n") != 0)
+    return rows.filter(keep).select(
+        *KEY_COLUMNS, F.array(*[F.lit(b.label) for b in found])[at].alias(COL_METRIC), F.col("_n").alias(COL_VALUE),
+        F.array(*[F.lit(b.order).cast(ORDER_TYPE) for b in found])[at].alias(COL_ORDER))
 
 
 def pnl_union_form(wide: DataFrame, lang: str = "en", stage: bool = True) -> DataFrame:

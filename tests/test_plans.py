@@ -219,3 +219,36 @@ def test_clustered_layout_lets_lookups_skip_row_groups(spark):
     total, kept = result["clustered"]
     assert total > 50 and kept <= total // 4          # most row groups skipped
     assert result["unclustered"][1] == result["unclustered"][0]   # nothing skippable
+
+
+def test_generated_branches_fit_the_jit(spark, sf_small):
+    """HotSpot leaves methods of over 8,000 bytes uncompiled, which makes the 34 branches several times slower."""
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = pnl.pnl_rows(fixture_tables(spark, sf_small), "en")._jdf.queryExecution().executedPlan()
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(plan))]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sizes and max(sizes) <= 8000
+    assert "keep" not in plan.toString()               # no struct with a flag for each branch
+
+
+def test_generated_branches_equal_the_union(spark):
+    """Rows with several leaves, none, zeros, NaN and totals that cancel out: the same bag as the literal union."""
+    from cashbook.operators.rules import LEAVES
+    from cashbook.operators.union import KEY_COLUMNS, branches, pnl_generated, union_all
+    labels = [leaf.label("en") for leaf in LEAVES]
+    amounts = [{}, {0: "12.50"}, {0: "0.00"}, {0: "1", 1: "2", 8: "0.1", 29: "-3"}, {3: "NaN"}, {0: "5", 10: "5"},
+               dict.fromkeys(range(len(labels)), "0.1"), {0: "12.50"}, {7: "-1e300", 12: "1e300"}]
+    rows = [(i % 3, None, None, i, None, *[a.get(k) for k in range(len(labels))]) for i, a in enumerate(amounts)]
+    kinds = ["int", "timestamp_ntz", "timestamp_ntz", "int", "int"]
+    schema = ", ".join([f"`{c}` {t}" for c, t in zip(KEY_COLUMNS, kinds)] + [f"`{x}` string" for x in labels])
+    wide = spark.createDataFrame(rows, schema)
+    got, want = pnl_generated(wide), union_all(branches(wide))
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+
+    def printed(df):
+        return Counter(tuple(map(str, r)) for r in df.collect())
+    assert printed(got) == printed(want) and got.count() > 40
