@@ -158,13 +158,13 @@ def _staged(name):
 
 
 def q_snapshot_csv_split(spark, sf):
-    """A table dumped as one quoted CSV file with line breaks in its values, as a foreign system leaves it.
+    """A table dumped as quoted CSV files with line breaks in its values, as a foreign system leaves it.
 
-    The file is read in blocks, cut at any byte.
+    The files are of any size, one a scan task; they are read in blocks, cut at any byte.
     """
     root = scratch_dir(spark, "dump")
     docs = read_table(spark, sf, "documents")
-    write_csv_snapshot(docs.coalesce(1), f"{root}/public/documents", max_records_per_file=None)
+    write_csv_snapshot(docs, f"{root}/public/documents", max_records_per_file=None)
     columns = [(f.name, pg_type_of(f.dataType)) for f in docs.schema.fields]
     src = FileSource(spark, "dump", root, "csv", {("public", "documents"): columns}, split_bytes=1 << 20)
     wh = _warehouse(spark)

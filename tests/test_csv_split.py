@@ -3,6 +3,7 @@ import csv
 import io
 import random
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -121,6 +122,22 @@ def test_blocks_do_not_depend_on_the_session(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_no_task_writes_the_whole_dump(spark, monkeypatch):
+    """The query's dump has a file for each task that reads the table, and the snapshot all of its rows."""
+    import __spark_entry__ as E
+    rows, folders, write = rows_of(40, 6), [], E.write_csv_snapshot
+    docs = spark.createDataFrame(rows, "a string, n long, c string").repartition(4)
+
+    def dumped(df, path, **options):
+        folders.append(Path(path))
+        write(df, path, **options)
+    monkeypatch.setattr(E, "read_table", lambda *a, **k: docs)
+    monkeypatch.setattr(E, "write_csv_snapshot", dumped)
+    got = E.q_snapshot_csv_split(spark, "anywhere")
+    assert len(list(folders[0].glob("part-*.csv"))) == 4
+    assert Counter(map(tuple, got.collect())) == Counter(rows)
+
+
 def test_python_csv_agrees(tmp_path):
     """The quoting of these tests is standard CSV."""
     rows = [r for r in rows_of(60, 4) if r[0] is not None and r[2] is not None]
