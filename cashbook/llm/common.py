@@ -22,15 +22,25 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: Text bytes handled at once inside a task; bounds the numpy temporaries.
 SLICE_BYTES = 1 << 20
+#: Bytes of a batch of rows on its way to or from a Python task (by default 64 MB, which counts on both sides of it).
+BATCH_BYTES, BATCH_CONF = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds the rows held between Spark and its Python tasks, unless the session sets a bound of its own."""
+    if BATCH_CONF not in spark.conf.getAll:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """Write to the shared folder and read back: lineage ends at the files."""
     spark = df.sparkSession
+    bounded_batches(spark)
     path = scratch_dir(spark, tag)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -134,7 +144,9 @@ def _powers(base: int, n: int) -> np.ndarray:
         size = max(n, SLICE_BYTES + 1)
         step = np.full(size, base, dtype=np.uint64)
         step[0] = 1
-        have = _POWERS[base] = np.multiply.accumulate(step)
+        have = np.multiply.accumulate(step)
+        if size == SLICE_BYTES + 1:                   # the powers of a longer word are not kept
+            _POWERS[base] = have
     return have[:n]
 
 
@@ -146,13 +158,23 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(lowered: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash per word: polynomial over byte codes by one running sum, then mixed."""
-    if len(starts) == 0:
-        return np.zeros(0, dtype=np.uint64)
-    total = np.zeros(len(lowered) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_CODE[lowered] * _powers(_BASE, len(lowered)), out=total[1:])
-    raw = (total[ends] - total[starts]) * _powers(_BASE_INV, len(lowered))[starts]
-    return mix64(raw + (ends - starts).astype(np.uint64))
+    """A 64-bit hash per word (in order of the text): polynomial over byte codes by one running sum, then mixed.
+
+    Runs of words of at most ``SLICE_BYTES`` (one word at least) share a sum;
+    a hash does not depend on the place of its word.
+    """
+    out = np.zeros(len(starts), dtype=np.uint64)
+    lo = 0
+    while lo < len(starts):
+        begin = int(starts[lo])
+        hi = max(lo + 1, int(np.searchsorted(ends, begin + SLICE_BYTES, side="right")))
+        low, first, last = lowered[begin:int(ends[hi - 1])], starts[lo:hi] - begin, ends[lo:hi] - begin
+        total = np.zeros(len(low) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE_CODE[low] * _powers(_BASE, len(low)), out=total[1:])
+        raw = (total[last] - total[first]) * _powers(_BASE_INV, len(low))[first]
+        out[lo:hi] = mix64(raw + (last - first).astype(np.uint64))
+        lo = hi
+    return out
 
 
 def shingle_hashes(words: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
